@@ -74,7 +74,7 @@ def main(names: list[str], sf_dir: str) -> int:
     from tallylake.session import build_session
 
     spark = build_session("compare", "local[8]", **{
-        "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
     })
     spark.sparkContext.setLogLevel("ERROR")
