@@ -141,7 +141,7 @@ def schema_diff(spark: SparkSession, actual: T.StructType, contract: T.StructTyp
     ]
     return spark.createDataFrame(
         [row for row in rows if row[1] != row[2]],
-        "position INT, actual STRING, expected STRING",
+        "position BIGINT, actual STRING, expected STRING",
     )
 
 
@@ -152,40 +152,42 @@ def _signature(schema: T.StructType) -> list[str]:
     ]
 
 
-def failure_count(name: str, failing: DataFrame, weight: Column | None = None) -> DataFrame:
-    """(test, failures): the number of failing rows, or the sum of ``weight`` over them."""
-    amount = F.count(F.lit(1)) if weight is None else F.coalesce(F.sum(weight), F.lit(0))
-    return failing.agg(amount.cast("bigint").alias("failures")).select(
-        F.lit(name).alias("test"), "failures"
-    )
+# --- the report ------------------------------------------------------------------------
+# Each part below gives (test, failures) rows of what fails, several per test or none, so
+# that one final aggregation serves all tests.
+
+def null_failures(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per NULL found; no shuffle of its own."""
+    tests = [F.when(F.col(c).isNull(), f"not_null:{table}.{c}") for c in columns]
+    found = df.select(F.explode(F.array_compact(F.array(*tests))).alias("test"))
+    return found.withColumn("failures", F.lit(1).cast("bigint"))
+
+
+def accepted_value_failures(
+    domains: dict[str, dict[str, tuple[str, ...]]], tables: dict[str, DataFrame]
+) -> DataFrame:
+    """One row per distinct value outside its list, for all tables together."""
+    bad = [
+        accepted_value_violations(tables[table], lists).select(
+            F.concat(F.lit(f"accepted_values:{table}."), F.col("column_name")).alias("test"),
+            F.lit(1).cast("bigint").alias("failures"),
+        )
+        for table, lists in domains.items()
+    ]
+    return _union(bad)
+
 
+def failing_rows(test: str, failing: DataFrame, weight: Column | None = None) -> DataFrame:
+    """One row per failing row, counted as 1 or as ``weight``."""
+    amount = F.lit(1) if weight is None else weight
+    return failing.select(F.lit(test).alias("test"), amount.cast("bigint").alias("failures"))
 
-def column_failure_counts(
-    table: str,
-    df: DataFrame,
-    not_null: list[str],
-    accepted: dict[str, tuple[str, ...]],
-    unique: list[str],
-) -> list[DataFrame]:
-    """Summaries of the declared column tests of one table, passes or not."""
-    def named(kind: str, counted: DataFrame) -> DataFrame:
-        rows = counted.unpivot([], counted.columns, "column_name", "failures")
-        name = F.concat(F.lit(f"{kind}:{table}."), F.col("column_name"))
-        return rows.select(name.alias("test"), "failures")
-
-    summaries = []
-    if not_null:
-        nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in not_null]
-        summaries.append(named("not_null", df.agg(*nulls)))
-    if accepted:
-        bad = accepted_value_violations(df, accepted)
-        values = [F.count_if(F.col("column_name") == c).alias(c) for c in accepted]
-        summaries.append(named("accepted_values", bad.agg(*values)))
-    for column in unique:
-        summaries.append(failure_count(f"unique:{table}.{column}", unique_violations(df, column)))
-    return summaries
-
-
-def quality_report(summaries: list[DataFrame]) -> DataFrame:
-    """One row per test. The gate is open when every ``failures`` is 0."""
-    return _union(summaries)
+
+def quality_report(tests: list[str], failures: list[DataFrame]) -> DataFrame:
+    """(test, failures) for every test. The gate is open when all are 0."""
+    counted = _union(failures).groupBy("test").agg(F.sum("failures").alias("failures"))
+    names = ", ".join(f"('{test}')" for test in tests)
+    every = counted.sparkSession.sql(f"SELECT * FROM VALUES {names} AS tests(test)")
+    return every.join(counted, "test", "left").select(
+        "test", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")
+    )

@@ -62,21 +62,38 @@ def relationship_tests(tables: dict[str, DataFrame]) -> list[DataFrame]:
     ]
 
 
+def test_names() -> list[str]:
+    """Names of the 27 tests on columns and the 6 on whole tables."""
+    names = [f"not_null:{t}.{c}" for t, columns in NOT_NULL.items() for c in columns]
+    names += [f"unique:{t}.{c}" for t, columns in UNIQUE.items() for c in columns]
+    names += [f"accepted_values:{t}.{c}" for t, lists in ACCEPTED.items() for c in lists]
+    names += [f"relationships:{child}.{key}" for child, key, *_ in RELATIONSHIPS]
+    names += [f"unique_grain:{table}" for table in GRAINS]
+    return names + [
+        "ledger_entries_have_account", "ledger_entries_sum_to_zero",
+        "daily_volume_matches_state", "net_position_matches_ledger",
+    ]
+
+
 def gold_quality_report(
     tables: dict[str, DataFrame], staging: dict[str, DataFrame], zone: str = "UTC"
 ) -> DataFrame:
-    """(test, failures) for all tests: 27 declared on columns and 6 on whole tables."""
-    summaries = []
-    for table, df in tables.items():
-        summaries += q.column_failure_counts(
-            table, df, NOT_NULL.get(table, []), ACCEPTED.get(table, {}), UNIQUE.get(table, [])
-        )
+    """(test, failures) for all 33 tests."""
+    failures = [q.null_failures(table, tables[table], c) for table, c in NOT_NULL.items()]
+    failures.append(q.accepted_value_failures(ACCEPTED, tables))
+    for table, columns in UNIQUE.items():
+        failures += [
+            q.failing_rows(f"unique:{table}.{c}", q.unique_violations(tables[table], c))
+            for c in columns
+        ]
     for (child, key, *_), failing in zip(RELATIONSHIPS, relationship_tests(tables)):
-        name = f"relationships:{child}.{key}"
-        summaries.append(q.failure_count(name, failing, F.col("n_records")))
+        failures.append(
+            q.failing_rows(f"relationships:{child}.{key}", failing, F.col("n_records"))
+        )
     for table, grain in GRAINS.items():
-        failing = q.grain_violations(tables[table], grain)
-        summaries.append(q.failure_count(f"unique_grain:{table}", failing))
+        failures.append(
+            q.failing_rows(f"unique_grain:{table}", q.grain_violations(tables[table], grain))
+        )
     ledger, positions = staging["stg_ledger_entries"], tables["fct_partner_net_position"]
     orphans = q.orphan_rows(ledger, "account_id", tables["dim_accounts"], "account_id")
     volume = q.volume_recon_mismatches(
@@ -85,10 +102,10 @@ def gold_quality_report(
     position = q.position_recon_mismatches(
         gold.ledger_by_currency(ledger), gold.position_rollup(positions)
     )
-    summaries += [
-        q.failure_count("ledger_entries_have_account", orphans),
-        q.failure_count("ledger_entries_sum_to_zero", q.unbalanced_transactions(ledger)),
-        q.failure_count("daily_volume_matches_state", volume),
-        q.failure_count("net_position_matches_ledger", position),
+    failures += [
+        q.failing_rows("ledger_entries_have_account", orphans),
+        q.failing_rows("ledger_entries_sum_to_zero", q.unbalanced_transactions(ledger)),
+        q.failing_rows("daily_volume_matches_state", volume),
+        q.failing_rows("net_position_matches_ledger", position),
     ]
-    return q.quality_report(summaries)
+    return q.quality_report(test_names(), failures)

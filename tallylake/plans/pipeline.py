@@ -99,7 +99,7 @@ def run_microbatch(
             return None
         return stage_events(lines, lake.contracts[table], f"{run}/staged/{table}")
 
-    staged = {t: df for t, df in _each(stage, lake.contracts, parallel_tables) if df is not None}
+    staged = {t: df for t, df in _each(spark, stage, lake.contracts, parallel_tables) if df is not None}
     cutoff = _cutoff(previous, list(staged.values()))
     if cutoff is None:
         # Only files outside the contracts: their offsets advance, there is nothing to apply.
@@ -112,20 +112,22 @@ def run_microbatch(
         return latest_by_lsn(events, contract.primary_key)
 
     applied = dict(
-        _each(lambda table: lake.silver(table).apply(latest(table)), staged, parallel_tables)
+        _each(
+            spark, lambda table: lake.silver(table).apply(latest(table)), staged, parallel_tables
+        )
     )
     _check_batch(lake, {table: latest(table) for table in staged})
     _build_gold(lake, zone, parallel_tables)
     commit_checkpoint(lake, cutoff, offsets)
-    _each(lambda table: lake.silver(table).compact(), staged, parallel_tables)
+    _each(spark, lambda table: lake.silver(table).compact(), staged, parallel_tables)
     return BatchResult(True, cutoff, applied)
 
 
-def _each(work, names, parallel: int) -> list[tuple[str, object]]:
+def _each(spark: SparkSession, work, names, parallel: int) -> list[tuple[str, object]]:
     """Run the Spark jobs of several tables side by side; the first failure ends the run."""
     names = list(names)
     with ThreadPoolExecutor(parallel) as pool:
-        return list(zip(names, pool.map(inheritable_thread_target(work), names)))
+        return list(zip(names, pool.map(inheritable_thread_target(spark)(work), names)))
 
 
 def _offset_ranges(previous: DataFrame, selected: DataFrame) -> list[tuple[str, int, int, int]]:
@@ -160,7 +162,9 @@ def _build_gold(lake: Lake, zone: str, parallel: int) -> None:
     """Write every model, test what was written, then publish all of it or nothing."""
     staging = staging_models({t: lake.silver(t).read() for t in lake.contracts})
     models = build_gold(staging, zone)
-    written = dict(_each(lambda name: lake.gold(name).write_state(models[name]), models, parallel))
+    written = dict(
+        _each(lake.spark, lambda name: lake.gold(name).write_state(models[name]), models, parallel)
+    )
     tables = {name: lake.gold(name).read_version(version) for name, (version, _) in written.items()}
     failed = gold_quality_report(tables, staging, zone).where("failures > 0").collect()
     if failed:
