@@ -110,14 +110,15 @@ def _invalid(spark, sf_dir):
 @query("state_events", f"""WITH {VECTORS}
 SELECT {KEY} AS source_object_key, sha256(vector) AS event_id, 'snap-' || block AS snapshot_id,
   {ICAO} AS icao24, event_type AS callsign, 'Brazil' AS origin_country, {OBSERVED} AS observed_at,
-  value AS velocity_m_s, [user_id, 7] AS sensors, FALSE AS on_ground,
+  value AS velocity_m_s, user_id AS first_sensor, FALSE AS on_ground,
   CAST(CASE WHEN event_type = 'click' THEN 4 END AS BIGINT) AS category
 FROM vectors WHERE block NOT IN (SELECT block FROM vectors WHERE fault IS NOT NULL)""")
 def _state_events(spark, sf_dir):
     events = v.state_events(v.refuse_invalid(_verified(spark, sf_dir, faulted=True)))
     return events.select(
         "source_object_key", "event_id", "snapshot_id", "icao24", "callsign", "origin_country",
-        "observed_at", "velocity_m_s", "sensors", "on_ground", "category",
+        "observed_at", "velocity_m_s", F.get("sensors", F.lit(0)).alias("first_sensor"), "on_ground",
+        "category",
     )
 
 

@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from tallylake.contracts import DELETED, LSN, MONEY
 
 
+_tables: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from the file once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _tables[key]
 
 
 def _no_time() -> Column:

@@ -33,7 +33,7 @@ def json_float(value: Column) -> Column:
         F.lpad(F.abs(exponent).cast("string"), 2, "0"),
     )
     small = _trim_zeros(text.try_cast("decimal(38,22)"))
-    large = _trim_zeros(text.try_cast("decimal(38,4)"))
+    large = _trim_zeros(text.try_cast("decimal(38,12)"))
     return (
         F.when(~F.contains(text, F.lit("E")), text)
         .when(exponent.between(-4, -1), small)

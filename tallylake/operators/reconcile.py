@@ -42,7 +42,7 @@ def active_counts(states: dict[str, DataFrame], alias: str = "live_rows") -> Dat
 
 def ledger_total(ledger: DataFrame) -> DataFrame:
     """One row: sum of live entries over all currencies, 0 for none."""
-    return ledger.where(~F.col(DELETED)).agg(
+    return ledger.where(F.col(DELETED) == F.lit(False)).agg(
         F.coalesce(F.sum("amount"), F.lit(0)).cast(TOTAL).alias("ledger_total")
     )
 

@@ -81,7 +81,7 @@ def run_microbatch(
     and the LSN rule makes the repeat harmless. A run without new files, also
     the very first one, does nothing.
     """
-    run = new_run_folder(spark, "microbatch")
+    bronze, run = bronze.rstrip("/"), new_run_folder(spark, "microbatch")
     previous = lake.read_checkpoint()
 
     # The listing is written once, so that files landing meanwhile wait for the next run.
@@ -91,15 +91,13 @@ def run_microbatch(
     if not m.has_new_files(selected):
         return BatchResult(committed=False)
     offsets = m.next_checkpoints(previous, selected)
-    ranges = _offset_ranges(previous, selected)
+    ranges, folders = _by_table(_offset_ranges(previous, selected)), _day_folders(selected)
 
-    def stage(table: str) -> DataFrame | None:
-        lines = scan_new_files(spark, bronze, table, ranges)
-        if lines is None:
-            return None
+    def stage(table: str) -> DataFrame:
+        lines = scan_new_files(spark, [f"{bronze}/{f}" for f in folders[table]], ranges[table])
         return stage_events(lines, lake.contracts[table], f"{run}/staged/{table}")
 
-    staged = {t: df for t, df in _each(spark, stage, lake.contracts, parallel_tables) if df is not None}
+    staged = dict(_each(spark, stage, [t for t in lake.contracts if t in ranges], parallel_tables))
     cutoff = _cutoff(previous, list(staged.values()))
     if cutoff is None:
         # Only files outside the contracts: their offsets advance, there is nothing to apply.
@@ -138,6 +136,22 @@ def _offset_ranges(previous: DataFrame, selected: DataFrame) -> list[tuple[str,
     return [tuple(row) for row in joined.select("topic", "partition", after, "upto").collect()]
 
 
+def _by_table(ranges: list[tuple[str, int, int, int]]) -> dict[str, list]:
+    tables: dict[str, list] = {}
+    for entry in ranges:
+        tables.setdefault(entry[0].rsplit(".", 1)[-1], []).append(entry)
+    return tables
+
+
+def _day_folders(selected: DataFrame) -> dict[str, list[str]]:
+    """The day folders of the batch by table: one row per topic and day."""
+    folder = F.regexp_replace("key", "/[^/]+$", "").alias("folder")
+    folders: dict[str, list[str]] = {}
+    for row in selected.select("table", folder).distinct().orderBy("folder").collect():
+        folders.setdefault(row.table, []).append(row.folder)
+    return folders
+
+
 def _cutoff(previous: DataFrame, staged: list[DataFrame]) -> int | None:
     lsns = previous.select("lsn")
     for events in staged:

@@ -61,28 +61,20 @@ def relative_key(path: Column, root: str) -> Column:
 
 
 def scan_new_files(
-    spark: SparkSession,
-    root: str,
-    table: str,
-    ranges: list[tuple[str, int, int, int]],
-) -> DataFrame | None:
-    """Events of one table's files inside frozen offset ranges.
+    spark: SparkSession, folders: list[str], ranges: list[tuple[str, int, int, int]]
+) -> DataFrame:
+    """Events of the files inside frozen offset ranges.
 
     ``ranges`` holds (topic, partition, after, up to): one entry per broker
-    partition, whatever the number of files. The condition only looks at the
-    file name, so Spark drops the other files while listing, and no file list
-    passes through the driver.
+    partition, whatever the number of files; ``folders`` are the day folders
+    that hold them. The condition only looks at the file name, so Spark drops
+    other files while listing, and no file list passes through the driver.
     """
-    mine = [r for r in ranges if r[0].rsplit(".", 1)[-1] == table]
-    if not mine:
-        return None
-    folders = sorted({f"{root.rstrip('/')}/topics/{topic}" for topic, *_ in mine})
     name = F.col("_metadata.file_name")
     offset = F.regexp_extract(name, r"\+(\d+)\.json$", 1).try_cast("bigint")
     inside = F.lit(False)
-    for topic, partition, after, upto in mine:
+    for topic, partition, after, upto in ranges:
         inside = inside | (
             name.startswith(f"{topic}+{partition}+") & (offset > after) & (offset <= upto)
         )
-    events = spark.read.option("recursiveFileLookup", "true").text(folders).where(inside)
-    return _drop_blank(events.select("value"))
+    return _drop_blank(spark.read.text(folders).where(inside).select("value"))

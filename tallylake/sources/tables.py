@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallylake.contracts import DELETED, LSN, TableContract
 from tallylake.functions.clock import utc_day
-from tallylake.operators.latest import accepted_versions, latest_by_lsn
+from tallylake.operators.latest import accepted_versions
 
 STATE, CHANGES = "state", "changes"
 
@@ -148,20 +148,38 @@ class SilverTable(VersionedTable):
         if state is None:
             raise FileNotFoundError(f"No published state in {self.path}.")
         columns = columns or contract.columns
+        live = F.col(DELETED) == F.lit(False)
         if days is not None:
             first, last = (F.lit(day).cast("date") for day in days)
             state = state.where(F.col(_day_name(contract.day_column)).between(first, last))
-        current = state.select(contract.columns)
+        if live_only:
+            state = state.where(live)
+        current = state.select(list(dict.fromkeys([key, *columns])))
         if changes:
-            newer = latest_by_lsn(reduce(DataFrame.unionByName, changes), key)
-            keys = reduce(DataFrame.unionByName, [c.select(key) for c in changes])
+            newer = self._newest(changes, [*columns, DELETED, contract.day_column or key])
             if days is not None:
                 newer = newer.where(utc_day(F.col(contract.day_column)).between(first, last))
-            current = current.join(keys, key, "left_anti").unionByName(newer)
-        if live_only:
-            current = current.where(~F.col(DELETED))
+            if live_only:
+                newer = newer.where(live)
+            keys = reduce(DataFrame.unionByName, [c.select(key) for c in changes])
+            current = current.join(keys, key, "left_anti").unionByName(newer.select(current.columns))
         return current.select(columns)
 
+    def _newest(self, layers: list[DataFrame], columns: list[str]) -> DataFrame:
+        """The row with the greatest LSN per key of several layers.
+
+        A layer has a key once, and never with the LSN of another layer, so the
+        LSN alone decides and only the named columns are read.
+        """
+        key = self.contract.primary_key
+        wanted = list(dict.fromkeys([key, LSN, *columns]))
+        layers = [layer.select(wanted) for layer in layers]
+        if len(layers) == 1:
+            return layers[0]
+        order = Window.partitionBy(key).orderBy(F.col(LSN).desc())
+        ranked = reduce(DataFrame.unionByName, layers).withColumn("_rank", F.row_number().over(order))
+        return ranked.where("_rank = 1").drop("_rank")
+
     def lookup(self, keys: DataFrame, columns: list[str]) -> DataFrame:
         """The current rows of the given keys only.
 
@@ -176,10 +194,8 @@ class SilverTable(VersionedTable):
             empty = T.StructType([self.contract.schema[c] for c in wanted])
             return self.spark.createDataFrame([], empty)
         keys = keys.select(key)
-        found = [layer.select(wanted).join(keys, key, "left_semi") for layer in [state, *changes]]
-        if len(found) == 1:
-            return found[0]
-        return latest_by_lsn(reduce(DataFrame.unionByName, found), key)
+        layers = [layer.join(keys, key, "left_semi") for layer in [state, *changes]]
+        return self._newest(layers, wanted)
 
     def apply(self, batch: DataFrame) -> tuple[int, int]:
         """Upsert a batch with one row per key. Returns (applied, ignored).
