@@ -361,7 +361,12 @@ def object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("/"), name_topic, F.lit("+"), (number % 3).cast("string"), F.lit("+"),
         F.lpad(number.cast("string"), 10, "0"), ending,
     )
-    return b.table(spark, sf_dir, "orders").select(key.alias("key"))
+    def make() -> str:
+        path = new_run_folder(spark, "object-keys")
+        b.table(spark, sf_dir, "orders").select(key.alias("key")).write.parquet(path)
+        return path
+
+    return spark.read.schema("key STRING").parquet(once(spark, sf_dir, "object_keys", make))
 
 
 def half_checkpoints(objects: DataFrame) -> DataFrame:

@@ -39,6 +39,10 @@ POSITIONS = (
     (17, "category", WHOLE, True),
 )
 LENGTHS = (17, 18)
+_ALLOWED = {
+    TEXT: ["STR"], WHOLE: ["BIG"], SECOND: ["BIG"], NUMBER: ["BIG", "DEC", "DOU", "FLO"],
+    FLAG: ["BOO"], WHOLE_LIST: ["ARR"],
+}
 ICAO24 = r"^[0-9a-fA-F]{6}\z"
 SCHEMA_VERSION, SOURCE = 1, "opensky"
 
@@ -62,11 +66,6 @@ def _is_whole(value: Column) -> Column:
     return _kind(value) == "BIGINT"
 
 
-def _is_finite(value: Column) -> Column:
-    real = value.try_cast("double")
-    return real.isNotNull() & ~F.isnan(real) & (F.abs(real) != F.lit(float("inf")))
-
-
 def _elements(value: Column) -> Column:
     """The elements of a JSON list; NULL for anything else."""
     return F.try_variant_get(value, "$", "array<variant>")
@@ -185,25 +184,20 @@ def vector_fault(vector: Column) -> Column:
     """
     def fault(position: int, name: str, kind: str, nullable: bool) -> Column:
         value = _at(vector, f"$[{position}]")
-        kind_of = _kind(value)
-        if kind == TEXT:
-            bad = kind_of != "STRING"
-        elif kind == FLAG:
-            bad = kind_of != "BOOLEAN"
-        elif kind == WHOLE:
-            bad = kind_of != "BIGINT"
-        elif kind == SECOND:
-            seconds = F.when(kind_of == "BIGINT", value.try_cast("bigint"))
-            bad = ~F.coalesce(seconds.between(MIN_SECOND, MAX_SECOND), F.lit(False))
-        elif kind == NUMBER:
-            number = kind_of.isin("BIGINT", "DOUBLE", "FLOAT") | kind_of.startswith("DECIMAL")
-            bad = ~number | ~_is_finite(value)
-        else:
-            items = _elements(value)
-            bad = items.isNull() | F.exists(items, lambda item: ~_is_whole(item))
-        if nullable:
-            bad = ~_is_null(value) & bad
-        return F.when(F.coalesce(bad, F.lit(True)), F.lit(f"invalid_{name}"))
+        # A missing value and a JSON null are both VOID. The first three letters name the type.
+        found = F.substring(F.coalesce(_kind(value), F.lit("VOID")), 1, 3)
+        bad = ~found.isin(*_ALLOWED[kind], *(["VOI"] if nullable else []))
+        if kind == SECOND:
+            bad = bad | ~F.coalesce(
+                value.try_cast("bigint").between(MIN_SECOND, MAX_SECOND), F.lit(True)
+            )
+        if kind == NUMBER:
+            bad = bad | F.coalesce(F.abs(value.try_cast("double")) == float("inf"), F.lit(False))
+        if kind == WHOLE_LIST:
+            bad = bad | F.coalesce(
+                F.exists(_elements(value), lambda item: ~_is_whole(item)), F.lit(False)
+            )
+        return F.when(bad, F.lit(f"invalid_{name}"))
 
     size = F.coalesce(F.size(_elements(vector)), F.lit(-1))
     icao24 = strip(F.try_variant_get(vector, "$[0]", "string"))
@@ -220,14 +214,27 @@ def vector_fault(vector: Column) -> Column:
 
 
 def explode_states(snapshots: DataFrame) -> DataFrame:
-    """One row per state vector; an empty snapshot gives none."""
+    """One row per state vector; an empty snapshot gives none.
+
+    The outer form with a filter after it: for the plain form Spark adds a size
+    condition and pushes it below the parsing, where it parses every body again.
+    """
     kept = [c for c in snapshots.columns if c != "states"]
-    return snapshots.select(*kept, F.posexplode("states").alias("position", "vector"))
+    exploded = snapshots.select(*kept, F.posexplode_outer("states").alias("position", "vector"))
+    return exploded.where(F.col("position").isNotNull())
+
+
+def _accepted(snapshots: DataFrame) -> DataFrame:
+    """Snapshots with the vectors of refused ones removed.
+
+    Not a filter, for the reason given in ``explode_states``.
+    """
+    return snapshots.withColumn("states", F.when(F.col("refusal").isNull(), F.col("states")))
 
 
 def invalid_states(snapshots: DataFrame) -> DataFrame:
     """(object_key, position, fault) of every invalid vector."""
-    vectors = explode_states(snapshots.where("refusal IS NULL"))
+    vectors = explode_states(_accepted(snapshots))
     return vectors.select(
         "object_key", "position", vector_fault(F.col("vector")).alias("fault")
     ).where("fault IS NOT NULL")
@@ -247,15 +254,14 @@ def state_event_id(vector: Column) -> Column:
     """
     def compact(position: int, kind: str) -> Column:
         value = _at(vector, f"$[{position}]")
-        if kind == TEXT:
-            text = F.to_json(value)
-        elif kind == NUMBER:
-            text = F.when(_is_whole(value), value.cast("string")).otherwise(
-                json_float(value.cast("double"))
-            )
-        else:
-            text = F.to_json(value)
-        return F.when(_is_null(value), F.lit("null")).otherwise(text)
+        text = F.to_json(value)
+        if kind == NUMBER:
+            # Numbers print without a whole float's fraction, and in another exponent form.
+            plain = F.contains(text, F.lit(".")) & ~F.contains(text, F.lit("E"))
+            plain = plain & (F.abs(value.try_cast("double")) >= 1e-4)
+            same = (text == "null") | plain | _is_whole(value)
+            text = F.when(same, text).otherwise(json_float(value.try_cast("double")))
+        return F.coalesce(text, F.lit("null"))
 
     parts = [compact(position, kind) for position, _, kind, _ in POSITIONS]
     last = F.when(
@@ -270,7 +276,7 @@ def state_events(snapshots: DataFrame, bucket: str = "bronze") -> DataFrame:
     A snapshot with one invalid vector gives no observation at all, so apply
     ``refuse_invalid`` first.
     """
-    rows = explode_states(snapshots.where("refusal IS NULL"))
+    rows = explode_states(_accepted(snapshots))
 
     def value(position: int, kind: str) -> Column:
         return F.variant_get("vector", f"$[{position}]", kind)

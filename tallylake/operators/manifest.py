@@ -5,7 +5,7 @@ Checkpoints are rows (topic, partition, last_offset): one per broker partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed pattern of an object key; the topic must repeat in the file name.
@@ -17,22 +17,24 @@ CHECKPOINT_SCHEMA = "topic STRING, partition BIGINT, last_offset BIGINT"
 def parse_bronze_keys(objects: DataFrame, bucket: str = "s3://bronze") -> DataFrame:
     """Topic, partition, first offset, table and URI of each object; other keys are ignored."""
     key = F.col("key")
-
-    def number(group: int):
-        # No match gives '', which must not reach the strict cast.
-        return F.nullif(F.regexp_extract(key, OBJECT_KEY, group), F.lit("")).cast("bigint")
-
-    topic = F.regexp_extract(key, OBJECT_KEY, 1)
+    # The pattern is matched once; it leaves the numbers behind the last two plus signs.
+    topic = F.split_part(key, F.lit("/"), F.lit(2))
+    name = F.substring_index(F.substring_index(key, "/", -1), ".json", 1)
     return objects.where(key.rlike(OBJECT_KEY)).select(
         "key",
         topic.alias("topic"),
-        number(2).alias("partition"),
-        number(3).alias("start_offset"),
+        _number(F.substring_index(F.substring_index(name, "+", -2), "+", 1)).alias("partition"),
+        _number(F.substring_index(name, "+", -1)).alias("start_offset"),
         F.substring_index(topic, ".", -1).alias("table"),
         F.concat(F.lit(bucket.rstrip("/") + "/"), key).alias("uri"),
     )
 
 
+def _number(digits: Column) -> Column:
+    # A key that is not matched has no number there, which must not reach the strict cast.
+    return F.when(F.col("key").rlike(OBJECT_KEY), digits).cast("bigint")
+
+
 def unprocessed_objects(objects: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """Parsed objects that start after the checkpoint of their topic and partition."""
     last = F.coalesce(F.col("last_offset"), F.lit(-1))
