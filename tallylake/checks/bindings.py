@@ -14,7 +14,7 @@ _tables: dict[tuple[str, str, str], DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table. Its schema is read from the file once per application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _tables:
+    if key not in _tables or _tables[key].sparkSession is not spark:
         _tables[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _tables[key]
 

@@ -241,7 +241,8 @@ def finished_lake(spark: SparkSession, sf_dir: str) -> FinishedLake:
             results.append(run_microbatch(spark, bronze, lake))
         return FinishedLake(lake, bronze, results)
 
-    return once(spark, sf_dir, "finished_lake", make)
+    done = once(spark, sf_dir, "finished_lake", make)
+    return FinishedLake(Lake(spark, done.lake.root), done.bronze, done.results)
 
 
 # --- aircraft snapshots ----------------------------------------------------------------

@@ -36,7 +36,7 @@ def extract_envelope(lines: DataFrame, contract: TableContract) -> DataFrame:
     shape = f"struct<{event},payload:struct<{event}>>"
     parsed = F.try_variant_get(F.try_parse_json("value"), "$", shape)
     # The parser stops at the end of the object; text after it is caught here.
-    closed = F.col("value").rlike(r"^\s*\{[\s\S]*\}\s*$")
+    closed = F.rtrim(F.col("value"), F.lit(" \t\r")).endswith("}")
     lines = lines.select("value", parsed.alias("e"))
 
     def first(path: str) -> Column:
@@ -142,9 +142,10 @@ def stage_events(lines: DataFrame, contract: TableContract, path: str) -> DataFr
     """
     counts = Observation()
     normalised = normalise_events(lines, contract).observe(counts, *_rule_counts())
-    normalised.drop("broken").write.mode("overwrite").parquet(path)
+    rows = normalised.drop("broken")
+    rows.write.mode("overwrite").parquet(path)
     _raise_on(counts.get, contract.name)
-    return lines.sparkSession.read.parquet(path)
+    return lines.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def align_to_contract(rows: DataFrame, contract: TableContract) -> DataFrame:

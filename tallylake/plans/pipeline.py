@@ -104,17 +104,17 @@ def run_microbatch(
         lake.checkpoint.replace(offsets.withColumn("lsn", F.lit(None).cast("bigint")))
         return BatchResult(committed=True)
 
-    def latest(table: str) -> DataFrame:
-        contract = lake.contracts[table]
+    def reduce_and_apply(table: str) -> tuple[int, int]:
+        # The latest versions are written: the upsert and the check read them several times.
+        contract, path = lake.contracts[table], f"{run}/latest/{table}"
         events = at_or_below(staged[table].select(contract.columns), cutoff)
-        return latest_by_lsn(events, contract.primary_key)
+        latest_by_lsn(events, contract.primary_key).write.parquet(path)
+        latest[table] = spark.read.schema(contract.schema).parquet(path)
+        return lake.silver(table).apply(latest[table])
 
-    applied = dict(
-        _each(
-            spark, lambda table: lake.silver(table).apply(latest(table)), staged, parallel_tables
-        )
-    )
-    _check_batch(lake, {table: latest(table) for table in staged})
+    latest: dict[str, DataFrame] = {}
+    applied = dict(_each(spark, reduce_and_apply, staged, parallel_tables))
+    _check_batch(lake, latest)
     _build_gold(lake, zone, parallel_tables)
     commit_checkpoint(lake, cutoff, offsets)
     _each(spark, lambda table: lake.silver(table).compact(), staged, parallel_tables)

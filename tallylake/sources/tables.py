@@ -191,8 +191,10 @@ class SilverTable(VersionedTable):
         wanted = list(dict.fromkeys([key, LSN, *columns]))
         state, changes = self._layers()
         if state is None:
-            empty = T.StructType([self.contract.schema[c] for c in wanted])
-            return self.spark.createDataFrame([], empty)
+            # Known to be empty when planned, so a first load is not joined at all.
+            types = [self.contract.schema[c].dataType for c in wanted]
+            nothing = [F.lit(None).cast(t).alias(c) for c, t in zip(wanted, types)]
+            return self.spark.range(1).select(nothing).where(F.lit(False))
         keys = keys.select(key)
         layers = [layer.join(keys, key, "left_semi") for layer in [state, *changes]]
         return self._newest(layers, wanted)

@@ -23,8 +23,11 @@ def apply_cdc_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         target = SilverTable(batch.sparkSession, table.path, contract)
-        staged = stage_events(batch, contract, f"{staging.rstrip('/')}/batch={batch_id}")
-        target.apply(latest_by_lsn(staged.select(contract.columns), contract.primary_key))
+        path = f"{staging.rstrip('/')}/batch={batch_id}"
+        staged = stage_events(batch, contract, f"{path}/events")
+        latest = latest_by_lsn(staged.select(contract.columns), contract.primary_key)
+        latest.write.mode("overwrite").parquet(f"{path}/latest")
+        target.apply(batch.sparkSession.read.schema(contract.schema).parquet(f"{path}/latest"))
         target.compact()
 
     return (
