@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,13 +113,9 @@ def normalise_events(lines: DataFrame, contract: TableContract) -> DataFrame:
     return project_contract(extract_envelope(lines, contract), contract)
 
 
-def _rule_counts() -> list[Column]:
-    return [F.count_if(F.col(f"broken.{rule}")).alias(rule) for rule in RULES]
-
-
 def contract_counts(normalised: DataFrame) -> DataFrame:
     """One row: how many lines break each rule, in one pass over the whole batch."""
-    return normalised.agg(*_rule_counts())
+    return normalised.agg(*[F.count_if(F.col(f"broken.{rule}")).alias(rule) for rule in RULES])
 
 
 def _raise_on(counts: dict[str, int], table: str) -> None:
@@ -135,17 +131,16 @@ def validate_cdc_batch(normalised: DataFrame, contract: TableContract) -> DataFr
 
 
 def stage_events(lines: DataFrame, contract: TableContract, path: str) -> DataFrame:
-    """Parse a batch once, write it to ``path`` and check it while writing.
+    """Parse a batch once, write it with its rule flags to ``path`` and check it there.
 
-    Later steps read typed columns from ``path`` instead of parsing again, and a
-    lost executor costs its tasks only. Raises before anything can be applied.
+    The check reads the flags only, and later steps read typed columns instead
+    of parsing again, so a lost executor costs its tasks only. Raises before
+    anything can be applied.
     """
-    counts = Observation()
-    normalised = normalise_events(lines, contract).observe(counts, *_rule_counts())
-    rows = normalised.drop("broken")
-    rows.write.mode("overwrite").parquet(path)
-    _raise_on(counts.get, contract.name)
-    return lines.sparkSession.read.schema(rows.schema).parquet(path)
+    normalised = normalise_events(lines, contract)
+    normalised.write.mode("overwrite").parquet(path)
+    written = lines.sparkSession.read.schema(normalised.schema).parquet(path)
+    return validate_cdc_batch(written, contract)
 
 
 def align_to_contract(rows: DataFrame, contract: TableContract) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,10 +57,13 @@ class VersionedTable:
 
     def write_state(self, df: DataFrame, day_column: str | None = None) -> tuple[int, int]:
         """Write a full state without publishing it. Returns (version, rows)."""
-        version, counted = self.next_version(), Observation()
-        df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+        version = self.next_version()
         _write(df, self.folder(version), day_column)
-        return version, counted.get["rows"]
+        return version, self._written_rows(df.schema, self.folder(version))
+
+    def _written_rows(self, schema: T.StructType, path: str) -> int:
+        """Row count of a finished write, from its file footers."""
+        return self.spark.read.schema(schema).parquet(path).count()
 
     def replace(self, df: DataFrame) -> int:
         """Full rebuild: write a new state, then publish it. Returns its row count."""
@@ -203,25 +206,20 @@ class SilverTable(VersionedTable):
         """Upsert a batch with one row per key. Returns (applied, ignored).
 
         Nothing is published when no row is accepted, so a replay leaves the
-        table as it is. The batch is read twice; pass a written one.
+        table as it is. The batch is read several times; pass a written one.
         """
         key = self.contract.primary_key
         batch = batch.select(self.contract.columns)
         stored = self.lookup(batch, [key, LSN])
-        judged, counted = accepted_versions(batch, stored, key), Observation()
-        judged = judged.observe(
-            counted,
-            F.count_if("accepted").alias("applied"),
-            F.count_if(~F.col("accepted")).alias("ignored"),
-        )
+        judged = accepted_versions(batch, stored, key)
         accepted = judged.where("accepted").select(self.contract.columns)
         version, first = self.next_version(), not self.exists()
         kind = STATE if first else CHANGES
         _write(accepted, self.folder(version, kind), self.contract.day_column if first else None)
-        applied, ignored = counted.get["applied"], counted.get["ignored"]
+        applied = self._written_rows(self.contract.schema, self.folder(version, kind))
         if applied:
             self.publish(version, kind, applied)
-        return applied, ignored
+        return applied, batch.count() - applied
 
     def compact(self, force: bool = False) -> bool:
         """Fold the change sets into a new full state if that is due."""
