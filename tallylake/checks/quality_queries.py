@@ -15,6 +15,7 @@ from tallylake.operators import quality as q
 from tallylake.plans import gold
 from tallylake.plans.gold_tests import gold_quality_report, relationship_tests
 from tallylake.plans.staging import staging_live_rows
+from tallylake.session import new_run_folder
 
 
 def faulted_models(spark, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
@@ -289,5 +290,10 @@ def _report_sql() -> str:
 @query("quality_report", with_tables(
     "f_ledger f_accounts f_partners f_transactions", _report_sql()))
 def _quality_report(spark, sf_dir):
+    # As in the pipeline, the models are written once and the tests read what was written.
     models, staging = faulted_models(spark, sf_dir)
-    return gold_quality_report(models, staging)
+    root, written = new_run_folder(spark, "gold"), {}
+    for name, model in models.items():
+        model.write.parquet(f"{root}/{name}")
+        written[name] = spark.read.schema(model.schema).parquet(f"{root}/{name}")
+    return gold_quality_report(written, staging)
