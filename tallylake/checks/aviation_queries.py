@@ -38,9 +38,11 @@ OBSERVED = "strftime(make_timestamp(seconds * 1000000), '%Y-%m-%dT%H:%M:%SZ')"
 
 @query("snapshot_catalog", f"""WITH {BODIES}
 SELECT {KEY} AS object_key, CAST(time AS BIGINT) AS source_time, n AS state_count,
-  CAST(strlen(body) AS BIGINT) AS size_bytes, sha256(body) AS sha256, CAST(NULL AS VARCHAR) AS refusal FROM bodies""")
+  CAST(strlen(body) AS BIGINT) AS size_bytes, sha256(body) AS sha256, 'accepted' AS verdict FROM bodies""")
 def _catalog(spark, sf_dir):
-    return v.snapshot_catalog(x.snapshots(spark, sf_dir))
+    found = v.snapshot_catalog(x.snapshots(spark, sf_dir))
+    verdict = F.coalesce("refusal", F.lit("accepted")).alias("verdict")
+    return found.select(*[c for c in found.columns if c != "refusal"], verdict)
 
 
 @query("scan_snapshots", f"""WITH {BODIES}
