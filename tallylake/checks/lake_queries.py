@@ -273,7 +273,11 @@ SELECT 'keys:' || item AS item, checked, CAST(0 AS BIGINT) AS failures, TRUE AS
 UNION ALL SELECT 'ledger_total', CAST(SUM(amount) AS DECIMAL(38,4)), CAST(0 AS BIGINT), TRUE
 FROM b_ledger_entries WHERE NOT _cdc_deleted"""))
 def _batch(spark, sf_dir):
-    lake, latest = x.finished_lake(spark, sf_dir).lake, _bronze(spark, sf_dir)
+    lake, latest, run = x.finished_lake(spark, sf_dir).lake, {}, new_run_folder(spark, "latest")
+    for name, df in _bronze(spark, sf_dir).items():
+        # Written as in the pipeline: the check reads a batch several times.
+        df.write.parquet(f"{run}/{name}")
+        latest[name] = spark.read.schema(df.schema).parquet(f"{run}/{name}")
     keys = {name: contract.primary_key for name, contract in CONTRACTS.items()}
     stored = {n: lake.silver(n).lookup(df, [keys[n], LSN, DELETED]) for n, df in latest.items()}
     return r.reconcile_batch(latest, stored, keys, lake.silver("ledger_entries").read())
