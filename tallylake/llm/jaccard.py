@@ -65,11 +65,11 @@ def slot_of(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("slots", pa.list_(pa.int64()))])
+_SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("slots", pa.list_(pa.int64()))])
 
 
 def document_sets(docs: DataFrame, ngram: int) -> DataFrame:
-    """doc_id, n, key of every row (key null for empty sets), and a row per task with n-gram counts by slot (n = -1)."""
+    """doc_id, text_key, n, key of every row (key null for empty sets), and a row per task with n-gram counts by slot (n = -1)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, slots, seen = Shingles(ngram), np.zeros(SLOTS, np.int64), False
@@ -83,13 +83,17 @@ def document_sets(docs: DataFrame, ngram: int) -> DataFrame:
                 all_slots.append(slot_of(shingles))
             slots += np.bincount(np.concatenate(all_slots), minlength=SLOTS)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.nulls(len(texts), _SETS.field(3).type)],
+                [
+                    batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                    pa.nulls(len(texts), _SETS.field("slots").type),
+                ],
                 schema=_SETS,
             )
         if seen:
             yield pa.RecordBatch.from_pylist([{"n": -1, "slots": slots}], _SETS)
 
-    return docs.mapInArrow(run, "doc_id long, n long, key binary, slots array<long>")
+    keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return keyed.mapInArrow(run, "doc_id long, text_key long, n long, key binary, slots array<long>")
 
 
 def slot_counts(sets: DataFrame) -> np.ndarray:
@@ -245,16 +249,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> D
 
 
 def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs``.
+    """doc_id, text_key, n_shingles, component_id, component of every row of ``docs``.
 
     Input columns: doc_id, text; others are ignored. Texts without words, null too, have an empty set
     and are linked with nothing: their component is their own id. component_id is the smallest doc_id
     of the component; null ids count only where a component has no other. Repeated rows each have a
-    row. Rows of one id with different texts are linked like any two rows. An empty table gives no rows.
+    row. Rows of one id with different texts are linked like any two rows; text_key, a 64-bit hash of the
+    text, tells them apart, and component (null without words) tells apart components. An empty table gives no rows.
     """
     given = docs.select(F.col("doc_id").cast("long"), "text")
     made = written(document_sets(given, ngram), "sets")
-    sets = made.where("n >= 0").select("doc_id", "n", "key")
+    sets = made.where("n >= 0").select("doc_id", "text_key", "n", "key")
     classes = written(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "classes")
     prefixes = written(document_prefixes(given, slot_counts(made), ngram, percent), "prefixes")
     members = prefixes.select("key", "n", "group").distinct()
@@ -276,11 +281,24 @@ def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
         labels = components(links.unionByName(more))
     least = labels.join(classes.select(F.col("key").alias("node"), "first"), "node").groupBy("component").agg(F.min("first").alias("least"))
     of_class = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").join(least, "component", "left")
-    of_class = of_class.select(F.col("key").alias("class"), F.coalesce("least", "first").alias("least"))
+    of_class = of_class.select(F.col("key").alias("class"), F.coalesce("least", "first").alias("least"), F.coalesce("component", "key").alias("component"))
     out = sets.join(of_class, F.col("key") == F.col("class"), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    return out.select(
+        "doc_id", "text_key", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "component"
+    )
+
+
+def representatives(found: DataFrame) -> DataFrame:
+    """From ``jaccard_components``: doc_id, text_key, keep, copies of each different row. One row of each component is
+    kept, that of the smallest doc_id, and every one without words; ``copies`` counts equal rows."""
+    rows = found.groupBy("doc_id", "text_key", "component").agg(F.count("*").alias("copies"))
+    place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_key")
+    best = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(place).alias("best"))
+    joined = rows.join(best, "component", "left")
+    return joined.select("doc_id", "text_key", (F.col("best").isNull() | (F.col("best") == place)).alias("keep"), F.when(F.col("component").isNull(), 1).otherwise(F.col("copies")).alias("copies"))
 
 
 @query("op10_ngram_jaccard_join")
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    found = jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
