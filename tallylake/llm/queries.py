@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import chat, decontaminate, jaccard, katz, packing, tokenfiles, topk, toxicity, urls  # noqa: F401
+from tallylake.llm import chat, decontaminate, jaccard, katz, licenses, packing, tokenfiles, topk, toxicity, urls  # noqa: F401
 from tallylake.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
