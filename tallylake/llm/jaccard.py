@@ -61,18 +61,18 @@ def key_of(shingles: np.ndarray) -> bytes:
     return xxh3_128_digest(shingles.tobytes())
 
 
-def slot_of(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
+def slot_of(shingles: np.ndarray, slots: int) -> np.ndarray:
+    return ((shingles >> np.uint64(20)) % np.uint64(slots)).astype(np.int64)
 
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("slots", pa.list_(pa.int64()))])
 
 
-def document_sets(docs: DataFrame, ngram: int) -> DataFrame:
+def document_sets(docs: DataFrame, ngram: int, slots: int) -> DataFrame:
     """doc_id, text_key, n, key of every row (key null for empty sets), and a row per task with n-gram counts by slot (n = -1)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, slots, seen = Shingles(ngram), np.zeros(SLOTS, np.int64), False
+        own, counts, seen = Shingles(ngram), np.zeros(slots, np.int64), False
         for batch, texts in in_steps(batches):
             seen = True
             sizes, keys, all_slots = [], [], []
@@ -80,8 +80,8 @@ def document_sets(docs: DataFrame, ngram: int) -> DataFrame:
                 shingles = own.of(text)
                 sizes.append(len(shingles))
                 keys.append(key_of(shingles) if len(shingles) else None)
-                all_slots.append(slot_of(shingles))
-            slots += np.bincount(np.concatenate(all_slots), minlength=SLOTS)
+                all_slots.append(slot_of(shingles, slots))
+            counts += np.bincount(np.concatenate(all_slots), minlength=slots)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
@@ -90,17 +90,17 @@ def document_sets(docs: DataFrame, ngram: int) -> DataFrame:
                 schema=_SETS,
             )
         if seen:
-            yield pa.RecordBatch.from_pylist([{"n": -1, "slots": slots}], _SETS)
+            yield pa.RecordBatch.from_pylist([{"n": -1, "slots": counts}], _SETS)
 
     keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     return keyed.mapInArrow(run, "doc_id long, text_key long, n long, key binary, slots array<long>")
 
 
-def slot_counts(sets: DataFrame) -> np.ndarray:
-    """n-grams of all documents by slot: SLOTS numbers, however large the table is."""
+def slot_counts(sets: DataFrame, slots: int) -> np.ndarray:
+    """n-grams of all documents by slot: so many numbers, however large the table is."""
     each = sets.where("n = -1").select(F.posexplode("slots").alias("slot", "n")).groupBy("slot").agg(F.sum("n").alias("n"))
     found = each.toArrow()
-    counts = np.zeros(SLOTS, np.int64)
+    counts = np.zeros(slots, np.int64)
     counts[found["slot"].to_numpy()] = found["n"].to_numpy()
     return counts
 
@@ -117,7 +117,7 @@ def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent:
     """key, n, group, prefix of every document with words; a group is a size and a prefix."""
     from xxhash import xxh3_64_intdigest
 
-    shared = docs.sparkSession.sparkContext.broadcast(counts)  # SLOTS numbers
+    shared = docs.sparkSession.sparkContext.broadcast(counts)  # a fixed number of slots
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(ngram)
@@ -127,7 +127,7 @@ def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent:
                 shingles = own.of(text)
                 if not len(shingles):
                     continue
-                order = np.lexsort((shingles, shared.value[slot_of(shingles)]))
+                order = np.lexsort((shingles, shared.value[slot_of(shingles, len(shared.value))]))
                 prefix = shingles[order[: prefix_length(len(shingles), percent)]]
                 keys.append(key_of(shingles))
                 sizes.append(len(shingles))
@@ -248,7 +248,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> D
     return pairs.distinct().join(left, "b").join(right, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
 
-def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, slots: int = SLOTS) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, component of every row of ``docs``.
 
     Input columns: doc_id, text; others are ignored. Texts without words, null too, have an empty set
@@ -258,10 +258,10 @@ def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
     text, tells them apart, and component (null without words) tells apart components. An empty table gives no rows.
     """
     given = docs.select(F.col("doc_id").cast("long"), "text")
-    made = written(document_sets(given, ngram), "sets")
+    made = written(document_sets(given, ngram, slots), "sets")
     sets = made.where("n >= 0").select("doc_id", "text_key", "n", "key")
     classes = written(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "classes")
-    prefixes = written(document_prefixes(given, slot_counts(made), ngram, percent), "prefixes")
+    prefixes = written(document_prefixes(given, slot_counts(made, slots), ngram, percent), "prefixes")
     members = prefixes.select("key", "n", "group").distinct()
     groups = prefixes.groupBy("group").agg(F.min("n").alias("n"), F.min("prefix").alias("prefix"), F.countDistinct("key").alias("members"))
     groups = written(groups, "groups")
