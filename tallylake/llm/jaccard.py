@@ -8,7 +8,8 @@ which are verified.
 Copies would give all pairs of a large group. So equal sets are one class from the start, and only
 links that can still join two components are looked for: first each group is compared with one hub of
 every prefix n-gram it has, then what is not yet connected is compared in full. No two sets that are
-similar end in different components.
+similar end in different components. Before texts are fetched, members are compared by a signature, the
+parity of n-grams in each of some slots: two sets differ by at least as many n-grams as bits.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ NGRAM = 3
 PERCENT = 90
 #: n-grams are counted in so many slots to find an order with rare ones first. The order changes no result.
 SLOTS = 1 << 18
-#: Bits of the filter that keeps texts nobody asks for out of a shuffle; false hits only cost time.
-FILTER_BITS = 1 << 23
+#: Bits of a set's parity signature, 64 to a number.
+SIGNATURE_BITS = 512
+#: Texts of up to so many asked ids are found by a broadcast of the ids, which are counted first; more by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 # --- sets -----------------------------------------------------------------------------------
@@ -110,11 +113,19 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-_PREFIXES = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("group", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+_PREFIXES = pa.schema([
+    ("key", pa.binary()), ("n", pa.int64()), ("group", pa.int64()), ("prefix", pa.list_(pa.int64())), ("signature", pa.list_(pa.int64())),
+])
+
+
+def signature_of(shingles: np.ndarray) -> np.ndarray:
+    """Which slots hold an odd number of n-grams."""
+    slots = ((shingles >> np.uint64(8)) % np.uint64(SIGNATURE_BITS)).astype(np.int64)
+    return np.packbits(np.bincount(slots, minlength=SIGNATURE_BITS) & 1).view(np.int64)
 
 
 def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent: int) -> DataFrame:
-    """key, n, group, prefix of every document with words; a group is a size and a prefix."""
+    """key, n, group, prefix, signature of every document with words; a group is a size and a prefix."""
     from xxhash import xxh3_64_intdigest
 
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # a fixed number of slots
@@ -122,7 +133,7 @@ def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(ngram)
         for _, texts in in_steps(batches):
-            keys, sizes, groups, prefixes = [], [], [], []
+            keys, sizes, groups, prefixes, signatures = [], [], [], [], []
             for text in texts:
                 shingles = own.of(text)
                 if not len(shingles):
@@ -133,12 +144,13 @@ def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent:
                 sizes.append(len(shingles))
                 groups.append(xxh3_64_intdigest(prefix.tobytes(), len(shingles)) - (1 << 63))
                 prefixes.append(prefix.view(np.int64))
+                signatures.append(signature_of(shingles))
             yield pa.RecordBatch.from_arrays([
                 pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(groups, pa.int64()),
-                pa.array(prefixes, pa.list_(pa.int64())),
+                pa.array(prefixes, pa.list_(pa.int64())), pa.array(signatures, pa.list_(pa.int64())),
             ], schema=_PREFIXES)
 
-    return docs.mapInArrow(run, "key binary, n long, group long, prefix array<long>")
+    return docs.mapInArrow(run, "key binary, n long, group long, prefix array<long>, signature array<long>")
 
 
 # --- candidates -------------------------------------------------------------------------------
@@ -152,6 +164,12 @@ def _may_link(percent: int) -> Column:
     return sizes & (most * (100 + percent) >= (n + m) * percent)
 
 
+def _signatures_agree(percent: int) -> Column:
+    """Sets that link differ by at most (n + m)(100 - percent) / (100 + percent) n-grams."""
+    differ = sum((F.bit_count(F.get("signature", F.lit(i)).bitwiseXOR(F.get("signature_b", F.lit(i)))) for i in range(SIGNATURE_BITS // 64)), F.lit(0))
+    return differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
+
+
 def _other(units: DataFrame) -> DataFrame:
     return units.select("token", *(F.col(c).alias(d) for c, d in (("group", "group_b"), ("n", "m"), ("pos", "pos_b"), ("comp", "comp_b"))))
 
@@ -166,15 +184,18 @@ def _with_components(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def _hub_pairs(members: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """Key pairs: each member with one member of the least group of every prefix n-gram, and of its own group."""
-    leaders = members.groupBy("group").agg(F.min("key").alias("a"))
-    inside = members.join(leaders, "group").select("a", F.col("key").alias("b"))
+    leader = F.min(F.struct("key", "n", "signature")).alias("hub_member")
+    leaders = members.groupBy("group").agg(leader).select(
+        F.col("group").alias("hub"), F.col("hub_member.key").alias("a"), F.col("hub_member.n").alias("m"), F.col("hub_member.signature").alias("signature_b")
+    )
     hubs = tokens.groupBy("token").agg(F.min(F.struct("group", "n", "pos")).alias("hub"))
     near = tokens.join(hubs, "token").select(
         "group", F.col("hub.group").alias("hub"), "n", F.col("hub.n").alias("m"), "pos", F.col("hub.pos").alias("pos_b")
     )
-    near = near.where((F.col("group") != F.col("hub")) & _may_link(percent)).select("group", "hub").distinct()
-    across = near.join(leaders.select(F.col("group").alias("hub"), "a"), "hub").join(members.select("group", "key"), "group")
-    return inside.unionByName(across.select("a", F.col("key").alias("b"))).where("a != b")
+    near = near.where((F.col("group") != F.col("hub")) & _may_link(percent)).select("group", "hub")
+    own = members.select("group", F.col("group").alias("hub"))
+    pairs = near.unionByName(own).distinct().join(leaders, "hub").join(members, "group").where(_signatures_agree(percent))
+    return pairs.select("a", F.col("key").alias("b")).where("a != b")
 
 
 def _open_pairs(members: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -192,42 +213,40 @@ def _open_pairs(members: DataFrame, tokens: DataFrame, percent: int) -> DataFram
     small = live.where("comp != top").drop("top")
     pairs = small.join(_other(live), "token").where((F.col("comp") != F.col("comp_b")) & _may_link(percent))
     pairs = pairs.select("group", "comp", "group_b", "comp_b").distinct()
-    one, two = members.select("group", "comp", F.col("key").alias("a")), members.select(
-        F.col("group").alias("group_b"), F.col("comp").alias("comp_b"), F.col("key").alias("b")
+    one = members.select("group", "comp", F.col("key").alias("a"), "n", "signature")
+    two = members.select(
+        F.col("group").alias("group_b"), F.col("comp").alias("comp_b"), F.col("key").alias("b"), F.col("n").alias("m"), F.col("signature").alias("signature_b")
     )
-    expanded = pairs.join(one, ["group", "comp"]).join(two, ["group_b", "comp_b"])
+    expanded = pairs.join(one, ["group", "comp"]).join(two, ["group_b", "comp_b"]).where(_signatures_agree(percent))
     return expanded.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 # --- verification -----------------------------------------------------------------------------
 
 
-def _texts_of(docs: DataFrame, needed: DataFrame, ngram: int) -> DataFrame:
-    """key, text of the documents whose ids are in ``needed`` (first), found through a bit filter of fixed size."""
-    slot = F.pmod(F.xxhash64("first"), F.lit(FILTER_BITS))
-    words = needed.select(slot.alias("slot")).groupBy(F.expr("slot div 64").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")
-    ).toArrow()  # FILTER_BITS / 64 rows at most
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+def _texts_of(docs: DataFrame, pairs: DataFrame, classes: DataFrame, ngram: int) -> DataFrame:
+    """key, text of every set in ``pairs``, read from the document with the smallest id that has it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(ngram)
-        for batch in batches:
-            slots = batch.column("slot").to_numpy()
-            asked = (shared.value[slots // 64] >> (slots % 64)) & 1
-            for _, texts in in_steps([batch.filter(pa.array(asked == 1))]):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key_of(own.of(t)) for t in texts], pa.binary()), pa.array(texts, pa.string())], names=["key", "text"]
-                )
+        for _, texts in in_steps(batches):
+            keys = pa.array([key_of(own.of(t)) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(texts, pa.string())], names=["key", "text"])
 
-    found = docs.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("slot")).mapInArrow(run, "key binary, text string")
-    return found.join(needed.select("key"), "key", "left_semi")
+    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    needed = written(keys.join(classes, "key").select("key", F.col("first").alias("asked")), "asked-sets")
+    ids = needed.select("asked").distinct()
+    if needed.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    # An id may have several texts, so the key is made anew; sets without an id are looked for among rows without one.
+    found = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("asked")), "left_semi").select("text")
+    return found.mapInArrow(run, "key binary, text string")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ngram: int, percent: int) -> DataFrame:
     """The pairs that link. Equal sets have one key, so a key with several texts may take any of them."""
+    pairs = written(pairs.distinct(), "candidates")
+    texts = written(_texts_of(docs, pairs, classes, ngram), "asked-texts")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(ngram)
@@ -245,7 +264,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, ngram: int, percent: int) -> D
 
     left = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     right = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    return pairs.distinct().join(left, "b").join(right, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
+    found = pairs.join(left, "b").join(right, "a").select("a", "b", "text_a", "text_b")
+    return found.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, slots: int = SLOTS) -> DataFrame:
@@ -262,7 +282,7 @@ def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
     sets = made.where("n >= 0").select("doc_id", "text_key", "n", "key")
     classes = written(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "classes")
     prefixes = written(document_prefixes(given, slot_counts(made, slots), ngram, percent), "prefixes")
-    members = prefixes.select("key", "n", "group").distinct()
+    members = prefixes.select("key", "n", "group", "signature").distinct()
     groups = prefixes.groupBy("group").agg(F.min("n").alias("n"), F.min("prefix").alias("prefix"), F.countDistinct("key").alias("members"))
     groups = written(groups, "groups")
     tokens = groups.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
@@ -271,12 +291,10 @@ def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
     tokens = written(tokens.join(shared, "token"), "tokens")
     active = tokens.select("group").unionByName(groups.where("members > 1").select("group")).distinct()
     members = written(members.join(active, "group"), "members")
-    needed = members.select("key").join(classes, "key").select("key", "first")
-    texts = written(_texts_of(given, needed, ngram), "asked-texts")
-
-    links = written(_verified(_hub_pairs(members, tokens, percent), texts, ngram, percent), "hub-links")
+    links = written(_verified(_hub_pairs(members, tokens, percent), given, classes, ngram, percent), "hub-links")
     labels = components(links)
-    more = written(_verified(_open_pairs(_with_components(members, labels), tokens, percent), texts, ngram, percent), "open-links")
+    candidates = _open_pairs(_with_components(members, labels), tokens, percent)
+    more = written(_verified(candidates, given, classes, ngram, percent), "open-links")
     if more.limit(1).count():
         labels = components(links.unionByName(more))
     least = labels.join(classes.select(F.col("key").alias("node"), "first"), "node").groupBy("component").agg(F.min("first").alias("least"))
