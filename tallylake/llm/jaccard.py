@@ -18,8 +18,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from tallylake.llm.common import HashMemo, in_steps, mixed, space_words, table, written
 from tallylake.llm.components import components
@@ -29,7 +31,9 @@ NGRAM = 3
 #: Two documents link when 100 * intersection >= PERCENT * union.
 PERCENT = 90
 #: n-grams are counted in so many slots to find an order with rare ones first. The order changes no result.
-SLOTS = 1 << 18
+SLOTS = 1 << 22
+#: Slots that are summed together, and sums that tasks are first dealt to.
+CHUNK_SLOTS, FIRST_SUMS = 1 << 16, 32
 #: Bits of a set's parity signature, 64 to a number.
 SIGNATURE_BITS = 512
 #: Texts of up to so many asked ids are found by a broadcast of the ids, which are counted first; more by a shuffle.
@@ -59,8 +63,6 @@ class Shingles:
 
 
 def key_of(shingles: np.ndarray) -> bytes:
-    from xxhash import xxh3_128_digest
-
     return xxh3_128_digest(shingles.tobytes())
 
 
@@ -68,14 +70,14 @@ def slot_of(shingles: np.ndarray, slots: int) -> np.ndarray:
     return ((shingles >> np.uint64(20)) % np.uint64(slots)).astype(np.int64)
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("slots", pa.list_(pa.int64()))])
+_SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("slots", pa.binary())])
 
 
 def document_sets(docs: DataFrame, ngram: int, slots: int) -> DataFrame:
-    """doc_id, text_key, n, key of every row (key null for empty sets), and a row per task with n-gram counts by slot (n = -1)."""
+    """doc_id, text_key, n, key of every row (key null for empty sets), and rows per task with n-gram counts by slot: the chunk as -n - 1, and a number to deal the tasks by as text_key."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counts, seen = Shingles(ngram), np.zeros(slots, np.int64), False
+        own, counts, seen = Shingles(ngram), np.zeros(slots, np.int32), False
         for batch, texts in in_steps(batches):
             seen = True
             sizes, keys, all_slots = [], [], []
@@ -84,7 +86,7 @@ def document_sets(docs: DataFrame, ngram: int, slots: int) -> DataFrame:
                 sizes.append(len(shingles))
                 keys.append(key_of(shingles) if len(shingles) else None)
                 all_slots.append(slot_of(shingles, slots))
-            counts += np.bincount(np.concatenate(all_slots), minlength=slots)
+            counts += np.bincount(np.concatenate(all_slots), minlength=slots).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
@@ -93,18 +95,34 @@ def document_sets(docs: DataFrame, ngram: int, slots: int) -> DataFrame:
                 schema=_SETS,
             )
         if seen:
-            yield pa.RecordBatch.from_pylist([{"n": -1, "slots": counts}], _SETS)
+            deal = TaskContext.get().partitionId() % FIRST_SUMS
+            for i, at in enumerate(range(0, slots, CHUNK_SLOTS)):
+                some = counts[at : at + CHUNK_SLOTS].astype("<i8").tobytes()
+                yield pa.RecordBatch.from_pylist([{"n": -1 - i, "text_key": deal, "slots": pa.compress(some, "zstd", asbytes=True)}], _SETS)
 
     keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return keyed.mapInArrow(run, "doc_id long, text_key long, n long, key binary, slots array<long>")
+    return keyed.mapInArrow(run, "doc_id long, text_key long, n long, key binary, slots binary")
 
 
 def slot_counts(sets: DataFrame, slots: int) -> np.ndarray:
-    """n-grams of all documents by slot: so many numbers, however large the table is."""
-    each = sets.where("n = -1").select(F.posexplode("slots").alias("slot", "n")).groupBy("slot").agg(F.sum("n").alias("n"))
-    found = each.toArrow()
-    counts = np.zeros(slots, np.int64)
-    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+    """n-grams of all documents by slot: so many numbers, however large the table is. Summed in two steps."""
+    schema = pa.schema([("n", pa.int64()), ("slots", pa.binary())])
+
+    def numbers(n: int, raw: bytes) -> np.ndarray:
+        return np.frombuffer(pa.decompress(raw, 8 * min(CHUNK_SLOTS, slots + (n + 1) * CHUNK_SLOTS), "zstd", asbytes=True), "<i8")
+
+    def add(rows: pa.Table) -> pa.Table:
+        n, total = rows["n"][0].as_py(), 0
+        for raw in rows["slots"]:
+            total = total + numbers(n, raw.as_py())
+        return pa.Table.from_pylist([{"n": n, "slots": pa.compress(total.tobytes(), "zstd", asbytes=True)}], schema)
+
+    each = sets.where("n < 0").select("n", "text_key", "slots").groupBy("n", "text_key").applyInArrow(add, "n long, slots binary")
+    found = each.groupBy("n").applyInArrow(add, "n long, slots binary").toArrow()
+    counts = np.zeros(slots, np.int32)
+    for n, raw in zip(found["n"].to_pylist(), found["slots"].to_pylist(), strict=True):
+        some = numbers(n, raw)
+        counts[(-n - 1) * CHUNK_SLOTS :][: len(some)] = np.minimum(some, np.iinfo(np.int32).max)
     return counts
 
 
@@ -126,8 +144,6 @@ def signature_of(shingles: np.ndarray) -> np.ndarray:
 
 def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent: int) -> DataFrame:
     """key, n, group, prefix, signature of every document with words; a group is a size and a prefix."""
-    from xxhash import xxh3_64_intdigest
-
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # a fixed number of slots
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,22 +172,24 @@ def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent:
 # --- candidates -------------------------------------------------------------------------------
 
 
-def _may_link(percent: int) -> Column:
-    """Sizes, and the places of the shared n-gram (from 0), leave room for the overlap that a link needs."""
-    n, m, i, j = (F.col(c) for c in ("n", "m", "pos", "pos_b"))
-    sizes = (n * 100 >= m * percent) & (m * 100 >= n * percent)
-    most = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    return sizes & (most * (100 + percent) >= (n + m) * percent)
-
-
 def _signatures_agree(percent: int) -> Column:
     """Sets that link differ by at most (n + m)(100 - percent) / (100 + percent) n-grams."""
     differ = sum((F.bit_count(F.get("signature", F.lit(i)).bitwiseXOR(F.get("signature_b", F.lit(i)))) for i in range(SIGNATURE_BITS // 64)), F.lit(0))
     return differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
 
 
+def _may_link(percent: int) -> Column:
+    """Sizes, the places of the shared n-gram (from 0), and the signatures of groups of one leave room for the overlap
+    that a link needs."""
+    n, m, i, j = (F.col(c) for c in ("n", "m", "pos", "pos_b"))
+    sizes = (n * 100 >= m * percent) & (m * 100 >= n * percent)
+    most = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
+    alike = F.col("signature").isNull() | F.col("signature_b").isNull() | _signatures_agree(percent)
+    return sizes & (most * (100 + percent) >= (n + m) * percent) & alike
+
+
 def _other(units: DataFrame) -> DataFrame:
-    return units.select("token", *(F.col(c).alias(d) for c, d in (("group", "group_b"), ("n", "m"), ("pos", "pos_b"), ("comp", "comp_b"))))
+    return units.select("token", *(F.col(c).alias(d) for c, d in (("group", "group_b"), ("n", "m"), ("pos", "pos_b"), ("comp", "comp_b"), ("signature", "signature_b"))))
 
 
 def _with_components(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -188,9 +206,10 @@ def _hub_pairs(members: DataFrame, tokens: DataFrame, percent: int) -> DataFrame
     leaders = members.groupBy("group").agg(leader).select(
         F.col("group").alias("hub"), F.col("hub_member.key").alias("a"), F.col("hub_member.n").alias("m"), F.col("hub_member.signature").alias("signature_b")
     )
-    hubs = tokens.groupBy("token").agg(F.min(F.struct("group", "n", "pos")).alias("hub"))
+    hubs = tokens.groupBy("token").agg(F.min(F.struct("group", "n", "pos", "signature")).alias("hub"))
     near = tokens.join(hubs, "token").select(
-        "group", F.col("hub.group").alias("hub"), "n", F.col("hub.n").alias("m"), "pos", F.col("hub.pos").alias("pos_b")
+        "group", F.col("hub.group").alias("hub"), "n", F.col("hub.n").alias("m"), "pos", F.col("hub.pos").alias("pos_b"),
+        "signature", F.col("hub.signature").alias("signature_b"),
     )
     near = near.where((F.col("group") != F.col("hub")) & _may_link(percent)).select("group", "hub")
     own = members.select("group", F.col("group").alias("hub"))
@@ -204,12 +223,12 @@ def _open_pairs(members: DataFrame, tokens: DataFrame, percent: int) -> DataFram
     For each n-gram the largest component isn't paired with itself: its rows meet only those of others.
     """
     units = members.groupBy("group", "comp").agg(F.count("*").alias("size"))
-    own = members.select("group", "n").distinct().select(F.col("group").alias("token"), "group", "n", F.lit(0).alias("pos"))
+    own = members.select("group", "n").distinct().select(F.col("group").alias("token"), "group", "n", F.lit(0).alias("pos"), F.lit(None).cast("array<long>").alias("signature"))
     placed = tokens.unionByName(own).join(units, "group")
     sizes = placed.groupBy("token", "comp").agg(F.sum("size").alias("size"))
     largest = sizes.groupBy("token").agg(F.max(F.struct("size", "comp")).alias("top"), F.count("*").alias("comps"))
     largest = largest.where("comps > 1").select("token", F.col("top.comp").alias("top"))
-    live = written(placed.join(largest, "token").select("token", "group", "n", "pos", "comp", "top"), "open-units")
+    live = written(placed.join(largest, "token").select("token", "group", "n", "pos", "signature", "comp", "top"), "open-units")
     small = live.where("comp != top").drop("top")
     pairs = small.join(_other(live), "token").where((F.col("comp") != F.col("comp_b")) & _may_link(percent))
     pairs = pairs.select("group", "comp", "group_b", "comp_b").distinct()
@@ -283,9 +302,9 @@ def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
     classes = written(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "classes")
     prefixes = written(document_prefixes(given, slot_counts(made, slots), ngram, percent), "prefixes")
     members = prefixes.select("key", "n", "group", "signature").distinct()
-    groups = prefixes.groupBy("group").agg(F.min("n").alias("n"), F.min("prefix").alias("prefix"), F.countDistinct("key").alias("members"))
-    groups = written(groups, "groups")
-    tokens = groups.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
+    groups = prefixes.groupBy("group").agg(F.min("n").alias("n"), F.min("prefix").alias("prefix"), F.countDistinct("key").alias("members"), F.min("signature").alias("signature"))
+    groups = written(groups.withColumn("signature", F.when(F.col("members") == 1, F.col("signature"))), "groups")
+    tokens = groups.select("group", "n", "signature", F.posexplode("prefix").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
     # An n-gram of one group alone makes no pair.
     tokens = written(tokens.join(shared, "token"), "tokens")
