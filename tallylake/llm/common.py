@@ -14,12 +14,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from tallylake.session import new_run_folder
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Texts of one step inside a task hold about this many characters, however many rows Arrow delivers at once.
-STEP_CHARS = 8_000_000
+STEP_CHARS = 5_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,15 +73,13 @@ def per_batch(work: Callable[[pa.RecordBatch, list[str]], dict[str, Any]], schem
 # --- words and hashes ------------------------------------------------------------------
 
 #: Entries a memo holds before it starts anew; it bounds a worker's memory and changes no result.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 600_000
 
 
 class HashMemo(dict):
     """64-bit hashes of words (byte strings)."""
 
     def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
-
         value = self[word] = xxh3_64_intdigest(word)
         return value
 
