@@ -8,6 +8,7 @@ from tallylake.checks import fixtures as x
 from tallylake.checks.registry import query
 from tallylake.operators import aviation as v
 from tallylake.session import new_run_folder
+from tallylake.sources.bronze import relative_key
 from tallylake.sources.snapshots import land_snapshots, scan_snapshots
 from tallylake.streaming.observations import dedup_observation_stream
 
@@ -36,44 +37,49 @@ KEY = "'aviation/opensky/snap-' || block || '.json'"
 OBSERVED = "strftime(make_timestamp(seconds * 1000000), '%Y-%m-%dT%H:%M:%SZ')"
 
 
-@query("snapshot_catalog", f"""WITH {BODIES}
-SELECT {KEY} AS object_key, CAST(time AS BIGINT) AS source_time, n AS state_count,
-  CAST(strlen(body) AS BIGINT) AS size_bytes, sha256(body) AS sha256, 'accepted' AS verdict FROM bodies""")
+@query("snapshot_catalog", f"""WITH {BODIES}, given AS (
+SELECT block, time, n, body || CASE block % 5 WHEN 1 THEN ' garbage' WHEN 3 THEN body ELSE '' END AS body FROM bodies)
+SELECT {KEY} AS object_key, CASE WHEN block % 5 NOT IN (1, 3) THEN CAST(time AS BIGINT) END AS source_time,
+  CASE WHEN block % 5 NOT IN (1, 3) THEN n END AS state_count, CAST(strlen(body) AS BIGINT) AS size_bytes,
+  sha256(body) AS sha256, CASE WHEN block % 5 IN (1, 3) THEN 'invalid_json' ELSE 'accepted' END AS verdict FROM given""")
 def _catalog(spark, sf_dir):
-    found = v.snapshot_catalog(x.snapshots(spark, sf_dir))
+    # Some bodies go on behind the object: with other text, or with the object once more.
+    behind = F.when(F.col("block") % 5 == 1, F.encode(F.lit(" garbage"), "UTF-8")).when(F.col("block") % 5 == 3, F.col("content"))
+    content = F.concat("content", F.coalesce(behind, F.encode(F.lit(""), "UTF-8")))
+    found = v.snapshot_catalog(x.snapshots(spark, sf_dir).withColumn("content", content))
     verdict = F.coalesce("refusal", F.lit("accepted")).alias("verdict")
     return found.select(*[c for c in found.columns if c != "refusal"], verdict)
 
 
 @query("scan_snapshots", f"""WITH {BODIES}
 SELECT 'snap-' || block AS snapshot, CAST(strlen(body) + 1 AS BIGINT) AS stored_size,
-  sha256(body || chr(10)) AS sha256, 'req-' || block AS request_id FROM bodies""")
+  sha256(body || chr(10)) AS sha256, CASE WHEN block % 4 <> 3 THEN 'req-' || block END AS request_id FROM bodies""")
 def _scan(spark, sf_dir):
     folder = x.snapshot_folder(spark, sf_dir)
-    name = F.concat(F.lit("snap-"), F.col("block").cast("string"))
-    # File names are chosen by the writer, so metadata meets a file by its folder.
-    found = scan_snapshots(spark, folder, _no_metadata(spark), "*.txt").drop("metadata")
-    metadata = x.snapshots(spark, sf_dir).select(name.alias("snapshot"), "metadata")
-    snapshot = F.regexp_extract("object_key", r"snapshot_id=([^/]+)/", 1)
-    return found.withColumn("snapshot", snapshot).join(metadata, "snapshot", "left").select(
-        "snapshot", "stored_size", F.sha2("content", 256).alias("sha256"),
+    # File names are chosen by the writer, so the keys are taken from a listing; some objects have no metadata.
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(folder)
+    keys = listed.select(relative_key(F.col("path"), folder).alias("object_key"))
+    number = F.regexp_extract("object_key", r"snapshot_id=snap-(\d+)/", 1).cast("bigint")
+    recorded = x.snapshots(spark, sf_dir).where("block % 4 <> 3").select("block", "metadata")
+    metadata = keys.withColumn("block", number).join(recorded, "block").select("object_key", "metadata")
+    found = scan_snapshots(spark, folder, metadata, "*.txt")
+    return found.select(
+        F.concat(F.lit("snap-"), number.cast("string")).alias("snapshot"), "stored_size", F.sha2("content", 256).alias("sha256"),
         v.metadata_value("request-id").alias("request_id"),
     )
 
 
-def _no_metadata(spark):
-    return spark.createDataFrame([], "object_key STRING, metadata MAP<STRING, STRING>")
-
-
-@query("land_snapshots", f"""
-SELECT DISTINCT {KEY.replace('block', f'(event_id // {SPAN})')} AS object_key,
-  strftime(make_timestamp(({x.FIRST_SECOND} + (event_id // {SPAN}) * 60 + 5) * 1000000), '%Y-%m-%d') AS dt,
-  strftime(make_timestamp(({x.FIRST_SECOND} + (event_id // {SPAN}) * 60 + 5) * 1000000), '%H') AS hour FROM events""")
+@query("land_snapshots", f"""WITH {BODIES}
+SELECT {KEY} AS object_key, sha256(body) AS sha256, n AS state_count,
+  strftime(make_timestamp((time + 5) * 1000000), '%Y-%m-%d') AS dt,
+  strftime(make_timestamp((time + 5) * 1000000), '%H') AS hour FROM bodies""")
 def _land(spark, sf_dir):
     path = new_run_folder(spark, "landed-snapshots")
     land_snapshots(x.snapshots(spark, sf_dir), path)
-    schema = "object_key STRING, dt STRING, hour STRING"
-    return spark.read.schema(schema).parquet(path)
+    schema = "object_key STRING, content BINARY, metadata MAP<STRING, STRING>, dt STRING, hour STRING"
+    landed = spark.read.schema(schema).parquet(path)
+    count = v.metadata_value("state-count").cast("bigint")
+    return landed.select("object_key", F.sha2("content", 256).alias("sha256"), count.alias("state_count"), "dt", "hour")
 
 
 @query("verify_snapshots", f"""WITH {BODIES}
@@ -174,7 +180,7 @@ SELECT {ICAO} AS key, sha256(vector) AS event_id, {OBSERVED} AS observed_at, TRU
   CAST(28 AS BIGINT) AS fields FROM vectors""")
 def _publish(spark, sf_dir):
     path = new_run_folder(spark, "published")
-    v.publish_observations(_verified(spark, sf_dir), fmt="parquet", path=path)
+    v.publish_observations(_verified(spark, sf_dir), new_run_folder(spark, "judged"), fmt="parquet", path=path)
     value = F.try_parse_json("value")
     squawk = F.try_variant_get(value, "$.squawk", "variant")
     return spark.read.parquet(path).select(

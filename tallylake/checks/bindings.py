@@ -152,3 +152,14 @@ def faulted_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = ledger_entries(spark, sf_dir)
     df = df.withColumn("account_id", _fault("account_id", key, 89, F.col("account_id") + 1000000))
     return df.withColumn("amount", _fault("amount", key, 97, (F.col("amount") + 1).cast(MONEY)))
+
+
+def events_of_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """LSNs of the events of all five tables; partners and accounts, which have none here, get them from their keys."""
+    made = {
+        "transactions": transactions(spark, sf_dir), "ledger_entries": ledger_entries(spark, sf_dir),
+        "payment_events": payment_events(spark, sf_dir),
+        "accounts": accounts(spark, sf_dir).withColumn(LSN, F.col("account_id") * 3),
+        "partners": partners(spark, sf_dir).withColumn(LSN, F.col("partner_id") * 5),
+    }
+    return {name: df.select(LSN) for name, df in made.items()}

@@ -280,9 +280,10 @@ def _stream_upsert(spark, sf_dir):
     return shown(table.read())
 
 
-@query("land_cdc_stream", """
+@query("land_cdc_stream", f"""
 SELECT 'cdc.public.payment_events' AS topic, strftime(ts - INTERVAL 3 HOUR, '%Y-%m-%d') AS landed_day,
-  event_id AS lsn FROM events""")
+  event_id AS lsn, {USER_KEY} AS event_id, CASE WHEN event_type <> 'error' THEN props END AS metadata,
+  CASE WHEN event_type = 'error' THEN 'd' WHEN event_type = 'signup' THEN 'c' ELSE 'u' END AS op FROM events""")
 def _land(spark, sf_dir):
     run = new_run_folder(spark, "landing")
     messages = x.event_lines(spark, sf_dir).select(
@@ -298,11 +299,10 @@ def _land(spark, sf_dir):
     landing.awaitTermination()
     schema = "value STRING, topic STRING, year STRING, month STRING, day STRING"
     landed = spark.read.schema(schema).text(f"{run}/landed")
-    parsed = F.try_parse_json("value")
-    lsn = F.coalesce(
-        F.try_variant_get(parsed, "$.source.lsn", "bigint"),
-        F.try_variant_get(parsed, "$.payload.source.lsn", "bigint"),
-    )
-    return landed.select(
-        "topic", F.concat_ws("-", "year", "month", "day").alias("landed_day"), lsn.alias("lsn")
+    # The landed text as the library reads it, so each value of an event counts.
+    envelope = e.extract_envelope_with(landed, EVENTS, ["topic", "year", "month", "day"])
+    key = canonical_uuid(e.recover_delete_key(envelope, EVENTS))
+    return envelope.select(
+        "topic", F.concat_ws("-", "year", "month", "day").alias("landed_day"), F.col("lsn").cast("bigint").alias("lsn"),
+        key.alias("event_id"), F.col("after.metadata").alias("metadata"), "op",
     )

@@ -81,7 +81,9 @@ def event_lines(spark: SparkSession, sf_dir: str, faulted: bool = False) -> Data
     created = iso_text(F.col("ts"))
     if faulted:
         op = F.when(number % 79 == 0, "x").otherwise(op)
-        created = F.when(number % 73 == 0, "not-a-time").otherwise(created)
+        # No time, and texts that a cast alone would take for one.
+        lax = F.get(F.array(*map(F.lit, ("not-a-time", "12:30", "2026", "2026-01"))), (number % 4).cast("int"))
+        created = F.when(number % 73 == 0, lax).otherwise(created)
     key = lost(83, key_spelling("event_id", uuid_of("user:", "user_id")))
     after = F.struct(
         key.alias("event_id"),
@@ -93,7 +95,11 @@ def event_lines(spark: SparkSession, sf_dir: str, faulted: bool = False) -> Data
     envelope = _envelope(lost(97, op), lost(89, number), "event_id", key, after)
     value = _wrapped_when(number % 2 == 0, envelope)
     if faulted:
-        value = F.when(number % 71 == 0, F.expr("'{\"op\":'")).otherwise(value)
+        # A line that breaks off, and lines with more than one value.
+        broken = F.array(
+            F.lit('{"op":'), F.concat(value, value), F.concat(value, F.lit(" x}")), F.concat(value, F.lit(","), value)
+        )
+        value = F.when(number % 71 == 0, F.get(broken, (number % 4).cast("int"))).otherwise(value)
     return events.select(value.alias("value"), "event_id", "ts")
 
 

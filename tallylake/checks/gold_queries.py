@@ -188,13 +188,14 @@ def _ledger_total(spark, sf_dir):
     return r.ledger_total(b.faulted_ledger(spark, sf_dir))
 
 
-@query("max_lsn", with_tables("b_transactions b_ledger_entries b_payment_events", """
+@query("max_lsn", with_tables("b_transactions b_ledger_entries b_payment_events b_accounts b_partners", """
 SELECT 'transactions' AS "table", MAX(_cdc_lsn) AS max_lsn FROM b_transactions
 UNION ALL SELECT 'payment_events', MAX(_cdc_lsn) FROM b_payment_events
-UNION ALL SELECT 'ledger_entries', MAX(_cdc_lsn) FROM b_ledger_entries"""))
+UNION ALL SELECT 'ledger_entries', MAX(_cdc_lsn) FROM b_ledger_entries
+UNION ALL SELECT 'accounts', MAX(account_id) * 3 FROM b_accounts
+UNION ALL SELECT 'partners', MAX(partner_id) * 5 FROM b_partners"""))
 def _max_lsn(spark, sf_dir):
-    tables = ("transactions", "payment_events", "ledger_entries")
-    return r.max_lsn({name: STATES[name](spark, sf_dir).select(LSN) for name in tables})
+    return r.max_lsn(b.events_of_all(spark, sf_dir))
 
 
 @query("source_snapshot_scan", with_tables("b_transactions b_ledger_entries", """

@@ -15,10 +15,9 @@ from tallylake.contracts import CONTRACTS, DELETED, LSN
 from tallylake.operators import finance
 from tallylake.operators import manifest as m
 from tallylake.operators import reconcile as r
-from tallylake.operators.envelope import normalise_events
-from tallylake.operators.latest import at_or_below, latest_by_lsn
 from tallylake.operators.migrate import migration_plan, preserve_legacy
 from tallylake.operators.quality import schema_diff
+from tallylake.plans.jobs import landed_versions, reconcile_lake
 from tallylake.session import new_run_folder
 from tallylake.sources import bronze
 from tallylake.sources.tables import SilverTable, VersionedTable
@@ -115,15 +114,12 @@ def _has_new(spark, sf_dir):
     )
 
 
-@query("capture_cutoff", with_tables("b_transactions b_ledger_entries b_payment_events", """
+@query("capture_cutoff", with_tables("b_transactions b_ledger_entries b_payment_events b_accounts b_partners", """
 SELECT MAX(lsn) AS cutoff_lsn FROM (SELECT MAX(_cdc_lsn) AS lsn FROM b_transactions
-UNION ALL SELECT MAX(_cdc_lsn) FROM b_ledger_entries UNION ALL SELECT MAX(_cdc_lsn) FROM b_payment_events)"""))
+UNION ALL SELECT MAX(_cdc_lsn) FROM b_ledger_entries UNION ALL SELECT MAX(_cdc_lsn) FROM b_payment_events
+UNION ALL SELECT MAX(account_id) * 3 FROM b_accounts UNION ALL SELECT MAX(partner_id) * 5 FROM b_partners)"""))
 def _capture(spark, sf_dir):
-    return r.capture_cutoff({
-        "transactions": b.transactions(spark, sf_dir),
-        "ledger_entries": b.ledger_entries(spark, sf_dir),
-        "payment_events": b.payment_events(spark, sf_dir),
-    })
+    return r.capture_cutoff(b.events_of_all(spark, sf_dir))
 
 
 @query("commit_checkpoint", """
@@ -136,11 +132,12 @@ def _commit(spark, sf_dir):
     orders = b.table(spark, sf_dir, "orders")
     lsn = F.max("o_orderkey").alias("lsn")
     previous = orders.where("o_orderstatus = 'F'").agg(lsn)
+    statuses = [row[0] for row in orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect()]
     parts = [
         m.commit_decision(previous, orders.where(F.col("o_orderstatus") == status).agg(lsn)).select(
             F.lit(status).alias("status"), "*"
         )
-        for status in ("F", "O", "P")
+        for status in statuses
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -211,11 +208,11 @@ FROM b_transactions WHERE NOT _cdc_deleted GROUP BY 1"""))
 def _day_partitioned(spark, sf_dir):
     state = x.finished_lake(spark, sf_dir).lake.silver("transactions").read()
     table = SilverTable(spark, new_run_folder(spark, "silver"), CONTRACTS["transactions"])
-    version, rows = table.write_state(state, "created_at")
-    table.publish(version, "state", rows)
+    write = table.write_state(state, "created_at")
+    table.publish(write)
     # The days are read from the folder names alone.
     return (
-        spark.read.parquet(table.folder(version))
+        spark.read.parquet(table.folder(write))
         .where(~F.col(DELETED))
         .groupBy(F.col("created_at_day").cast("string").alias("day"))
         .agg(F.count(F.lit(1)).alias("transactions"), F.sum("amount").cast(SUM).alias("amount"))
@@ -224,22 +221,6 @@ def _day_partitioned(spark, sf_dir):
 
 # --- reconciliation --------------------------------------------------------------------
 
-def _bronze(spark, sf_dir, cutoff: int | None = None) -> dict[str, DataFrame]:
-    """Latest landed version of every key, up to the cutoff."""
-    done, latest = x.finished_lake(spark, sf_dir), {}
-    for name, contract in CONTRACTS.items():
-        folder = f"{done.bronze}/topics/cdc.public.{name}"
-        events = normalise_events(bronze.scan_bronze_paths(spark, folder), contract)
-        events = at_or_below(events.select(contract.columns), cutoff)
-        latest[name] = latest_by_lsn(events, contract.primary_key)
-    return latest
-
-
-def _silver(spark, sf_dir) -> dict[str, DataFrame]:
-    lake = x.finished_lake(spark, sf_dir).lake
-    return {name: lake.silver(name).read() for name in TABLE_NAMES}
-
-
 @query("reconcile_layers", with_tables(LAKE_TABLES, f"""
 {_per_table('item', "CAST(COUNT(*) FILTER (WHERE NOT _cdc_deleted) AS DECIMAL(38,4)) AS source")
  .replace("AS source FROM", '''AS source,
@@ -249,10 +230,8 @@ CAST(COUNT(*) FILTER (WHERE NOT _cdc_deleted) AS DECIMAL(38,4)) AS silver, TRUE
 UNION ALL SELECT 'ledger_total', CAST(SUM(amount) AS DECIMAL(38,4)), CAST(NULL AS DECIMAL(38,4)),
   CAST(SUM(amount) AS DECIMAL(38,4)), SUM(amount) = 0 FROM b_ledger_entries WHERE NOT _cdc_deleted"""))
 def _layers(spark, sf_dir):
-    source = {
-        name: df.where(~F.col(DELETED)) for name, df in x.source_tables(spark, sf_dir).items()
-    }
-    return r.reconcile_layers(source, _bronze(spark, sf_dir), _silver(spark, sf_dir))
+    done = x.finished_lake(spark, sf_dir)
+    return reconcile_lake(done.lake, done.bronze, x.source_tables(spark, sf_dir))
 
 
 @query("reconcile_cutoff", with_tables(LAKE_TABLES, f"""
@@ -263,8 +242,8 @@ UNION ALL SELECT 'ledger_total', CAST(SUM(amount) AS DECIMAL(38,4)),
   CAST(SUM(amount) FILTER (WHERE NOT _cdc_deleted) AS DECIMAL(38,4)), TRUE FROM b_ledger_entries"""))
 def _at_cutoff(spark, sf_dir):
     # The cutoff of the first batch: the state has moved on, which must show.
-    cutoff = x.finished_lake(spark, sf_dir).results[0].cutoff_lsn
-    return r.reconcile_cutoff(_bronze(spark, sf_dir, cutoff), _silver(spark, sf_dir))
+    done = x.finished_lake(spark, sf_dir)
+    return reconcile_lake(done.lake, done.bronze, cutoff=done.results[0].cutoff_lsn)
 
 
 @query("reconcile_batch", with_tables(LAKE_TABLES, f"""
@@ -273,8 +252,9 @@ SELECT 'keys:' || item AS item, checked, CAST(0 AS BIGINT) AS failures, TRUE AS
 UNION ALL SELECT 'ledger_total', CAST(SUM(amount) AS DECIMAL(38,4)), CAST(0 AS BIGINT), TRUE
 FROM b_ledger_entries WHERE NOT _cdc_deleted"""))
 def _batch(spark, sf_dir):
-    lake, latest, run = x.finished_lake(spark, sf_dir).lake, {}, new_run_folder(spark, "latest")
-    for name, df in _bronze(spark, sf_dir).items():
+    done, latest, run = x.finished_lake(spark, sf_dir), {}, new_run_folder(spark, "latest")
+    lake = done.lake
+    for name, df in landed_versions(lake, done.bronze).items():
         # Written as in the pipeline: the check reads a batch several times.
         df.write.parquet(f"{run}/{name}")
         latest[name] = spark.read.schema(df.schema).parquet(f"{run}/{name}")
@@ -285,11 +265,13 @@ def _batch(spark, sf_dir):
 
 # --- contracts and migration -----------------------------------------------------------
 
-def _old_lake(spark, sf_dir) -> str:
-    """A lake whose transactions hold amounts as doubles and whose accounts lack a column."""
+def _old_lake(spark, sf_dir, rows: bool = False) -> str:
+    """A lake whose transactions hold amounts as doubles and whose accounts lack a column; with rows or without."""
     done, root = x.finished_lake(spark, sf_dir), new_run_folder(spark, "old-lake")
     for name in TABLE_NAMES:
         state = done.lake.silver(name).read()
+        if not rows:
+            state = state.where(F.lit(False))
         if name == "transactions":
             state = state.withColumn("amount", F.col("amount").cast("double"))
         if name == "accounts":
@@ -299,8 +281,20 @@ def _old_lake(spark, sf_dir) -> str:
     return root
 
 
-@query("schema_diff", """
-SELECT "table", CAST(position AS BIGINT) AS position, actual, expected FROM (VALUES
+def _affected(spark, sf_dir) -> DataFrame:
+    """How many stored rows a difference of a table concerns."""
+    lake = x.finished_lake(spark, sf_dir).lake
+    return reduce(DataFrame.unionByName, [
+        lake.silver(name).read([CONTRACTS[name].primary_key]).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+        for name in ("accounts", "transactions")
+    ])
+
+
+AFFECTED = """(SELECT 'accounts' AS "table", COUNT(*) AS rows FROM customer UNION ALL SELECT 'transactions', COUNT(*) FROM orders) AS r"""
+
+
+@query("schema_diff", f"""
+SELECT "table", CAST(position AS BIGINT) AS position, actual, expected, rows FROM {AFFECTED} JOIN (VALUES
  ('accounts', 6, '_cdc_lsn bigint', 'updated_at timestamp'),
  ('accounts', 7, '_cdc_deleted boolean', '_cdc_lsn bigint required'),
  ('accounts', 8, NULL, '_cdc_deleted boolean required'),
@@ -309,23 +303,23 @@ SELECT "table", CAST(position AS BIGINT) AS position, actual, expected FROM (VAL
  ('transactions', 3, 'amount double', 'amount decimal(18,4)'),
  ('transactions', 13, '_cdc_lsn bigint', '_cdc_lsn bigint required'),
  ('transactions', 14, '_cdc_deleted boolean', '_cdc_deleted boolean required'))
- AS d("table", position, actual, expected)""")
+ AS d("table", position, actual, expected) USING ("table")""")
 def _schema_diff(spark, sf_dir):
     root, parts = _old_lake(spark, sf_dir), []
     for name in ("accounts", "transactions"):
         actual = VersionedTable(spark, f"{root}/silver/{name}").read().schema
         diff = schema_diff(spark, actual, CONTRACTS[name].schema)
         parts.append(diff.select(F.lit(name).alias("table"), "*"))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).join(_affected(spark, sf_dir), "table")
 
 
-@query("migration_plan", """
-SELECT "table", source, target, CAST(differences AS BIGINT) AS differences FROM (VALUES
+@query("migration_plan", f"""
+SELECT "table", source, target, CAST(differences AS BIGINT) AS differences, rows FROM {AFFECTED} JOIN (VALUES
  ('transactions', 'silver/transactions', 'silver_legacy/transactions_pre_contract_v2', 1),
  ('accounts', 'silver/accounts', 'silver_legacy/accounts_pre_contract_v2', 3))
- AS p("table", source, target, differences)""")
+ AS p("table", source, target, differences) USING ("table")""")
 def _plan(spark, sf_dir):
-    return migration_plan(spark, _old_lake(spark, sf_dir), CONTRACTS)
+    return migration_plan(spark, _old_lake(spark, sf_dir), CONTRACTS).join(_affected(spark, sf_dir), "table")
 
 
 @query("preserve_legacy", with_tables("b_transactions", """
@@ -333,7 +327,7 @@ SELECT 'transactions' AS "table", COUNT(*) AS preserved_rows,
   CAST(SUM(amount) FILTER (WHERE NOT _cdc_deleted) AS DECIMAL(28,4)) AS amount FROM b_transactions
 UNION ALL SELECT 'accounts', COUNT(*), NULL FROM b_accounts"""))
 def _preserve(spark, sf_dir):
-    root = _old_lake(spark, sf_dir)
+    root = _old_lake(spark, sf_dir, rows=True)
     moved = preserve_legacy(spark, root, migration_plan(spark, root, CONTRACTS)).collect()
     parts = []
     for row in moved:

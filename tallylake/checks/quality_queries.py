@@ -186,6 +186,12 @@ def _accepted(spark, sf_dir):
     return accounts.unionByName(partners)
 
 
+def _with_methods(spark, sf_dir: str) -> DataFrame:
+    number, methods = F.col("transaction_id"), CONTRACTS["transactions"].domains["payment_method"]
+    method = F.get(F.array(*[F.lit(m) for m in methods]), (number % len(methods)).cast("int"))
+    return b.transactions(spark, sf_dir).withColumn("payment_method", F.when(number % 131 == 0, "cheque").otherwise(method))
+
+
 @query("source_domain_violations", with_tables(
     "f_accounts f_partners b_payment_events b_transactions f_ledger", """
 SELECT 'partners' AS "table", 'partner_type' AS column_name, partner_type AS value, COUNT(*) AS n_records
@@ -198,6 +204,8 @@ UNION ALL SELECT 'accounts', 'status', status, COUNT(*) FROM f_accounts
 WHERE status NOT IN ('active','frozen','closed') GROUP BY 3
 UNION ALL SELECT 'transactions', 'status', status, COUNT(*) FROM b_transactions
 WHERE status NOT IN ('pending','authorized','completed','voided','refunded') GROUP BY 3
+UNION ALL SELECT 'transactions', 'payment_method', 'cheque', COUNT(*)
+FROM b_transactions WHERE transaction_id % 131 = 0 HAVING COUNT(*) > 0
 UNION ALL SELECT 'payment_events', 'event_type', event_type, COUNT(*) FROM b_payment_events
 WHERE event_type NOT IN ('initiated','authorized','captured','settled','voided','refunded','chargeback') GROUP BY 3
 UNION ALL SELECT 'ledger_entries', 'entry_type', entry_type, COUNT(*) FROM f_ledger
@@ -205,13 +213,13 @@ WHERE entry_type NOT IN ('debit','credit') GROUP BY 3"""))
 def _source_domains(spark, sf_dir):
     tables = {
         "partners": b.faulted_partners, "accounts": b.faulted_accounts,
-        "transactions": b.transactions, "payment_events": b.payment_events,
+        "transactions": _with_methods, "payment_events": b.payment_events,
         "ledger_entries": b.faulted_ledger,
     }
     parts = []
     for name, make in tables.items():
         df = make(spark, sf_dir)
-        domains = {c: v for c, v in CONTRACTS[name].domains.items() if c in df.columns}
+        domains = CONTRACTS[name].domains
         parts.append(
             q.accepted_value_violations(df, domains).select(F.lit(name).alias("table"), "*")
         )

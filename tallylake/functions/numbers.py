@@ -18,6 +18,15 @@ def to_money(value: Column) -> Column:
     return F.round(value, 4).cast(MONEY)
 
 
+def json_text(text: Column) -> Column:
+    """A JSON string with the hexadecimal digits of its control-character escapes in lower case."""
+    lowered = text
+    for upper, lower in zip("ABCDEF", "abcdef"):
+        # An escape begins at a backslash with an even number of them before it.
+        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*\\u00[01]){upper}", f"$1{lower}")
+    return F.when(F.contains(text, F.lit("\\u00")), lowered).otherwise(text)
+
+
 def json_float(value: Column) -> Column:
     """Shortest text of a double: plain digits from 1e-4 up to 1e16, else an exponent.
 
@@ -34,8 +43,11 @@ def json_float(value: Column) -> Column:
     )
     small = _trim_zeros(text.try_cast("decimal(38,22)"))
     large = _trim_zeros(text.try_cast("decimal(38,12)"))
+    # Java prints two digits of the smallest double, where one tells it apart.
+    least = F.when(value < 0, F.lit("-5e-324")).otherwise(F.lit("5e-324"))
     return (
-        F.when(~F.contains(text, F.lit("E")), text)
+        F.when(F.abs(value) == F.lit(5e-324), least)
+        .when(~F.contains(text, F.lit("E")), text)
         .when(exponent.between(-4, -1), small)
         .when(exponent.between(0, 15), large)
         # Two digits of exponent are the least; three-digit ones are not padded.

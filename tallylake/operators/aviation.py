@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tallylake.functions.clock import (
     MAX_SECOND, MIN_SECOND, has_offset, iso_utc, iso_utc_of_seconds, utc_clock,
 )
-from tallylake.functions.numbers import json_float
+from tallylake.functions.json_text import with_json_value
+from tallylake.functions.numbers import json_float, json_text
 from tallylake.functions.text import strip
 
 # Fixed values: (position, name, kind, nullable) of a state vector.
@@ -77,10 +78,11 @@ def inspect_snapshots(objects: DataFrame) -> DataFrame:
     """Add size, checksum, ``source_time``, ``states``, ``state_count`` and ``refusal``.
 
     ``objects`` has ``content``. The body must be a JSON object with a whole
-    number ``time`` and ``states`` a list or null; null counts as empty.
+    number ``time`` and ``states`` a list or null; null counts as empty. Text
+    behind the object is refused.
     """
-    body = F.try_parse_json(F.try_validate_utf8(F.col("content").cast("string")))
-    parsed = objects.withColumn("body", body)
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    parsed = with_json_value(objects, text, "body")
     time, states = _at(F.col("body"), "$.time"), _at(F.col("body"), "$.states")
     is_object = F.try_variant_get("body", "$", "map<string,variant>").isNotNull()
     elements = F.when(_is_null(states), F.array().cast("array<variant>")).otherwise(
@@ -255,6 +257,8 @@ def state_event_id(vector: Column) -> Column:
     def compact(position: int, kind: str) -> Column:
         value = _at(vector, f"$[{position}]")
         text = F.to_json(value)
+        if kind == TEXT:
+            text = json_text(text)
         if kind == NUMBER:
             # Numbers print without a whole float's fraction, and in another exponent form.
             plain = F.contains(text, F.lit(".")) & ~F.contains(text, F.lit("E"))
@@ -330,18 +334,25 @@ def observation_records(events: DataFrame) -> DataFrame:
 
 
 class PublishError(RuntimeError):
-    """Snapshots were refused, so nothing was published."""
+    """Snapshots were refused, and the caller asked for all or nothing."""
 
 
-def publish_observations(snapshots: DataFrame, fmt: str = "kafka", **options: str) -> None:
-    """Publish the observations of verified snapshots, or nothing if any is refused.
+def publish_observations(
+    snapshots: DataFrame, work: str, fmt: str = "kafka", strict: bool = False, **options: str
+) -> DataFrame:
+    """Publish the observations of accepted snapshots; return (object_key, refusal) of the refused ones.
 
-    The sink's own acknowledgement ends the job; a failed task fails the call.
+    A snapshot is published as a whole or not at all. Snapshots are judged once and written to the
+    folder ``work``, which publishing and the result read. ``strict`` publishes nothing if any snapshot is
+    refused. The sink's own acknowledgement ends the job; a failed task fails the call.
     """
-    judged = refuse_invalid(snapshots)
-    refused = judged.where("refusal IS NOT NULL").groupBy("refusal").count().orderBy("refusal")
-    reasons = [f"{row.refusal}: {row['count']}" for row in refused.collect()]
-    if reasons:
-        raise PublishError("Snapshots refused: " + "; ".join(reasons))
-    records = observation_records(state_events(judged))
-    records.write.format(fmt).options(**options).mode("append").save()
+    rows = _accepted(refuse_invalid(snapshots))
+    rows.write.mode("overwrite").parquet(work)
+    written = rows.sparkSession.read.schema(rows.schema).parquet(work)
+    refused = written.where("refusal IS NOT NULL").select("object_key", "refusal")
+    if strict:
+        counts = refused.groupBy("refusal").count().orderBy("refusal").collect()
+        if counts:
+            raise PublishError("Snapshots refused: " + "; ".join(f"{r.refusal}: {r['count']}" for r in counts))
+    observation_records(state_events(written)).write.format(fmt).options(**options).mode("append").save()
+    return refused

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallylake.contracts import DELETED, LSN, OPERATIONS, TableContract, cast_type, is_uuid
+from tallylake.functions.json_text import with_json_value
 from tallylake.functions.keys import canonical_uuid
 
 
@@ -22,11 +23,16 @@ RULES = (
 
 
 def extract_envelope(lines: DataFrame, contract: TableContract) -> DataFrame:
-    """Texts of the envelope: ``well_formed``, ``op``, ``lsn``, ``after`` and ``before_key``.
+    """``extract_envelope_with`` no other columns."""
+    return extract_envelope_with(lines, contract, [])
+
+
+def extract_envelope_with(lines: DataFrame, contract: TableContract, carry: list[str]) -> DataFrame:
+    """The columns in ``carry``, and texts of the envelope: ``well_formed``, ``op``, ``lsn``, ``after`` and ``before_key``.
 
     Every value is the first non-null one of the root path and the ``payload``
     path, so both envelope forms may be mixed. A line is parsed once. It is
-    malformed when it is no JSON object or repeats a name.
+    malformed when it isn't exactly one JSON object, or repeats a name.
     """
     body = ",".join(f"`{f.name}`:string" for f in contract.business_fields)
     event = (
@@ -34,10 +40,8 @@ def extract_envelope(lines: DataFrame, contract: TableContract) -> DataFrame:
         f"before:struct<`{contract.primary_key}`:string>"
     )
     shape = f"struct<{event},payload:struct<{event}>>"
-    parsed = F.try_variant_get(F.try_parse_json("value"), "$", shape)
-    # The parser stops at the end of the object; text after it is caught here.
-    closed = F.rtrim(F.col("value"), F.lit(" \t\r")).endswith("}")
-    lines = lines.select("value", parsed.alias("e"))
+    lines = with_json_value(lines.select("value", *carry), F.col("value"), "event")
+    lines = lines.select(F.try_variant_get("event", "$", shape).alias("e"), *carry)
 
     def first(path: str) -> Column:
         return F.coalesce(F.col(f"e.{path}"), F.col(f"e.payload.{path}"))
@@ -46,7 +50,8 @@ def extract_envelope(lines: DataFrame, contract: TableContract) -> DataFrame:
         *[first(f"after.`{f.name}`").alias(f.name) for f in contract.business_fields]
     )
     return lines.select(
-        (F.col("e").isNotNull() & closed).alias("well_formed"),
+        *carry,
+        F.col("e").isNotNull().alias("well_formed"),
         first("op").alias("op"),
         first("source.lsn").alias("lsn"),
         after.alias("after"),
@@ -67,8 +72,17 @@ def cdc_columns(envelope: DataFrame) -> dict[str, Column]:
     }
 
 
+#: A time starts with a full date; the cast alone would complete a year, or take a time of day as today's.
+FULL_DATE = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([T ].*)?$"
+
+
 def _typed(raw: Column, column: T.StructField) -> Column:
-    return canonical_uuid(raw) if is_uuid(column) else raw.try_cast(cast_type(column))
+    if is_uuid(column):
+        return canonical_uuid(raw)
+    value = raw.try_cast(cast_type(column))
+    if isinstance(column.dataType, T.DatetimeType):
+        return F.when(raw.rlike(FULL_DATE), value)
+    return value
 
 
 def project_contract(envelope: DataFrame, contract: TableContract) -> DataFrame:

@@ -5,7 +5,7 @@ Checkpoints are rows (topic, partition, last_offset): one per broker partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed pattern of an object key; the topic must repeat in the file name.
@@ -17,24 +17,19 @@ CHECKPOINT_SCHEMA = "topic STRING, partition BIGINT, last_offset BIGINT"
 def parse_bronze_keys(objects: DataFrame, bucket: str = "s3://bronze") -> DataFrame:
     """Topic, partition, first offset, table and URI of each object; other keys are ignored."""
     key = F.col("key")
-    # The pattern is matched once; it leaves the numbers behind the last two plus signs.
+    # The pattern is matched once. The casts may be evaluated for other keys too, so they must not fail there.
     topic = F.split_part(key, F.lit("/"), F.lit(2))
     name = F.substring_index(F.substring_index(key, "/", -1), ".json", 1)
     return objects.where(key.rlike(OBJECT_KEY)).select(
         "key",
         topic.alias("topic"),
-        _number(F.substring_index(F.substring_index(name, "+", -2), "+", 1)).alias("partition"),
-        _number(F.substring_index(name, "+", -1)).alias("start_offset"),
+        F.substring_index(F.substring_index(name, "+", -2), "+", 1).try_cast("bigint").alias("partition"),
+        F.substring_index(name, "+", -1).try_cast("bigint").alias("start_offset"),
         F.substring_index(topic, ".", -1).alias("table"),
         F.concat(F.lit(bucket.rstrip("/") + "/"), key).alias("uri"),
     )
 
 
-def _number(digits: Column) -> Column:
-    # A key that is not matched has no number there, which must not reach the strict cast.
-    return F.when(F.col("key").rlike(OBJECT_KEY), digits).cast("bigint")
-
-
 def unprocessed_objects(objects: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """Parsed objects that start after the checkpoint of their topic and partition."""
     last = F.coalesce(F.col("last_offset"), F.lit(-1))
@@ -64,20 +59,22 @@ def manifest_order(objects: DataFrame, span: int = 65_536) -> DataFrame:
     """Objects with their ``position`` by topic, partition and numeric offset, sorted.
 
     Offsets are unique within a partition, so a block of ``span`` offsets holds
-    at most ``span`` rows and is numbered on its own. Only the block totals,
-    one row per block, are summed in order.
+    at most ``span`` rows and is numbered on its own. Block totals are summed
+    within each broker partition; only the totals of these, one row per broker
+    partition, are summed in one place.
     """
     block = F.floor(F.col("start_offset") / span)
     blocked = objects.withColumn("block", block)
-    place = ["topic", "partition", "block"]
+    own, place = ["topic", "partition"], ["topic", "partition", "block"]
     totals = blocked.groupBy(place).agg(F.count(F.lit(1)).alias("in_block"))
-    # One row per block: the summed frame is a `span`-th of the objects at full blocks.
-    before = Window.orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("before", F.coalesce(F.sum("in_block").over(before), F.lit(0)))
+    inner = F.coalesce(F.sum("in_block").over(Window.partitionBy(own).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    outer = F.coalesce(F.sum("n").over(Window.orderBy(own).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = objects.groupBy(own).agg(F.count(F.lit(1)).alias("n")).select(*own, outer.alias("outer"))
+    offsets = totals.withColumn("inner", inner).join(parts, own).select(*place, (F.col("inner") + F.col("outer")).alias("before"))
     inside = F.row_number().over(Window.partitionBy(place).orderBy("start_offset", "key"))
     return (
         blocked.withColumn("inside", inside)
-        .join(offsets.drop("in_block"), place)
+        .join(offsets, place)
         .withColumn("position", F.col("before") + F.col("inside"))
         .drop("block", "inside", "before")
         .orderBy("position")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -17,9 +18,8 @@ from tallylake.operators.reconcile import reconcile_batch
 from tallylake.plans.gold import build_gold
 from tallylake.plans.gold_tests import gold_quality_report
 from tallylake.plans.staging import staging_models
-from tallylake.session import new_run_folder
 from tallylake.sources.bronze import list_bronze_objects, scan_new_files
-from tallylake.sources.tables import STATE, SilverTable, VersionedTable
+from tallylake.sources.tables import SilverTable, VersionedTable
 
 CHECKPOINT_SCHEMA = m.CHECKPOINT_SCHEMA + ", lsn BIGINT"
 
@@ -37,6 +37,20 @@ class BatchResult:
     applied: dict[str, tuple[int, int]] = field(default_factory=dict)
 
 
+class GoldTable(VersionedTable):
+    """A Gold model. Its states are written here; which one is current, the lake's release says."""
+
+    def __init__(self, lake: Lake, model: str):
+        super().__init__(lake.spark, f"{lake.root}/gold/{model}")
+        self.lake, self.model = lake, model
+
+    def read(self) -> DataFrame:
+        row = self.lake.releases.read().where(F.col("model") == self.model).first()
+        if row is None:
+            raise FileNotFoundError(f"No released state of {self.model}.")
+        return self.spark.read.parquet(f"{self.path}/{row.folder}")
+
+
 class Lake:
     """The folders of one lake: current-state tables, Gold tables and the checkpoint."""
 
@@ -48,8 +62,13 @@ class Lake:
     def silver(self, table: str) -> SilverTable:
         return SilverTable(self.spark, f"{self.root}/silver/{table}", self.contracts[table])
 
-    def gold(self, model: str) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/gold/{model}")
+    def gold(self, model: str) -> GoldTable:
+        return GoldTable(self, model)
+
+    @property
+    def releases(self) -> VersionedTable:
+        """(model, folder, rows) of all Gold models; the newest published release is current."""
+        return VersionedTable(self.spark, f"{self.root}/gold/releases")
 
     @property
     def checkpoint(self) -> VersionedTable:
@@ -79,9 +98,21 @@ def run_microbatch(
 
     A failure anywhere leaves it unchanged, so the next run repeats the batch,
     and the LSN rule makes the repeat harmless. A run without new files, also
-    the very first one, does nothing.
+    the very first one, does nothing. Files without any event, before there is an
+    LSN at all, are an error. Tables without events so far are empty. The run's own
+    tables lie below the lake and go when it ends.
     """
-    bronze, run = bronze.rstrip("/"), new_run_folder(spark, "microbatch")
+    run = f"{lake.root}/_work/{uuid.uuid4().hex}"
+    try:
+        return _run_batch(spark, bronze.rstrip("/"), lake, run, zone, parallel_tables)
+    finally:
+        fs, folder = lake.checkpoint._file_system(run)
+        fs.delete(folder, True)
+
+
+def _run_batch(
+    spark: SparkSession, bronze: str, lake: Lake, run: str, zone: str, parallel_tables: int
+) -> BatchResult:
     previous = lake.read_checkpoint()
 
     # The listing is written once, so that files landing meanwhile wait for the next run.
@@ -100,9 +131,7 @@ def run_microbatch(
     staged = dict(_each(spark, stage, [t for t in lake.contracts if t in ranges], parallel_tables))
     cutoff = _cutoff(previous, list(staged.values()))
     if cutoff is None:
-        # Only files outside the contracts: their offsets advance, there is nothing to apply.
-        lake.checkpoint.replace(offsets.withColumn("lsn", F.lit(None).cast("bigint")))
-        return BatchResult(committed=True)
+        raise GateError("No event of the batch has an LSN, and there is no earlier one.")
 
     def reduce_and_apply(table: str) -> tuple[int, int]:
         # The latest versions are written: the upsert and the check read them several times.
@@ -115,9 +144,10 @@ def run_microbatch(
     latest: dict[str, DataFrame] = {}
     applied = dict(_each(spark, reduce_and_apply, staged, parallel_tables))
     _check_batch(lake, latest)
+    # Before Gold, which reads each table several times.
+    _each(spark, lambda table: lake.silver(table).compact(), staged, parallel_tables)
     _build_gold(lake, zone, parallel_tables)
     commit_checkpoint(lake, cutoff, offsets)
-    _each(spark, lambda table: lake.silver(table).compact(), staged, parallel_tables)
     return BatchResult(True, cutoff, applied)
 
 
@@ -173,15 +203,15 @@ def _state_columns(key: str) -> tuple[str, str, str]:
 
 
 def _build_gold(lake: Lake, zone: str, parallel: int) -> None:
-    """Write every model, test what was written, then publish all of it or nothing."""
+    """Write every model, test what was written, then release all of them by one marker, or none."""
     staging = staging_models({t: lake.silver(t).read() for t in lake.contracts})
     models = build_gold(staging, zone)
     written = dict(
         _each(lake.spark, lambda name: lake.gold(name).write_state(models[name]), models, parallel)
     )
-    tables = {name: lake.gold(name).read_version(version) for name, (version, _) in written.items()}
+    tables = {name: lake.gold(name).read_write(write) for name, write in written.items()}
     failed = gold_quality_report(tables, staging, zone).where("failures > 0").collect()
     if failed:
         raise GateError("Data tests failed: " + "; ".join(f"{r.test}={r.failures}" for r in failed))
-    for name, (version, rows) in written.items():
-        lake.gold(name).publish(version, STATE, rows)
+    rows = [(name, write.name, write.rows) for name, write in written.items()]
+    lake.releases.replace(lake.spark.createDataFrame(rows, "model STRING, folder STRING, rows BIGINT").coalesce(1))

@@ -1,13 +1,17 @@
 """Current-state tables kept as published Parquet states.
 
-A write goes to its own folder and counts only once its marker exists, so a
-lost job leaves nothing a reader can see. One writer per table is assumed. On a
-catalog with row-level MERGE, ``merge_into_catalog`` does the same upsert.
+A write goes to a folder of its own name and counts only once its marker, which
+holds that name, exists; a lost job or a second writer leaves nothing a reader can
+see and overwrites nothing. Markers need a file system that creates a file only if
+it isn't there (HDFS, local and NFS do; a plain object store doesn't). On a catalog
+with row-level MERGE, ``merge_into_catalog`` does the same upsert.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,6 +24,19 @@ from tallylake.operators.latest import accepted_versions
 STATE, CHANGES = "state", "changes"
 
 
+class SchemaMismatch(TypeError):
+    """A stored table has not the columns of its contract."""
+
+
+class Write(NamedTuple):
+    """A finished write: its version, kind, row count and folder name."""
+
+    version: int
+    kind: str
+    rows: int
+    name: str
+
+
 class VersionedTable:
     """Full states of one table; the newest published one is current."""
 
@@ -31,35 +48,70 @@ class VersionedTable:
         jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return jvm_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
 
-    def published(self) -> list[tuple[int, str, int]]:
-        """(version, kind, rows) of each published write, oldest first."""
+    def writes(self) -> list[Write]:
+        """The published writes, oldest first."""
         fs, folder = self._file_system(f"{self.path}/published")
         if not fs.exists(folder):
             return []
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
-        parts = (name.split("-") for name in names if name[0].isdigit())
-        return sorted((int(version), kind, int(rows)) for version, kind, rows in parts)
+        names = [fs_status.getPath().getName() for fs_status in fs.listStatus(folder)]
+        found = []
+        for name in names:
+            if name[0].isdigit():
+                version, kind, rows, unique = name.split("-")
+                found.append(Write(int(version), kind, int(rows), f"{version}-{kind}-{unique}"))
+        return sorted(found)
+
+    def published(self) -> list[tuple[int, str, int]]:
+        """(version, kind, rows) of each published write, oldest first."""
+        return [(w.version, w.kind, w.rows) for w in self.writes()]
 
     def exists(self) -> bool:
         return bool(self.published())
 
-    def folder(self, version: int, kind: str = STATE) -> str:
-        return f"{self.path}/{version:010d}-{kind}"
+    def folder(self, write: Write) -> str:
+        return f"{self.path}/{write.name}"
 
     def next_version(self) -> int:
         published = self.published()
         return published[-1][0] + 1 if published else 1
 
-    def publish(self, version: int, kind: str, rows: int) -> None:
-        fs, marker = self._file_system(f"{self.path}/published/{version:010d}-{kind}-{rows}")
+    def publish(self, write: Write) -> None:
+        """Make a write count. Of two writers of one version the second one fails, and its files stay unread."""
+        fs, claim = self._file_system(f"{self.path}/published/_claims/{write.version:010d}")
+        if not fs.createNewFile(claim):
+            raise RuntimeError(f"Version {write.version} of {self.path} was published by another writer.")
+        unique = write.name.rsplit("-", 1)[1]
+        marker = self._file_system(f"{self.path}/published/{write.version:010d}-{write.kind}-{write.rows}-{unique}")[1]
         if not fs.createNewFile(marker):
-            raise RuntimeError(f"Version {version} of {self.path} was published by another writer.")
+            raise RuntimeError(f"{write.name} of {self.path} was published before.")
 
-    def write_state(self, df: DataFrame, day_column: str | None = None) -> tuple[int, int]:
-        """Write a full state without publishing it. Returns (version, rows)."""
+    def _new_write(self, df: DataFrame, kind: str, day_column: str | None = None) -> Write:
         version = self.next_version()
-        _write(df, self.folder(version), day_column)
-        return version, self._written_rows(df.schema, self.folder(version))
+        name = f"{version:010d}-{kind}-{uuid.uuid4().hex}"
+        _write(df, f"{self.path}/{name}", day_column)
+        return Write(version, kind, self._written_rows(df.schema, f"{self.path}/{name}"), name)
+
+    def write_state(self, df: DataFrame, day_column: str | None = None) -> Write:
+        """Write a full state without publishing it."""
+        return self._new_write(df, STATE, day_column)
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete published writes that only states older than the newest ``keep`` need. Returns how many.
+
+        Readers of such an old state must be done. Unpublished folders stay, as a writer may be at work.
+        """
+        writes = self.writes()
+        states = [w for w in writes if w.kind == STATE]
+        if len(states) <= keep:
+            return 0
+        old = [w for w in writes if w.version < states[-keep].version]
+        for write in old:
+            fs, folder = self._file_system(self.folder(write))
+            unique = write.name.rsplit("-", 1)[1]
+            # The marker goes first, so no reader finds one without its files.
+            fs.delete(self._file_system(f"{self.path}/published/{write.version:010d}-{write.kind}-{write.rows}-{unique}")[1], False)
+            fs.delete(folder, True)
+        return len(old)
 
     def _written_rows(self, schema: T.StructType, path: str) -> int:
         """Row count of a finished write, from its file footers."""
@@ -67,9 +119,9 @@ class VersionedTable:
 
     def replace(self, df: DataFrame) -> int:
         """Full rebuild: write a new state, then publish it. Returns its row count."""
-        version, rows = self.write_state(df)
-        self.publish(version, STATE, rows)
-        return rows
+        write = self.write_state(df)
+        self.publish(write)
+        return write.rows
 
     def move(self, path: str) -> VersionedTable:
         """Rename the whole table. An existing target is never replaced."""
@@ -81,14 +133,14 @@ class VersionedTable:
             raise RuntimeError(f"{self.path} could not be moved to {path}.")
         return VersionedTable(self.spark, path)
 
-    def read_version(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(self.folder(version))
+    def read_write(self, write: Write) -> DataFrame:
+        return self.spark.read.parquet(self.folder(write))
 
     def read(self) -> DataFrame:
-        states = [version for version, kind, _ in self.published() if kind == STATE]
+        states = [write for write in self.writes() if write.kind == STATE]
         if not states:
             raise FileNotFoundError(f"No published state in {self.path}.")
-        return self.read_version(states[-1])
+        return self.read_write(states[-1])
 
 
 def _day_name(column: str) -> str:
@@ -121,22 +173,38 @@ class SilverTable(VersionedTable):
     def __init__(self, spark: SparkSession, path: str, contract: TableContract):
         super().__init__(spark, path)
         self.contract = contract
+        self._guarded: set[str] = set()
+
+    def _guard(self, write: Write) -> None:
+        """Stored columns must be those of the contract: none missing, renamed or of another type."""
+        if write.name in self._guarded:
+            return
+        stored = {f.name: f.dataType for f in self.read_write(write).schema.fields}
+        faults = [
+            f"{f.name}: {stored[f.name].simpleString() if f.name in stored else 'missing'}, not {f.dataType.simpleString()}"
+            for f in self.contract.schema.fields
+            if stored.get(f.name) != f.dataType
+        ]
+        day = _day_name(self.contract.day_column) if self.contract.day_column else None
+        faults += [f"{name}: not in the contract" for name in stored if name not in self.contract.columns and name != day]
+        if faults:
+            raise SchemaMismatch(f"{self.path} differs from the contract of {self.contract.name}: " + "; ".join(faults))
+        self._guarded.add(write.name)
 
     def _layers(self) -> tuple[DataFrame | None, list[DataFrame]]:
-        published = self.published()
-        states = [version for version, kind, _ in published if kind == STATE]
+        writes = self.writes()
+        states = [write for write in writes if write.kind == STATE]
         if not states:
             return None, []
+        changed = [write for write in writes if write.kind == CHANGES and write.version > states[-1].version]
+        for write in [states[-1], *changed]:
+            self._guard(write)
         fields = list(self.contract.schema.fields)
         if self.contract.day_column:
             fields.append(T.StructField(_day_name(self.contract.day_column), T.DateType()))
         reader = self.spark.read
         state = reader.schema(T.StructType(fields)).parquet(self.folder(states[-1]))
-        changes = [
-            reader.schema(self.contract.schema).parquet(self.folder(version, CHANGES))
-            for version, kind, _ in published
-            if kind == CHANGES and version > states[-1]
-        ]
+        changes = [reader.schema(self.contract.schema).parquet(self.folder(write)) for write in changed]
         return state, changes
 
     def read(
@@ -145,12 +213,15 @@ class SilverTable(VersionedTable):
         live_only: bool = False,
         days: tuple[str, str] | None = None,
     ) -> DataFrame:
-        """The current state. Columns, the live filter and the day range reach the file scan."""
+        """The current state. Columns, the live filter and the day range reach the file scan.
+
+        A table that nothing was applied to is an empty one. One that differs from its contract is an error.
+        """
         contract, key = self.contract, self.contract.primary_key
         state, changes = self._layers()
-        if state is None:
-            raise FileNotFoundError(f"No published state in {self.path}.")
         columns = columns or contract.columns
+        if state is None:
+            return self.spark.createDataFrame([], contract.schema).select(columns)
         live = F.col(DELETED) == F.lit(False)
         if days is not None:
             first, last = (F.lit(day).cast("date") for day in days)
@@ -213,13 +284,11 @@ class SilverTable(VersionedTable):
         stored = self.lookup(batch, [key, LSN])
         judged = accepted_versions(batch, stored, key)
         accepted = judged.where("accepted").select(self.contract.columns)
-        version, first = self.next_version(), not self.exists()
-        kind = STATE if first else CHANGES
-        _write(accepted, self.folder(version, kind), self.contract.day_column if first else None)
-        applied = self._written_rows(self.contract.schema, self.folder(version, kind))
-        if applied:
-            self.publish(version, kind, applied)
-        return applied, batch.count() - applied
+        first = not self.exists()
+        write = self._new_write(accepted, STATE if first else CHANGES, self.contract.day_column if first else None)
+        if write.rows:
+            self.publish(write)
+        return write.rows, batch.count() - write.rows
 
     def compact(self, force: bool = False) -> bool:
         """Fold the change sets into a new full state if that is due."""
@@ -233,8 +302,7 @@ class SilverTable(VersionedTable):
         due = changed_rows > self.FOLD_SHARE * rows or len(changes) >= self.FOLD_SETS
         if not changes or not (due or force):
             return False
-        number, total = self.write_state(self.read(), self.contract.day_column)
-        self.publish(number, STATE, total)
+        self.publish(self.write_state(self.read(), self.contract.day_column))
         return True
 
 

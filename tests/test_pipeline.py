@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 
 from tallylake.operators.envelope import ContractError
+from tallylake.plans.jobs import apply_table, reconcile_lake
 from tallylake.plans.pipeline import GateError, Lake, commit_checkpoint, run_microbatch
 
 
@@ -12,7 +13,7 @@ def uuid(number):
 
 
 def image(table, number, **values):
-    base = {"created_at": "2026-08-13T12:00:00Z", "updated_at": "2026-08-13T12:00:00Z"}
+    base = {"created_at": "2029-02-11T17:35:00Z", "updated_at": "2029-02-12T08:00:00Z"}
     rows = {
         "partners": {"partner_id": uuid(1), "name": "P", "country": "BR",
                      "partner_type": "bank", "status": "active"},
@@ -32,7 +33,7 @@ def image(table, number, **values):
 
 def land(bronze, table, offset, *events):
     topic = f"cdc.public.{table}"
-    folder = bronze / "topics" / topic / "year=2026" / "month=08" / "day=13"
+    folder = bronze / "topics" / topic / "year=2029" / "month=02" / "day=11"
     folder.mkdir(parents=True, exist_ok=True)
     lines = [
         json.dumps({"op": op, "source": {"lsn": lsn}, "before": None, "after": after})
@@ -99,12 +100,12 @@ def test_batches_failures_and_repeats(spark, lake):
     assert {r.status for r in lake.gold("dim_accounts").read().collect()} == {"active", "frozen"}
 
     # A ledger that does not balance stops Gold and the checkpoint, on every repeat.
-    versions, before = lake.gold("dim_accounts").published(), offsets(lake)
+    versions, before = lake.releases.published(), offsets(lake)
     land(bronze, "ledger_entries", 60, (30, "c", image("ledger_entries", 3)))
     for _ in range(2):
         with pytest.raises(GateError, match="ledger_total"):
             run_microbatch(spark, str(bronze), lake)
-    assert lake.gold("dim_accounts").published() == versions and offsets(lake) == before
+    assert lake.releases.published() == versions and offsets(lake) == before
 
     # Its counter-entry sums to zero but has no account: a data test stops it.
     orphan = image("ledger_entries", 4, account_id=uuid(9), entry_type="credit", amount="-10.0000")
@@ -121,3 +122,46 @@ def test_batches_failures_and_repeats(spark, lake):
 
     with pytest.raises(ValueError, match="may not go back"):
         commit_checkpoint(lake, 39, lake.read_checkpoint().drop("lsn"))
+
+
+def test_a_second_event_on_a_line_stops_the_batch(spark, lake):
+    lake, bronze = lake
+    land_all(bronze)
+    assert run_microbatch(spark, str(bronze), lake).committed
+    before = offsets(lake), lake.silver("accounts").published()
+    lines = [json.dumps({"op": "u", "source": {"lsn": lsn}, "before": None, "after": image("accounts", n)}) for lsn, n in ((50, 1), (51, 2))]
+    folder = bronze / "topics" / "cdc.public.accounts" / "year=2029" / "month=02" / "day=11"
+    (folder / "cdc.public.accounts+0+0000000090.json").write_text("".join(lines) + "\n")
+    with pytest.raises(ContractError, match="malformed_json: 1"):
+        run_microbatch(spark, str(bronze), lake)
+    assert (offsets(lake), lake.silver("accounts").published()) == before
+
+
+def test_a_first_batch_may_lack_tables(spark, lake, tmp_path):
+    lake, bronze = lake
+    land(bronze, "unknown_table", 4, (8, "c", {"id": 1}))
+    with pytest.raises(GateError, match="no earlier one"):
+        run_microbatch(spark, str(bronze), lake)
+    assert not lake.checkpoint.exists()
+    land(bronze, "partners", 0, (1, "r", image("partners", 1)))
+    assert run_microbatch(spark, str(bronze), lake).applied == {"partners": (1, 0)}
+    assert lake.gold("dim_partners").read().count() == 1 and lake.gold("fct_daily_volume").read().count() == 0
+    # The run's own tables are gone.
+    assert not any((tmp_path / "lake" / "_work").iterdir())
+
+
+def test_one_table_is_applied_and_the_lake_reconciled(spark, lake):
+    lake, bronze = lake
+    land_all(bronze)
+    assert apply_table(lake, str(bronze), "ledger_entries", max_lsn=6) == (1, 0)
+    assert apply_table(lake, str(bronze), "ledger_entries", date="2029-02-11") == (1, 1)
+    assert apply_table(lake, str(bronze), "ledger_entries", date="2029-02-12") == (0, 0)
+    assert not lake.checkpoint.exists()
+    assert run_microbatch(spark, str(bronze), lake).committed
+    assert all(r.in_sync for r in reconcile_lake(lake, str(bronze)).collect())
+    land(bronze, "accounts", 9, (99, "r", image("accounts", 3)))
+    found = {r.item: r.in_sync for r in reconcile_lake(lake, str(bronze)).collect()}
+    assert not found["rows:accounts"] and found["rows:partners"]
+    assert all(r.in_sync for r in reconcile_lake(lake, str(bronze), cutoff=7).collect())
+    source = {name: lake.silver(name).read() for name in lake.contracts}
+    assert {r.item for r in reconcile_lake(lake, str(bronze), source).collect() if not r.in_sync} == {"rows:accounts"}

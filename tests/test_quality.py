@@ -125,8 +125,7 @@ def test_migration_moves_only_what_differs_and_overwrites_nothing(spark, tmp_pat
         fields = [T.StructField(f.name, f.dataType) for f in contract.schema.fields]
         rows = spark.createDataFrame([tuple(None for _ in fields)], T.StructType(fields))
         table = SilverTable(spark, f"{lake}/silver/{name}", contract)
-        version, count = table.write_state(rows, contract.day_column)
-        table.publish(version, "state", count)
+        table.publish(table.write_state(rows, contract.day_column))
     assert migration_plan(spark, lake, contracts).isEmpty()
     VersionedTable(spark, f"{lake}/silver/accounts").replace(spark.range(3))
     plan = migration_plan(spark, lake, contracts)

@@ -1,6 +1,6 @@
 import itertools
 import random
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 
 from tallylake.contracts import CONTRACTS
 from tallylake.operators.latest import latest_by_lsn
-from tallylake.sources.tables import SilverTable, VersionedTable, merge_into_catalog
+from tallylake.sources.tables import SchemaMismatch, SilverTable, VersionedTable, merge_into_catalog
 
 LEDGER = CONTRACTS["ledger_entries"]
-FIRST, SECOND = (f"{d * 8}-{d * 4}-{d * 4}-{d * 4}-{d * 12}" for d in "12")
-NOON = datetime(2026, 8, 13, 12, tzinfo=timezone.utc)
+OPENING = datetime(2031, 3, 2, 6, 45, tzinfo=timezone.utc)
 
 
-def entry(key, amount, lsn, deleted=False, created=NOON):
-    return (key, "t", "a", "debit", Decimal(amount), "BRL", "test", created, lsn, deleted)
+def entry(key, cents, lsn, deleted=False, created=OPENING):
+    return (key, "tx-7", "acc-3", "credit", Decimal(cents) / 100, "CHF", "fee", created, lsn, deleted)
 
 
 def batch(spark, *entries):
@@ -25,7 +24,7 @@ def batch(spark, *entries):
 
 def state(table):
     columns = ["entry_id", "amount", "_cdc_lsn", "_cdc_deleted"]
-    return sorted(tuple(r) for r in table.read(columns).collect())
+    return {r[0]: tuple(r)[1:] for r in table.read(columns).collect()}
 
 
 @pytest.fixture
@@ -33,47 +32,52 @@ def table(spark, tmp_path):
     return SilverTable(spark, str(tmp_path / "ledger"), LEDGER)
 
 
-STEPS = [
-    (FIRST, "10.0000", 10, False, (1, 0)),
-    (FIRST, "12.3400", 20, False, (1, 0)),
-    (FIRST, "12.3400", 20, False, (0, 1)),
-    (SECOND, "5.0000", 15, False, (1, 0)),
-    (FIRST, "1.0000", 11, False, (0, 1)),
-    (SECOND, "5.0000", 30, True, (1, 0)),
-    (SECOND, "9.0000", 20, False, (0, 1)),
-]
-END = [
-    (FIRST, Decimal("12.3400"), 20, False),
-    (SECOND, Decimal("5.0000"), 30, True),
-]
-
-
-@pytest.mark.parametrize("compact_every", [None, 2])
-def test_replay_and_late_events_change_nothing(spark, table, compact_every):
-    for number, (key, amount, lsn, deleted, counts) in enumerate(STEPS, 1):
-        assert table.apply(batch(spark, entry(key, amount, lsn, deleted))) == counts
-        if compact_every and number % compact_every == 0:
+class Model:
+    """What the table has to do, as a dictionary: only a strictly greater LSN replaces a row, a deletion too."""
+
+    def __init__(self):
+        self.rows = {}
+
+    def apply(self, entries):
+        newest = {}
+        for e in sorted(entries, key=lambda e: e[8]):
+            newest[e[0]] = e
+        taken = [e for e in newest.values() if e[0] not in self.rows or e[8] > self.rows[e[0]][1]]
+        self.rows |= {e[0]: (e[4], e[8], e[9]) for e in taken}
+        return len(taken), len(newest) - len(taken)
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_random_batches_replays_and_late_events(spark, tmp_path, seed):
+    rng, model, table = random.Random(seed), Model(), SilverTable(spark, str(tmp_path / "t"), LEDGER)
+    pool = [entry(f"e{rng.randrange(5)}", rng.randrange(1, 900), lsn, rng.random() < 0.3) for lsn in rng.sample(range(500), 30)]
+    for step in range(6):
+        # Anything may come again, and in any order.
+        some = rng.choices(pool, k=rng.randrange(1, 8))
+        assert table.apply(latest_by_lsn(batch(spark, *some), "entry_id")) == model.apply(some)
+        if step % 3 == 2:
             table.compact(force=True)
-    assert state(table) == END
-    assert [r.entry_id for r in table.read(["entry_id"], live_only=True).collect()] == [FIRST]
+        assert state(table) == model.rows
+    live = {k for k, (_, _, deleted) in model.rows.items() if not deleted}
+    assert {r.entry_id for r in table.read(["entry_id"], live_only=True).collect()} == live
 
 
-def test_an_empty_batch_does_nothing(spark, table):
-    assert table.apply(batch(spark)) == (0, 0)
-    assert not table.exists()
-    table.apply(batch(spark, entry(FIRST, "1", 1)))
+def test_an_equal_lsn_is_no_newer_one(spark, table):
+    assert table.apply(batch(spark, entry("e", 100, 8))) == (1, 0)
     before = table.published()
-    assert table.apply(batch(spark)) == (0, 0)
-    assert table.apply(batch(spark, entry(FIRST, "2", 1))) == (0, 1)
+    assert table.apply(batch(spark, entry("e", 300, 8))) == (0, 1) and table.apply(batch(spark)) == (0, 0)
     assert table.published() == before
 
 
+def test_a_table_without_events_is_empty(spark, table):
+    assert table.apply(batch(spark)) == (0, 0) and not table.exists()
+    assert table.read().schema.names == LEDGER.columns and table.read(["amount"], live_only=True).count() == 0
+
+
 def test_any_split_and_order_gives_the_same_state(spark, tmp_path):
     rng = random.Random(7)
     keys = [f"k{n}" for n in range(6)]
-    events = [
-        entry(rng.choice(keys), f"{n}.0000", n, rng.random() < 0.2) for n in range(1, 41)
-    ]
+    events = [entry(rng.choice(keys), n * 100, n, rng.random() < 0.2) for n in range(1, 41)]
     expected = None
     for round_ in range(3):
         rng.shuffle(events)
@@ -87,47 +91,74 @@ def test_any_split_and_order_gives_the_same_state(spark, tmp_path):
 
 
 def test_a_tombstone_replaces_a_row_of_a_dated_partition(spark, table):
-    table.apply(batch(spark, entry(FIRST, "1", 1)))
-    tombstone = (FIRST, None, None, None, None, None, None, None, 2, True)
-    table.apply(batch(spark, tombstone))
-    assert state(table) == [(FIRST, None, 2, True)]
+    table.apply(batch(spark, entry("e", 100, 1)))
+    table.apply(batch(spark, ("e", *[None] * 7, 2, True)))
+    assert state(table) == {"e": (None, 2, True)}
     table.compact(force=True)
-    assert state(table) == [(FIRST, None, 2, True)]
+    assert state(table) == {"e": (None, 2, True)}
 
 
 def test_a_write_that_is_not_published_is_invisible(spark, table):
-    table.apply(batch(spark, entry(FIRST, "1", 1)))
-    version, rows = table.write_state(batch(spark, entry(SECOND, "9", 9)), "created_at")
-    assert rows == 1 and state(table) == [(FIRST, Decimal("1.0000"), 1, False)]
-    # The next write takes the same number and overwrites the abandoned folder.
-    assert table.next_version() == version
-    table.apply(batch(spark, entry(FIRST, "2", 2)))
-    assert state(table) == [(FIRST, Decimal("2.0000"), 2, False)]
-
-
-def test_a_version_is_published_once(spark, table):
-    version, rows = table.write_state(batch(spark, entry(FIRST, "1", 1)))
-    table.publish(version, "state", rows)
-    with pytest.raises(RuntimeError):
-        table.publish(version, "state", rows)
+    table.apply(batch(spark, entry("e", 100, 1)))
+    lost = table.write_state(batch(spark, entry("f", 900, 9)), "created_at")
+    assert lost.rows == 1 and set(state(table)) == {"e"}
+    # The next write takes the same number, in a folder of its own.
+    assert table.next_version() == lost.version
+    table.apply(batch(spark, entry("e", 200, 2)))
+    assert state(table) == {"e": (Decimal(2), 2, False)} and table.read_write(lost).count() == 1
+
+
+def test_of_two_writers_the_second_fails_and_breaks_nothing(spark, table):
+    other = SilverTable(spark, table.path, LEDGER)
+    one = table.write_state(batch(spark, entry("e", 100, 1)), "created_at")
+    two = other.write_state(batch(spark, entry("f", 200, 2)), "created_at")
+    table.publish(one)
+    for again in (two, one):
+        with pytest.raises(RuntimeError):
+            other.publish(again)
+    assert set(state(table)) == {"e"} and table.published() == [(1, "state", 1)]
 
 
 def test_compaction_is_due_by_share_or_number(spark, table):
-    table.apply(batch(spark, *[entry(f"k{n}", "1", 1) for n in range(100)]))
-    table.apply(batch(spark, entry("k1", "2", 2)))
+    table.apply(batch(spark, *[entry(f"k{n}", 100, 1) for n in range(100)]))
+    table.apply(batch(spark, entry("k1", 200, 2)))
     assert not table.compact()
-    table.apply(batch(spark, *[entry(f"k{n}", "3", 3) for n in range(30)]))
+    table.apply(batch(spark, *[entry(f"k{n}", 300, 3) for n in range(30)]))
     before = state(table)
     assert table.compact() and state(table) == before
     assert [kind for _, kind, _ in table.published()][-1] == "state"
 
 
+def test_old_states_are_removed_and_the_current_one_stays(spark, table, tmp_path):
+    for lsn in range(1, 6):
+        table.apply(batch(spark, entry("e", 100 * lsn, lsn)))
+        table.compact(force=True)
+    before, folders = state(table), sum(p.is_dir() and p.name[0] == "0" for p in (tmp_path / "ledger").iterdir())
+    assert table.vacuum(keep=1) == folders - 1 and state(table) == before
+    assert [kind for _, kind, _ in table.published()] == ["state"] and table.vacuum(keep=1) == 0
+    assert table.apply(batch(spark, entry("e", 900, 6))) == (1, 0)
+
+
+@pytest.mark.parametrize("change", [
+    lambda df: df.withColumnRenamed("entry_type", "kind"),
+    lambda df: df.drop("currency"),
+    lambda df: df.withColumn("amount", F.col("amount").cast("double")),
+    lambda df: df.withColumn("note", F.lit("x")),
+])
+def test_a_table_that_differs_from_its_contract_is_refused(spark, table, change):
+    table.publish(VersionedTable(spark, table.path).write_state(change(batch(spark, entry("e", 100, 1)))))
+    for use in (lambda: table.read(), lambda: table.apply(batch(spark, entry("e", 200, 2))), lambda: table.compact(force=True) or table.read()):
+        with pytest.raises(SchemaMismatch, match="ledger_entries"):
+            use()
+    assert len(table.published()) == 1
+
+
 def test_columns_filters_and_days_reach_the_scan(spark, table):
-    days = [datetime(2026, 8, day, 23, 30, tzinfo=timezone.utc) for day in (12, 13, 14)]
-    table.apply(batch(spark, *[entry(f"k{d.day}", "1", 1, False, d) for d in days]))
-    table.apply(batch(spark, entry("k13", "2", 2, False, days[1]), entry("k15", "1", 1, False)))
-    found = table.read(["entry_id"], live_only=True, days=("2026-08-13", "2026-08-13"))
-    assert sorted(r.entry_id for r in found.collect()) == ["k13", "k15"]
+    days = [OPENING + timedelta(days=d) for d in range(3)]
+    table.apply(batch(spark, *[entry(f"k{d.day}", 100, 1, False, d) for d in days]))
+    table.apply(batch(spark, entry("k3", 200, 2, False, days[1]), entry("k9", 100, 1, False, days[1])))
+    found = table.read(["entry_id"], live_only=True, days=("2031-03-03", "2031-03-03"))
+    assert sorted(r.entry_id for r in found.collect()) == ["k3", "k9"]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(_cdc_deleted), Not(EqualTo(_cdc_deleted,true))" in plan
     assert "PartitionFilters: [isnotnull(created_at_day" in plan
@@ -136,8 +167,8 @@ def test_columns_filters_and_days_reach_the_scan(spark, table):
 
 
 def test_a_small_batch_does_not_shuffle_the_table(spark, table, tmp_path):
-    table.apply(batch(spark, *[entry(f"k{n}", "1", 1) for n in range(50)]))
-    batch(spark, entry("k1", "2", 2)).write.parquet(str(tmp_path / "batch"))
+    table.apply(batch(spark, *[entry(f"k{n}", 100, 1) for n in range(50)]))
+    batch(spark, entry("k1", 200, 2)).write.parquet(str(tmp_path / "batch"))
     written = spark.read.parquet(str(tmp_path / "batch"))
     found = table.lookup(written, ["_cdc_lsn"])
     assert [r._cdc_lsn for r in found.collect()] == [1]
