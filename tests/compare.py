@@ -53,7 +53,7 @@ def difference(spark, sf_dir: str, run, sql: str) -> tuple[str | None, int]:
     if sorted(frame.columns) != sorted(names):
         return f"columns {sorted(frame.columns)} and {sorted(names)}", len(ours)
     wanted = {
-        "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE",
+        "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE",
     }
     for name, kind in frame.dtypes:
         expected = wanted.get(kind, kind.upper())
