@@ -1,10 +1,11 @@
 """Exact top-k inner products by aggregation of sorted lists without random access.
 
-The vectors of a block have one list per component, sorted by value, which all queries share. A query
-reads its lists from the end that its own sign favours, some entries of each at a time. What was read
-gives every vector a lower and an upper bound: a component not yet read is at least the list's far end
-and at most the last entry read. Reading stops when few vectors have an upper bound that reaches the
-k-th best lower bound, among them any that no list has shown yet; the scores of these are resolved.
+The vectors of a block have one list per component, sorted by value, which all queries share. Lists are
+read from both ends, to a depth that doubles; each query uses of each list the end that its own sign
+favours. What was read gives every vector a lower and an upper bound: a component not yet read is at least
+the list's far end and at most the last entry read. A query stops when few vectors have an upper bound that
+reaches its k-th best lower bound, among them any that no list has shown yet; the scores of these are
+resolved. The entries read so far stand in matrices, so all queries of a block are bounded together.
 """
 
 from __future__ import annotations
@@ -19,61 +20,76 @@ from tallylake.llm.registry import query
 
 #: Vectors and queries that one task compares; both are dealt by a hash of their ids.
 BLOCK_VECTORS, BLOCK_QUERIES = 4096, 1024
-#: The first reading takes one entry of so many from each list; each further one doubles it.
-FIRST_READING = 2
+#: The first reading takes one entry of so many from each end of a list; each further one doubles it.
+FIRST_READING = 8
 #: Reading stops when one vector of so many is left.
-RESOLVE_PART = 8
+RESOLVE_PART = 32
 #: Scores below this are exact in double precision.
-EXACT = float(1 << 52)
+EXACT = float(1 << 50)
 SCALE = 256.0
 
 
 class Lists:
-    """Vectors of a block (rows, whole numbers as doubles) with their sorted lists."""
+    """Vectors of a block (rows, whole numbers as doubles) with a sorted list for each component."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray):
         self.vectors, self.ids = vectors, ids
-        self.up = np.argsort(vectors, axis=0, kind="stable").T.copy()
-        self.up_values = np.take_along_axis(vectors.T, self.up, axis=1)
-        self.down, self.down_values = self.up[:, ::-1].copy(), self.up_values[:, ::-1].copy()
-
-    def candidates(self, weights: np.ndarray, k: int, own: np.ndarray) -> np.ndarray:
-        """Rows that may be among the k best; rows in ``own`` don't count."""
-        n = len(self.ids)
-        plus, minus = np.flatnonzero(weights > 0), np.flatnonzero(weights < 0)
-        factors = np.concatenate([weights[plus], weights[minus]])[:, None]
-        if n - len(own) <= k or not len(factors):
-            return np.setdiff1d(np.arange(n), own)
-        least = factors[:, 0] * np.concatenate([self.up_values[plus, 0], self.down_values[minus, 0]])
-        depth = -(-n // FIRST_READING)
-        while True:
-            rows = np.concatenate([self.down[plus, :depth], self.up[minus, :depth]])
-            read = factors * np.concatenate([self.down_values[plus, :depth], self.up_values[minus, :depth]])
-            last = read[:, -1]
-            upper = last.sum() + np.bincount(rows.ravel(), (read - last[:, None]).ravel(), n)
-            lower = least.sum() + np.bincount(rows.ravel(), (read - least[:, None]).ravel(), n)
+        self.order = np.argsort(vectors, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(vectors, self.order, axis=0)
+
+    def _read(self, depth: int, top: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What ``depth`` entries from one end of each list show: the last value, and for each vector how far its
+        entries that were read lie beyond the last value, and from the list's far end; 0 for others."""
+        part = slice(len(self.ids) - depth, None) if top else slice(0, depth)
+        rows, values = self.order[part], self.sorted[part]
+        last, far = (values[0], self.sorted[0]) if top else (values[-1], self.sorted[-1])
+        beyond, from_far = np.zeros_like(self.vectors), np.zeros_like(self.vectors)
+        np.put_along_axis(beyond, rows, np.abs(values - last), axis=0)
+        np.put_along_axis(from_far, rows, np.abs(values - far), axis=0)
+        return last, beyond, from_far
+
+    def bounds(self, weights: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Upper and lower bounds of the scores of all vectors (rows) with all queries (columns)."""
+        plus, minus = np.maximum(weights, 0).T, np.maximum(-weights, 0).T
+        top, above, above_far = self._read(depth, True)
+        bottom, below, below_far = self._read(depth, False)
+        upper = top @ plus - bottom @ minus + above @ plus + below @ minus
+        lower = self.sorted[0] @ plus - self.sorted[-1] @ minus + above_far @ plus + below_far @ minus
+        return upper, lower
+
+    def _rank(self, rows: np.ndarray, weights: np.ndarray, k: int) -> tuple[list[int], list[int]]:
+        scores = self.vectors[rows] @ weights
+        best = np.lexsort((self.ids[rows], -scores))[:k]
+        return self.ids[rows][best].tolist(), scores[best].astype(np.int64).tolist()
+
+    def best(self, query_ids: np.ndarray, weights: np.ndarray, k: int) -> dict[int, tuple[list[int], list[int]]]:
+        """By query (row of ``weights``): ids and scores of the k best other vectors, the smaller id first among equals."""
+        n, found = len(self.ids), {}
+        exact = np.abs(weights) @ np.abs(self.vectors).max(axis=0, initial=0) < EXACT
+        for q in np.flatnonzero(~exact).tolist():
+            found[q] = self._best_of_whole_numbers(int(query_ids[q]), weights[q], k)
+        open_queries, depth = np.flatnonzero(exact), -(-n // FIRST_READING)
+        while len(open_queries):
+            upper, lower = self.bounds(weights[open_queries], depth)
+            own = self.ids[:, None] == query_ids[open_queries]
             lower[own] = upper[own] = -np.inf
-            reach = np.partition(lower, n - k)[n - k]
-            left = np.flatnonzero(upper >= reach)
-            if depth >= n or len(left) <= max(k, n // RESOLVE_PART):
-                return left
-            depth = min(n, 2 * depth)
-
-    def best(self, query_id: int, weights: np.ndarray, k: int) -> tuple[np.ndarray, list[int]]:
-        """Ids and scores of the k best vectors, the smaller id first among equal scores."""
-        own = np.flatnonzero(self.ids == query_id)
-        if np.abs(self.vectors).max(axis=0, initial=0) @ np.abs(weights) < EXACT:
-            left = self.candidates(weights, k, own)
-            scores = self.vectors[left] @ weights
-            order = np.lexsort((self.ids[left], -scores))[:k]
-            return self.ids[left][order], scores[order].astype(np.int64).tolist()
-        # Beyond double precision bounds would not be sure; whole numbers of any size are.
+            reach = np.partition(lower, n - k, axis=0)[n - k] if n > k else np.full(len(open_queries), -np.inf)
+            left = (upper >= reach) & ~own
+            done = (left.sum(axis=0) <= max(k, n // RESOLVE_PART)) | (depth >= n)
+            for at in np.flatnonzero(done).tolist():
+                q = int(open_queries[at])
+                found[q] = self._rank(np.flatnonzero(left[:, at]), weights[q], k)
+            open_queries, depth = open_queries[~done], min(n, 2 * depth)
+        return found
+
+    def _best_of_whole_numbers(self, query_id: int, weights: np.ndarray, k: int) -> tuple[list[int], list[int]]:
+        """Beyond double precision bounds would not be sure; whole numbers of any size are."""
         whole = [int(x) for x in weights]
         every = sorted(
             (-sum(int(x) * w for x, w in zip(v, whole, strict=True)), int(i))
             for v, i in zip(self.vectors, self.ids, strict=True) if i != query_id
         )[:k]
-        return np.array([i for _, i in every], np.int64), [-s for s, _ in every]
+        return [i for _, i in every], [-s for s, _ in every]
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -93,11 +109,11 @@ def _compare(k: int):
             return _BEST.empty_table()
         width = max(len(v) for t in (queries, vectors) for v in t["vector"].to_pylist())
         lists = Lists(_matrix(vectors["vector"], width), vectors["id"].to_numpy())
+        query_ids = queries["id"].to_numpy()
         found: tuple[list, list, list] = ([], [], [])
-        for query_id, weights in zip(queries["id"].to_pylist(), _matrix(queries["vector"], width), strict=True):
-            ids, scores = lists.best(query_id, weights, k)
-            found[0].extend([query_id] * len(scores))
-            found[1].extend(ids.tolist())
+        for q, (ids, scores) in lists.best(query_ids, _matrix(queries["vector"], width), k).items():
+            found[0].extend([int(query_ids[q])] * len(ids))
+            found[1].extend(ids)
             found[2].extend(scores)
         return pa.table([pa.array(c, pa.int64()) for c in found], schema=_BEST)
 

@@ -46,9 +46,20 @@ def test_odd_rows(spark):
     assert top_k(queries.limit(0), vectors, 5).count() == 0 and top_k(queries, vectors.limit(0), 5).count() == 0
 
 
+def test_bounds_hold_at_every_depth():
+    random.seed(5)
+    lists = topk.Lists(topk.np.array([[random.randint(-9, 9) for _ in range(5)] for _ in range(40)], float), topk.np.arange(40))
+    weights = topk.np.array([[random.randint(-4, 4) for _ in range(5)] for _ in range(12)], float)
+    scores = lists.vectors @ weights.T
+    for depth in range(1, 41):
+        upper, lower = lists.bounds(weights, depth)
+        assert (lower <= scores).all() and (scores <= upper).all()
+    assert (upper == scores).all() and (lower == scores).all()
+
+
 def test_scores_beyond_double_precision(spark):
     rows = [(0, [3e5, 1.0]), (1, [300000.01, 2.0]), (2, [1e5, -1e11])]
     vectors = usable(spark.createDataFrame([(i, e, "x") for i, e in rows[:2]], KINDS), "vec_id", "embedding")
     assert {(r.query_id, r.rank): (r.vec_id, r.score) for r in top_k(vectors, vectors, 1).collect()} == brute(rows[:2], 1)
     large = topk.Lists(topk.np.floor(topk.np.array([r[1] for r in rows]) * 256), topk.np.arange(3))
-    assert large.best(2, large.vectors[2], 1)[1] == [brute(rows, 1)[2, 1][1]]
+    assert large.best(large.ids[2:], large.vectors[2:], 1)[0][1] == [brute(rows, 1)[2, 1][1]]
