@@ -304,10 +304,11 @@ def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
     members = prefixes.select("key", "n", "group", "signature").distinct()
     groups = prefixes.groupBy("group").agg(F.min("n").alias("n"), F.min("prefix").alias("prefix"), F.countDistinct("key").alias("members"), F.min("signature").alias("signature"))
     groups = written(groups.withColumn("signature", F.when(F.col("members") == 1, F.col("signature"))), "groups")
-    tokens = groups.select("group", "n", "signature", F.posexplode("prefix").alias("pos", "token"))
+    tokens = groups.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
     # An n-gram of one group alone makes no pair.
-    tokens = written(tokens.join(shared, "token"), "tokens")
+    tokens = tokens.join(shared, "token").join(groups.select("group", "signature"), "group")
+    tokens = written(tokens, "tokens")
     active = tokens.select("group").unionByName(groups.where("members > 1").select("group")).distinct()
     members = written(members.join(active, "group"), "members")
     links = written(_verified(_hub_pairs(members, tokens, percent), given, classes, ngram, percent), "hub-links")
