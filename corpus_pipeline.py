@@ -12,6 +12,9 @@ from tallylake.llm.registry import let_workers_import
 from tallylake.llm.stages import once, without
 from tallylake.llm.toxicity import THRESHOLD, score_toxicity, toxicity_model
 
+#: Near duplicates share this percentage of all their n-grams of so many words.
+NEAR_NGRAM, NEAR_PERCENT = 5, 80
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; null and empty texts are scored like others."""
@@ -23,7 +26,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that links connect, the one with the smallest doc_id, once; all without words."""
     let_workers_import(spark)
-    decided = written(representatives(jaccard_components(docs)), "representatives")
+    decided = written(representatives(jaccard_components(docs, ngram=NEAR_NGRAM, percent=NEAR_PERCENT)), "representatives")
     return once(without(docs, decided.where("NOT keep")), decided.where("keep AND copies > 1"))
 
 

@@ -64,3 +64,35 @@ def test_the_run_equals_its_stages(spark):
         docs = stage(spark, docs, SF)
     other = docs.collect()
     assert {tuple(r)[:5] for r in rows} == {tuple(r)[:5] for r in other} and len(rows) == len(other) > 100
+
+
+def test_near_duplicates_by_five_words_and_four_fifths(spark, tmp_path):
+    """Against all pairs: copies with few and many edits, of which 3-word n-grams at 0.9 would keep some."""
+    random.seed(80)
+    word = lambda: random.choice("bcdfghklm") + random.choice("aeiou") + random.choice("nrst") + random.choice("aeiou")
+    texts = []
+    for edits in (0, 1, 2, 3, 4, 5, 8, 12):
+        for _ in range(3):
+            own = [word() for _ in range(200)]
+            other = list(own)
+            for at in random.sample(range(5, 195), edits):
+                other[at] = "edited" + word()
+            texts += [" ".join(own), " ".join(other)]
+    texts += ["", "one two", "one two", "one two three four five six"]
+
+    def grams(text, k):
+        w = text.split()
+        return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+
+    def kept(k, percent):
+        sets, label = [grams(t, k) for t in texts], list(range(len(texts)))
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if a and b and 100 * len(a & b) >= percent * len(a | b):
+                    old, new = max(label[i], label[j]), min(label[i], label[j])
+                    label = [new if x == old else x for x in label]
+        return {i for i, x in enumerate(label) if i == x}
+
+    assert kept(5, 80) < kept(3, 90)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()} == kept(5, 80)
