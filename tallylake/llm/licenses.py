@@ -69,6 +69,9 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved",
 }
 
+#: Words that make a license another one: a match has those of its template and no others. So have versions in a template's name.
+QUALIFIERS = frozenset([b"nd", b"nc", b"sa", b"noncommercial", b"noderivatives", b"sharealike", b"lesser", b"library", b"affero"])
+
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _TO_SPACE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -146,6 +149,16 @@ class Index:
                 self.places[value].append((name, place))
             self.votes[name] = max(1, int(MIN_VOTES * len(kept)))
         self.known = np.array(sorted(self.places), np.uint64)
+        self.qualifiers = set(self.memo.of(list(QUALIFIERS)).tolist())
+        self.versions = {
+            name: set(self.memo.of([w for w in words_of(name.encode().lower()) if w.isdigit()]).tolist()) & set(own.tolist())
+            for name, own in self.words.items()
+        }
+
+    def _is_own(self, name: str, span: np.ndarray) -> bool:
+        """Whether words between a match's ends name this license and no relative of it."""
+        words = set(span.tolist())
+        return words & self.qualifiers == set(self.words[name].tolist()) & self.qualifiers and self.versions[name] <= words
 
     def _starts(self, hashes: np.ndarray) -> dict[str, list[int]]:
         """For each template the places in the text where it may start; near ones are joined."""
@@ -179,7 +192,7 @@ class Index:
             own = self.words[name]
             for start in starts:
                 matched, first, last = align(own, hashes, start)
-                if matched >= MIN_COVERAGE * len(own) and matched >= MIN_DENSITY * (last - first):
+                if matched >= MIN_COVERAGE * len(own) and matched >= MIN_DENSITY * (last - first) and self._is_own(name, hashes[first:last]):
                     found.append((-matched, -matched / len(own), name, first, last))
         chosen: list[tuple] = []
         for row in sorted(found):

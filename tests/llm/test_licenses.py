@@ -42,3 +42,14 @@ def test_odd_rows(spark, odd_docs, no_docs):
     rows = scan_licenses(odd_docs).collect()
     assert len(rows) == 10 and all(r.matches == [] for r in rows)
     assert scan_licenses(no_docs).count() == 0
+
+
+def test_relatives_of_a_license_do_not_bear_its_name():
+    index = Index(TEMPLATES)
+    lesser = TEMPLATES["GPL-header"].replace("GNU General", "GNU Lesser General")
+    texts = ["Licensed under CC BY-ND 4.0", "Licensed under CC BY-NC-SA 4.0", "Licensed under CC BY 3.0", lesser, lesser.replace("Lesser", "Affero"),
+             TEMPLATES["GPL-3.0"].replace("version 3", "version 4"), "Licensed under the Apache License, Version 1.1"]
+    for text in texts:
+        assert index.matches("Some words before. " + text + " And behind.") == [], text
+    for name in ("CC-BY-4.0", "CC-BY-SA-4.0", "GPL-2.0", "GPL-3.0", "GPL-header", "Apache-2.0"):
+        assert [m.license for m in index.matches(f"Before. {TEMPLATES[name]} And behind.")] == [name]
