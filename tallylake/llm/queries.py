@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tallylake.llm import chat, decontaminate, jaccard, katz, licenses, packing, tokenfiles, topk, toxicity, urls  # noqa: F401
+from tallylake.llm import (  # noqa: F401
+    chat, decontaminate, jaccard, katz, licenses, packing, quality, tokenfiles, topk, toxicity, urls,
+)
 from tallylake.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
