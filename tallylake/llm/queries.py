@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallylake.llm import (  # noqa: F401
-    alignment, chat, decontaminate, jaccard, katz, licenses, packing, quality, tokenfiles, topk, toxicity, urls,
+    alignment, chat, covertree, decontaminate, jaccard, katz, licenses, packing, quality, tokenfiles, topk, toxicity, urls,
 )
 from tallylake.llm.registry import ORACLES, QUERIES
 
