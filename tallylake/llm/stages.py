@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.llm.common import written
@@ -11,10 +11,14 @@ from tallylake.llm.common import written
 BROADCAST_ROWS = 1_000_000
 
 
+def text_key() -> Column:
+    """With doc_id, what operators tell a row by."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """A struct of all columns, whatever their names, and the key that operators return."""
-    text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    return docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"), text_key.alias("own_key"))
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"), text_key().alias("own_key"))
 
 
 def _match(rows: DataFrame, listed: DataFrame, how: str) -> DataFrame:

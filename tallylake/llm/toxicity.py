@@ -18,7 +18,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.llm.common import fold_of, in_steps, table, written
@@ -28,8 +28,9 @@ from tallylake.llm.registry import query
 MAX_TRAINING_ROWS = 30_000
 #: One labelled row of so many calibrates, the others fit trees.
 CALIBRATION_PART = 4
-#: Words, and stems, in the learned lexicon; texts that an entry has to be in; what its log odds, and their standard errors, have to exceed.
-LEXICON_ENTRIES, LEXICON_TEXTS, LEXICON_ODDS, LEXICON_Z = 200, 5, 1.5, 4.0
+#: Words, and stems, in the learned lexicon; texts with label 1 that an entry has to be in; what its log odds, and the
+#: root of their likelihood ratio, have to exceed. The ratio stays sure with few labels, where standard errors don't.
+LEXICON_ENTRIES, LEXICON_TEXTS, LEXICON_ODDS, LEXICON_Z = 200, 3, 1.5, 4.0
 #: First bytes of a word that are tried as stems, for insults that are compounded or inflected.
 STEM_BYTES = (4, 5, 6)
 TREES, TREE_DEPTH, STEP = 20, 3, 0.3
@@ -46,8 +47,10 @@ SECOND_PERSON = frozenset(
 
 _TO_SPACE = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 _LOOKALIKES = bytes.maketrans(b"013457@$!|", b"oieastasii")
-_DISGUISED = re.compile(rb"(?<![^\s])[a-z]*[a-z@$][0-9@$!|*._-]+[a-z@$][a-z0-9@$!|*._-]*")
-_SPACED = re.compile(rb"(?<![^\s])(?:[a-z][ .\-_*]){3,}[a-z](?![^\s])")
+# A word that look-alikes or marks begin or break, but not one that only ends in them; single letters with a gap after each.
+_DISGUISED = re.compile(rb"(?<!\S)(?=[a-z]*[0-9@$!|*._-]+[a-z])[a-z0-9@$!|*._-]+")
+_SPACED = re.compile(rb"(?<!\S)(?:[a-z][ .\-_*]){3,}[a-z](?![a-z0-9\x80-\xff])")
+_TAIL = b"!|*._-"
 _RUNS = re.compile(rb"([a-z])\1\1")
 _UPPER, _LETTERS = bytes(range(65, 91)), bytes([*range(65, 91), *range(97, 123)])
 _CAPITAL_WORD = re.compile(rb"(?<![^\s])[A-Z]{3,}(?![a-z])")
@@ -87,7 +90,7 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         at = bisect_left(second, i)
         gaps.append(min((abs(i - j) for j in second[max(0, at - 1) : at + 1]), default=1000))
     disguised = _DISGUISED.findall(low)
-    shown = [re.sub(rb"[^a-z\x80-\xff]", b"", w.translate(_LOOKALIKES)) for w in disguised]
+    shown = [re.sub(rb"[^a-z\x80-\xff]", b"", w.rstrip(_TAIL).translate(_LOOKALIKES)) for w in disguised]
     shown += [re.sub(rb"[^a-z]", b"", w) for w in _SPACED.findall(low)]
     letters = max(1, len(raw) - len(raw.translate(None, _LETTERS)))
     exclamations, questions = raw.count(b"!"), raw.count(b"?")
@@ -131,8 +134,15 @@ def learn_lexicon(sample: DataFrame, bad: int, good: int) -> Lexicon:
     each = each.groupBy("word").agg(F.sum("with").alias("p"), F.sum("without").alias("q")).where(F.col("p") >= LEXICON_TEXTS)
     cells = F.col("p") + 0.5, bad - F.col("p") + 0.5, F.col("q") + 0.5, good - F.col("q") + 0.5
     odds = F.log(cells[0] / cells[1]) - F.log(cells[2] / cells[3])
-    error = F.sqrt(1 / cells[0] + 1 / cells[1] + 1 / cells[2] + 1 / cells[3])
-    sure = each.select("word", odds.alias("odds"), (odds / error).alias("z"), F.expr("right(decode(word, 'ISO-8859-1'), 1) = '*'").alias("stem"))
+    seen, n = F.col("p") + F.col("q"), bad + good
+
+    def part(found: Column, all_found: Column, share: float) -> Column:
+        return F.when(found > 0, found * F.log(found / (all_found * share))).otherwise(0.0)
+
+    ratio = part(F.col("p"), seen, bad / n) + part(F.col("q"), seen, good / n)
+    ratio = ratio + part(bad - F.col("p"), n - seen, bad / n) + part(good - F.col("q"), n - seen, good / n)
+    z = F.sqrt(2 * F.greatest(ratio, F.lit(0.0)))
+    sure = each.select("word", odds.alias("odds"), z.alias("z"), F.expr("right(decode(word, 'ISO-8859-1'), 1) = '*'").alias("stem"))
     sure = written(sure.where((F.col("odds") >= LEXICON_ODDS) & (F.col("z") >= LEXICON_Z)), "lexicon")
 
     def best(stem: bool) -> frozenset[bytes]:
@@ -195,11 +205,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """row (a struct of all columns of ``docs``, whatever their names) and score (0 to 1) of every row.
+    """row (a struct of all columns of ``docs`` but ``text``, whatever their names) and score (0 to 1) of every row.
+
+    The text goes to Python once and doesn't come back.
 
     A null text is scored as an empty one. Repeated rows get equal scores, no rows give no rows.
     """
-    rows = docs.select(F.struct("*").alias("row"), "text")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"), "text")
     if model.trees is None:
         return rows.select("row", F.lit(model.prior).alias("score"))
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(with_features(rows, model.lexicon))
@@ -226,8 +238,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
     doc_id = F.col("doc_id")
-    keyed = docs.select("text", F.struct("doc_id").alias("only"))
-    scored = score_toxicity(keyed.select("only", "text"), model).select("row.only.doc_id", "score")
+    scored = score_toxicity(docs, model).select("row.doc_id", "score")
     return scored.select(
         doc_id, (fold_of(doc_id, FOLDS) == HELD_OUT).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
