@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallylake.llm.common import table, tokenizer_path, written
 from tallylake.llm.decontaminate import contamination
 from tallylake.llm.jaccard import jaccard_components, representatives
 from tallylake.llm.packing import packed_documents
 from tallylake.llm.registry import let_workers_import
-from tallylake.llm.stages import once, without
+from tallylake.llm.stages import once, text_key, without
 from tallylake.llm.toxicity import THRESHOLD, score_toxicity, toxicity_model
 
 #: Near duplicates share this percentage of all their n-grams of so many words.
@@ -20,7 +21,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; null and empty texts are scored like others."""
     let_workers_import(spark)
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model).where(f"score < {THRESHOLD}").select("row.*")
+    # Only keys go through Python beside the text; the rows themselves stay in the JVM.
+    keyed = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
+    toxic = score_toxicity(keyed, model).where(f"score >= {THRESHOLD}")
+    return without(docs, toxic.select("row.doc_id", "row.text_key"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
