@@ -13,9 +13,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,8 @@ from tallylake.session import new_run_folder
 TABLE_PAIRS = 1 << 22
 #: Different pairs that a counting task holds before it hands them on.
 HELD_PAIRS = 1 << 20
+#: Characters that a task encodes, and bytes of ids that it aligns, at once: both take some hundred bytes a piece.
+STEP_CHARS, STEP_BYTES = 1_000_000, 800_000
 
 
 class Vocabulary:
@@ -95,7 +99,7 @@ class Pair:
         a, a_n = self.a_encoder.encode([" " + t for t in texts])
         b_lists = self.b_encoder.encode(texts, num_threads=1)
         b_n = np.fromiter(map(len, b_lists), np.int64, len(b_lists))
-        b = np.fromiter((i for ids in b_lists for i in ids), np.int64, int(b_n.sum()))
+        b = np.fromiter(chain.from_iterable(b_lists), np.int64, int(b_n.sum()))
         given = [b" " + t.encode() if t else b"" for t in texts]
         size = np.fromiter(map(len, given), np.int64, len(given))
         good = size > 0
@@ -199,7 +203,7 @@ def encode_both(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizers(a_path, b_path)
-        for batch, texts in in_steps(batches):
+        for batch, texts in in_steps(batches, chars=STEP_CHARS):
             a, b = pair.encode(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("row"), pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["doc_id", "row", "a", "b"]
@@ -209,18 +213,15 @@ def encode_both(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return written(rows.mapInArrow(run, _ENCODED), "encoded")
 
 
-#: Bytes of ids that a task aligns at once.
-STEP_BYTES = 4_000_000
-
-
 def _aligned(pair: Pair, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Links]]:
     for batch in batches:
-        a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+        sizes = pc.binary_length(batch.column("a")).to_pylist()
         start = size = 0
-        for i, ids in enumerate(a):
-            size += len(ids)
-            if size >= STEP_BYTES or i + 1 == len(a):
-                yield batch.slice(start, i + 1 - start), links(pair, a[start : i + 1], b[start : i + 1])
+        for i, own in enumerate(sizes):
+            size += own
+            if size >= STEP_BYTES or i + 1 == len(sizes):
+                part = batch.slice(start, i + 1 - start)
+                yield part, links(pair, part.column("a").to_pylist(), part.column("b").to_pylist())
                 start, size = i + 1, 0
 
 

@@ -44,14 +44,16 @@ def fold_of(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
-def in_steps(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches with their texts (null: empty); a slice ends at STEP_CHARS or with its batch."""
+def in_steps(
+    batches: Iterable[pa.RecordBatch], column: str = "text", chars: int = STEP_CHARS
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of the batches with their texts (null: empty); a slice ends at ``chars`` or with its batch."""
     for batch in batches:
         texts = [t or "" for t in batch.column(column).to_pylist()]
         start = size = 0
         for i, text in enumerate(texts):
             size += len(text)
-            if size >= STEP_CHARS or i + 1 == len(texts):
+            if size >= chars or i + 1 == len(texts):
                 yield batch.slice(start, i + 1 - start), texts[start : i + 1]
                 start, size = i + 1, 0
 
