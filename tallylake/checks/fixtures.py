@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tallylake.checks import bindings as b
 from tallylake.contracts import CONTRACTS, DELETED
 from tallylake.operators.finance import initiated_events
-from tallylake.plans.pipeline import BatchResult, Lake, run_microbatch
+from tallylake.plans.pipeline import BatchResult, Lake, run_landed_microbatch, run_microbatch
 from tallylake.session import new_run_folder
+from tallylake.streaming.landing import land_cdc_stream
 
 EVENTS = CONTRACTS["payment_events"]
 
@@ -193,7 +194,7 @@ def _lines(df: DataFrame, name: str, op: Column, lsn: Column) -> DataFrame:
             fields.append(F.col(column.name).cast("string").alias(column.name))
     key = F.col(contract.primary_key)
     envelope = _envelope(op, lsn, contract.primary_key, key, F.struct(*fields))
-    return df.select(_wrapped_when(F.col("n") % 2 == 0, envelope).alias("value"))
+    return df.select(_wrapped_when(F.col("n") % 2 == 0, envelope).alias("value"), "n")
 
 
 def first_batch(df: DataFrame, name: str) -> DataFrame:
@@ -203,12 +204,14 @@ def first_batch(df: DataFrame, name: str) -> DataFrame:
     return _lines(df, name, F.lit("r"), F.col("n") + 1)
 
 
+def final_versions(df: DataFrame, name: str) -> DataFrame:
+    """Final values and deletes."""
+    return _lines(df, name, F.when(F.col(DELETED), "d").otherwise("u"), F.col("n") + 1 + SECOND_LSN)
+
+
 def second_batch(df: DataFrame, name: str) -> DataFrame:
-    """Final values, deletes, and a stale repeat of every first version of a deleted row."""
-    final = _lines(
-        df, name, F.when(F.col(DELETED), "d").otherwise("u"), F.col("n") + 1 + SECOND_LSN
-    )
-    return final.unionByName(first_batch(df.where(DELETED), name))
+    """Final versions, and a stale repeat of every first version of a deleted row."""
+    return final_versions(df, name).unionByName(first_batch(df.where(DELETED), name))
 
 
 def _land(spark: SparkSession, lines: DataFrame, root: str, table: str, offset: int) -> None:
@@ -216,7 +219,7 @@ def _land(spark: SparkSession, lines: DataFrame, root: str, table: str, offset:
     topic = f"cdc.public.{table}"
     folder = f"{root}/topics/{topic}/year=2024/month=02/day=01"
     written = new_run_folder(spark, "landing")
-    lines.write.text(written)
+    lines.select("value").write.text(written)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     source, target = path(written), path(folder)
     fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -251,6 +254,43 @@ def finished_lake(spark: SparkSession, sf_dir: str) -> FinishedLake:
     return FinishedLake(Lake(spark, done.lake.root), done.bronze, done.results)
 
 
+#: Offsets of the first read, of final versions and of stale repeats lie this far apart.
+OFFSET_STEP = 1_000_000_000_000
+
+
+def change_messages(df: DataFrame, name: str, second: bool) -> DataFrame:
+    """The lines of a batch as broker messages: three partitions, a day each, offsets by row number."""
+    def messages(lines: DataFrame, step: int) -> DataFrame:
+        partition = F.col("n") % 3
+        return lines.select(
+            F.lit(f"cdc.public.{name}").alias("topic"), partition.cast("int").alias("partition"),
+            (F.lit(step * OFFSET_STEP) + F.col("n")).alias("offset"),
+            F.timestamp_seconds(F.lit(1_706_800_000) + partition * 86400).alias("timestamp"), "value",
+        )
+
+    if not second:
+        return messages(first_batch(df, name), 0)
+    return messages(final_versions(df, name), 1).unionByName(messages(first_batch(df.where(DELETED), name), 2))
+
+
+def landed_lake(spark: SparkSession, sf_dir: str) -> FinishedLake:
+    """A lake from the same changes as ``finished_lake``, by way of messages that a stream lands as Parquet."""
+    def make() -> FinishedLake:
+        run, lake = new_run_folder(spark, "landed"), Lake(spark, new_run_folder(spark, "lake"))
+        tables, results = source_tables(spark, sf_dir), []
+        for number in (0, 1):
+            for name, df in tables.items():
+                change_messages(df, name, bool(number)).write.mode("append").parquet(f"{run}/messages/batch={number}")
+            schema = "topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP, value STRING, batch INT"
+            stream = spark.readStream.schema(schema).parquet(f"{run}/messages").drop("batch")
+            land_cdc_stream(stream, f"{run}/landing", f"{run}/checkpoint", fmt="parquet", availableNow=True).awaitTermination()
+            results.append(run_landed_microbatch(spark, f"{run}/landing", lake))
+        return FinishedLake(lake, f"{run}/landing", results)
+
+    done = once(spark, sf_dir, "landed_lake", make)
+    return FinishedLake(Lake(spark, done.lake.root), done.bronze, done.results)
+
+
 # --- aircraft snapshots ----------------------------------------------------------------
 
 #: Events per snapshot: event ids are unique, so a snapshot never holds more vectors.

@@ -157,11 +157,22 @@ def _per_table(column: str, sql: str) -> str:
 LAKE_TABLES = "b_partners b_transactions b_ledger_entries"
 
 
-@query("run_microbatch", with_tables(LAKE_TABLES, _per_table('"table"', """
+APPLIED = with_tables(LAKE_TABLES, _per_table('"table"', """
 COUNT(*) FILTER (WHERE NOT _cdc_deleted) AS live_rows, COUNT(*) FILTER (WHERE _cdc_deleted) AS deleted_rows,
-COUNT(*) AS applied_first, COUNT(*) AS applied_second, CAST(0 AS BIGINT) AS ignored_second""")))
+COUNT(*) AS applied_first, COUNT(*) AS applied_second, CAST(0 AS BIGINT) AS ignored_second"""))
+
+
+@query("run_microbatch", APPLIED)
 def _run(spark, sf_dir):
-    done = x.finished_lake(spark, sf_dir)
+    return _applied(x.finished_lake(spark, sf_dir))
+
+
+@query("run_landed_microbatch", APPLIED)
+def _run_landed(spark, sf_dir):
+    return _applied(x.landed_lake(spark, sf_dir))
+
+
+def _applied(done: x.FinishedLake) -> DataFrame:
     first, second = (result.applied for result in done.results)
     parts = [
         done.lake.silver(name).read([DELETED]).agg(

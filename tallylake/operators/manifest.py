@@ -5,7 +5,7 @@ Checkpoints are rows (topic, partition, last_offset): one per broker partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed pattern of an object key; the topic must repeat in the file name.
@@ -81,15 +81,28 @@ def manifest_order(objects: DataFrame, span: int = 65_536) -> DataFrame:
     )
 
 
+def key_day(key: Column) -> Column:
+    """The day of the folder that an object key lies in."""
+    parts = (F.regexp_extract(key, rf"/{name}=(\d+)/", 1) for name in ("year", "month", "day"))
+    return F.concat_ws("-", *parts).try_cast("date")
+
+
 def next_checkpoints(checkpoints: DataFrame, selected: DataFrame) -> DataFrame:
-    """Greatest offset, old or new, of every topic and partition."""
-    new = selected.select("topic", "partition", F.col("start_offset").alias("last_offset"))
-    return (
-        checkpoints.select("topic", "partition", "last_offset")
-        .unionByName(new)
-        .groupBy("topic", "partition")
-        .agg(F.max("last_offset").alias("last_offset"))
-    )
+    """Greatest offset, and where both sides have it greatest ``last_day``, old or new, of every topic and partition."""
+    kept = ["last_offset"] + ["last_day"] * ("last_day" in checkpoints.columns and "last_day" in selected.columns)
+    new = selected.withColumn("last_offset", F.col("start_offset")).select("topic", "partition", *kept)
+    rows = checkpoints.select("topic", "partition", *kept).unionByName(new)
+    return rows.groupBy("topic", "partition").agg(*(F.max(c).alias(c) for c in kept))
+
+
+def open_days(checkpoints: DataFrame, lateness_days: int) -> DataFrame:
+    """topic, since: the first day whose folder may get files yet, for topics whose every partition has a day.
+
+    The next file of a partition lies at most ``lateness_days`` before the newest one it has had. A partition
+    that gets no files keeps its topic's days open from there on.
+    """
+    days = checkpoints.groupBy("topic").agg(F.min("last_day").alias("first"), F.count_if(F.col("last_day").isNull()).alias("unknown"))
+    return days.where("unknown = 0").select("topic", F.date_sub("first", lateness_days).alias("since"))
 
 
 def has_new_files(selected: DataFrame) -> bool:

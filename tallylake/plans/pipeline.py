@@ -1,8 +1,10 @@
-"""One micro-batch from landed files to published Gold tables."""
+"""One micro-batch from landed files, or from landed messages, to published Gold tables."""
 
 from __future__ import annotations
 
+import datetime
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -18,10 +20,16 @@ from tallylake.operators.reconcile import reconcile_batch
 from tallylake.plans.gold import build_gold
 from tallylake.plans.gold_tests import gold_quality_report
 from tallylake.plans.staging import staging_models
-from tallylake.sources.bronze import list_bronze_objects, scan_new_files
+from tallylake.sources.bronze import (
+    drop_blank, inside_ranges, list_bronze_objects, open_day_folders, scan_landed_messages, scan_new_files,
+)
 from tallylake.sources.tables import SilverTable, VersionedTable
 
-CHECKPOINT_SCHEMA = m.CHECKPOINT_SCHEMA + ", lsn BIGINT"
+CHECKPOINT_SCHEMA = m.CHECKPOINT_SCHEMA + ", last_day DATE, lsn BIGINT"
+#: A broker partition's next file lies at most so many days before its newest one.
+LATENESS_DAYS = 7
+#: (topic, partition, after, up to): what one broker partition has that is new.
+Range = tuple[str, int, int, int]
 
 
 class GateError(RuntimeError):
@@ -75,9 +83,11 @@ class Lake:
         return VersionedTable(self.spark, f"{self.root}/checkpoint")
 
     def read_checkpoint(self) -> DataFrame:
-        if self.checkpoint.exists():
-            return self.checkpoint.read()
-        return self.spark.createDataFrame([], CHECKPOINT_SCHEMA)
+        """Offset, day and LSN of each broker partition; days are null in a checkpoint that has none yet."""
+        if not self.checkpoint.exists():
+            return self.spark.createDataFrame([], CHECKPOINT_SCHEMA)
+        # A checkpoint of before days were kept has no such column; the given schema reads it as null.
+        return self.checkpoint.read(CHECKPOINT_SCHEMA)
 
 
 def commit_checkpoint(lake: Lake, batch_lsn: int, offsets: DataFrame) -> None:
@@ -91,44 +101,115 @@ def commit_checkpoint(lake: Lake, batch_lsn: int, offsets: DataFrame) -> None:
     lake.checkpoint.replace(offsets.withColumn("lsn", F.lit(batch_lsn).cast("bigint")))
 
 
+@dataclass(frozen=True)
+class Pending:
+    """What has landed since the checkpoint: ranges by table, the checkpoint to write, the raw lines of a table."""
+
+    ranges: dict[str, list[Range]]
+    offsets: DataFrame
+    lines: Callable[[str], DataFrame]
+
+
 def run_microbatch(
-    spark: SparkSession, bronze: str, lake: Lake, zone: str = "UTC", parallel_tables: int = 5
+    spark: SparkSession, bronze: str, lake: Lake, zone: str = "UTC", parallel_tables: int = 5,
+    lateness_days: int | None = LATENESS_DAYS,
 ) -> BatchResult:
     """Apply the files that landed since the checkpoint. The checkpoint is written last.
 
-    A failure anywhere leaves it unchanged, so the next run repeats the batch,
+    Only day folders that may hold new files are listed: from ``lateness_days`` before the newest file of
+    each broker partition on. None lists all of them, for files that came later than that.
+
+    A failure anywhere leaves the checkpoint unchanged, so the next run repeats the batch,
     and the LSN rule makes the repeat harmless. A run without new files, also
     the very first one, does nothing. Files without any event, before there is an
     LSN at all, are an error. Tables without events so far are empty. The run's own
     tables lie below the lake and go when it ends.
     """
+    root = bronze.rstrip("/")
+    return _run(lake, lambda run: _pending_files(spark, root, lake, run, lateness_days), zone, parallel_tables)
+
+
+def run_landed_microbatch(
+    spark: SparkSession, landing: str, lake: Lake, zone: str = "UTC", parallel_tables: int = 5,
+    lateness_days: int | None = LATENESS_DAYS,
+) -> BatchResult:
+    """Apply the messages that ``land_cdc_stream`` landed as Parquet since the checkpoint, as ``run_microbatch`` does files.
+
+    Progress is the offset of each message's broker partition, whatever files hold it. Topics, open days and
+    offsets are conditions on the scan: other folders aren't listed, other row groups aren't read.
+    """
+    return _run(lake, lambda _: _pending_messages(spark, landing, lake, lateness_days), zone, parallel_tables)
+
+
+def _run(lake: Lake, find: Callable[[str], Pending | None], zone: str, parallel: int) -> BatchResult:
     run = f"{lake.root}/_work/{uuid.uuid4().hex}"
     try:
-        return _run_batch(spark, bronze.rstrip("/"), lake, run, zone, parallel_tables)
+        pending = find(run)
+        return _apply_batch(lake, run, pending, zone, parallel) if pending else BatchResult(committed=False)
     finally:
         fs, folder = lake.checkpoint._file_system(run)
         fs.delete(folder, True)
 
 
-def _run_batch(
-    spark: SparkSession, bronze: str, lake: Lake, run: str, zone: str, parallel_tables: int
-) -> BatchResult:
-    previous = lake.read_checkpoint()
+def _since(previous: DataFrame, lateness_days: int | None) -> dict[str, datetime.date]:
+    """The first open day by topic: one row per topic."""
+    return {} if lateness_days is None else {r.topic: r.since for r in m.open_days(previous, lateness_days).collect()}
+
 
+def _pending_files(
+    spark: SparkSession, bronze: str, lake: Lake, run: str, lateness_days: int | None
+) -> Pending | None:
+    previous = lake.read_checkpoint()
     # The listing is written once, so that files landing meanwhile wait for the next run.
-    objects = m.parse_bronze_keys(list_bronze_objects(spark, bronze))
-    m.unprocessed_objects(objects, previous).write.parquet(f"{run}/manifest")
-    selected = spark.read.parquet(f"{run}/manifest")
+    days = open_day_folders(spark, bronze, _since(previous, lateness_days))
+    objects = m.parse_bronze_keys(list_bronze_objects(spark, bronze, days))
+    new = m.unprocessed_objects(objects, previous).withColumn("last_day", m.key_day(F.col("key")))
+    new.write.parquet(f"{run}/manifest")
+    selected = spark.read.schema(new.schema).parquet(f"{run}/manifest")
     if not m.has_new_files(selected):
-        return BatchResult(committed=False)
-    offsets = m.next_checkpoints(previous, selected)
+        return None
     ranges, folders = _by_table(_offset_ranges(previous, selected)), _day_folders(selected)
 
+    def lines(table: str) -> DataFrame:
+        return scan_new_files(spark, [f"{bronze}/{f}" for f in folders[table]], ranges[table])
+
+    return Pending(ranges, m.next_checkpoints(previous, selected), lines)
+
+
+def _pending_messages(
+    spark: SparkSession, landing: str, lake: Lake, lateness_days: int | None
+) -> Pending | None:
+    fs, folder = lake.checkpoint._file_system(landing)
+    if not fs.exists(folder):
+        return None
+    previous, messages = lake.read_checkpoint(), scan_landed_messages(spark, landing)
+    old = F.lit(False)
+    for topic, day in _since(previous, lateness_days).items():
+        old = old | ((F.col("topic") == topic) & (F.col("landed_day") < F.lit(day)))
+    for row in previous.collect():  # one row per broker partition
+        same = (F.col("topic") == row.topic) & (F.col("partition") == row.partition)
+        old = old | (same & (F.col("offset") <= row.last_offset))
+    messages = messages.where(~old)
+    newest = messages.groupBy("topic", "partition").agg(F.max("offset").alias("start_offset"), F.max("landed_day").alias("last_day"))
+    # Frozen here: one row per broker partition. What lands meanwhile has greater offsets.
+    selected = spark.createDataFrame(newest.collect(), newest.schema)
+    if not m.has_new_files(selected):
+        return None
+    ranges = _by_table(_offset_ranges(previous, selected))
+
+    def lines(table: str) -> DataFrame:
+        return drop_blank(messages.where(inside_ranges(ranges[table])).select("value"))
+
+    return Pending(ranges, m.next_checkpoints(previous, selected), lines)
+
+
+def _apply_batch(lake: Lake, run: str, pending: Pending, zone: str, parallel_tables: int) -> BatchResult:
+    spark, previous = lake.spark, lake.read_checkpoint()
+
     def stage(table: str) -> DataFrame:
-        lines = scan_new_files(spark, [f"{bronze}/{f}" for f in folders[table]], ranges[table])
-        return stage_events(lines, lake.contracts[table], f"{run}/staged/{table}")
+        return stage_events(pending.lines(table), lake.contracts[table], f"{run}/staged/{table}")
 
-    staged = dict(_each(spark, stage, [t for t in lake.contracts if t in ranges], parallel_tables))
+    staged = dict(_each(spark, stage, [t for t in lake.contracts if t in pending.ranges], parallel_tables))
     cutoff = _cutoff(previous, list(staged.values()))
     if cutoff is None:
         raise GateError("No event of the batch has an LSN, and there is no earlier one.")
@@ -147,7 +228,7 @@ def _run_batch(
     # Before Gold, which reads each table several times.
     _each(spark, lambda table: lake.silver(table).compact(), staged, parallel_tables)
     _build_gold(lake, zone, parallel_tables)
-    commit_checkpoint(lake, cutoff, offsets)
+    commit_checkpoint(lake, cutoff, pending.offsets)
     return BatchResult(True, cutoff, applied)
 
 
@@ -158,7 +239,7 @@ def _each(spark: SparkSession, work, names, parallel: int) -> list[tuple[str, ob
         return list(zip(names, pool.map(inheritable_thread_target(spark)(work), names)))
 
 
-def _offset_ranges(previous: DataFrame, selected: DataFrame) -> list[tuple[str, int, int, int]]:
+def _offset_ranges(previous: DataFrame, selected: DataFrame) -> list[Range]:
     """(topic, partition, after, up to) of the batch: one row per broker partition."""
     upto = selected.groupBy("topic", "partition").agg(F.max("start_offset").alias("upto"))
     after = F.coalesce(F.col("last_offset"), F.lit(-1)).alias("after")
@@ -166,8 +247,8 @@ def _offset_ranges(previous: DataFrame, selected: DataFrame) -> list[tuple[str,
     return [tuple(row) for row in joined.select("topic", "partition", after, "upto").collect()]
 
 
-def _by_table(ranges: list[tuple[str, int, int, int]]) -> dict[str, list]:
-    tables: dict[str, list] = {}
+def _by_table(ranges: list[Range]) -> dict[str, list[Range]]:
+    tables: dict[str, list[Range]] = {}
     for entry in ranges:
         tables.setdefault(entry[0].rsplit(".", 1)[-1], []).append(entry)
     return tables

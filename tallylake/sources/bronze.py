@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +15,10 @@ def scan_cdc_json(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One row per event line; blank lines are no events."""
     if not paths:
         raise ValueError("The list of bronze files is empty.")
-    return _drop_blank(spark.read.text(paths).select("value"))
+    return drop_blank(spark.read.text(paths).select("value"))
 
 
-def _drop_blank(lines: DataFrame) -> DataFrame:
+def drop_blank(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("value").rlike(r"\S"))
 
 
@@ -39,20 +41,70 @@ def scan_bronze_paths(
         events = events.where(
             (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
         )
-    return _drop_blank(events.select("value"))
+    return drop_blank(events.select("value"))
 
 
-def list_bronze_objects(spark: SparkSession, root: str) -> DataFrame:
-    """Key, size and time of every object below ``root``; contents are not read."""
+def list_bronze_objects(spark: SparkSession, root: str, folders: list[str] | None = None) -> DataFrame:
+    """Key, size and time of every object below ``root``, or below some folders of it; contents are not read."""
+    if folders == []:
+        schema = "path STRING, length BIGINT, modificationTime TIMESTAMP, key STRING"
+        return spark.createDataFrame([], schema)
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(root)
+        .load(root if folders is None else folders)
         .select("path", "length", "modificationTime")
     )
     return listing.withColumn("key", relative_key(F.col("path"), root))
 
 
+def open_day_folders(spark: SparkSession, root: str, since: dict[str, datetime.date]) -> list[str]:
+    """The day folders below ``topics/`` that may hold new files: those from a topic's day on, all of a topic without one.
+
+    Years, months and days before it are left out by their folder names, so what the driver looks at
+    grows with the open days, not with the history.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    top = path(f"{root.rstrip('/')}/topics")
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def folders(parent) -> list:
+        return [s.getPath() for s in fs.listStatus(parent) if s.isDirectory()]
+
+    found = []
+    for topic in folders(top) if fs.exists(top) else []:
+        first = since.get(topic.getName())
+        low = (first.year, first.month, first.day) if first else (0, 0, 0)
+        level = [((), topic)]
+        for name in ("year", "month", "day"):
+            deeper = []
+            for place, parent in level:
+                for child in folders(parent):
+                    key, _, number = child.getName().partition("=")
+                    if key == name and number.isdigit() and (*place, int(number)) >= low[: len(place) + 1]:
+                        deeper.append(((*place, int(number)), child))
+            level = deeper
+        found += [child.toString() for _, child in level]
+    return sorted(found)
+
+
+_LANDED = "value STRING, partition BIGINT, offset BIGINT, timestamp TIMESTAMP, topic STRING, year INT, month INT, day INT"
+
+
+def scan_landed_messages(spark: SparkSession, landing: str) -> DataFrame:
+    """Messages that ``land_cdc_stream`` wrote as Parquet, of committed batches only; ``landed_day`` is the day of the folder."""
+    return spark.read.schema(_LANDED).parquet(landing).withColumn("landed_day", F.make_date("year", "month", "day"))
+
+
+def inside_ranges(ranges: list[tuple[str, int, int, int]]) -> Column:
+    """Whether a landed message is inside one of the ranges (topic, partition, after, up to)."""
+    inside = F.lit(False)
+    for topic, partition, after, upto in ranges:
+        same = (F.col("topic") == topic) & (F.col("partition") == partition)
+        inside = inside | (same & (F.col("offset") > after) & (F.col("offset") <= upto))
+    return inside
+
+
 def relative_key(path: Column, root: str) -> Column:
     """The part of a full path after ``root``; listings may add a scheme in front of it."""
     anchor = root.split(":", 1)[-1].lstrip("/").rstrip("/") + "/"
@@ -77,4 +129,4 @@ def scan_new_files(
         inside = inside | (
             name.startswith(f"{topic}+{partition}+") & (offset > after) & (offset <= upto)
         )
-    return _drop_blank(spark.read.text(folders).where(inside).select("value"))
+    return drop_blank(spark.read.text(folders).where(inside).select("value"))

@@ -136,10 +136,13 @@ class VersionedTable:
     def read_write(self, write: Write) -> DataFrame:
         return self.spark.read.parquet(self.folder(write))
 
-    def read(self) -> DataFrame:
+    def read(self, schema: str | None = None) -> DataFrame:
+        """The newest published state; columns of ``schema`` that it hasn't are null."""
         states = [write for write in self.writes() if write.kind == STATE]
         if not states:
             raise FileNotFoundError(f"No published state in {self.path}.")
+        if schema is not None:
+            return self.spark.read.schema(schema).parquet(self.folder(states[-1]))
         return self.read_write(states[-1])
 
 
