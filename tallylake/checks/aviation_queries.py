@@ -20,8 +20,8 @@ ICAO = "lpad(lower(to_hex(user_id)), 6, '0')"
 def vector_sql(icao: str = ICAO, ground: str = "'false'", velocity: str = "CAST(value AS VARCHAR)") -> str:
     return (
         f"'[\"' || {icao} || '\",\"' || event_type || ' \",\"Brazil\",' || {SECONDS} || ',' || {SECONDS} "
-        f"|| ',null,null,null,' || {ground} || ',' || {velocity} || ',null,null,[' || user_id "
-        "|| ',7],null,null,false,0' || CASE WHEN event_type = 'click' THEN ',4' ELSE '' END || ']'"
+        f"|| ',-46.625,-23.5,731.5,' || {ground} || ',' || {velocity} || ',268.5,-3.25,[' || user_id "
+        "|| ',7],777.5,' || CASE WHEN event_type = 'signup' THEN '\"2217\"' ELSE 'null' END || ',false,0' || CASE WHEN event_type = 'click' THEN ',4' ELSE '' END || ']'"
     )
 
 
@@ -30,9 +30,10 @@ VECTORS = f"""vectors AS (SELECT event_id // {SPAN} AS block, event_id,
   {vector_sql()} AS vector, event_type, value, user_id, {SECONDS} AS seconds,
   CASE WHEN event_id % 997 = 0 THEN 'invalid_icao24' WHEN event_id % 991 = 0 THEN 'invalid_on_ground'
        WHEN event_id % 983 = 0 THEN 'invalid_velocity' END AS fault FROM events)"""
-BODIES = f"""{VECTORS}, bodies AS (SELECT block, COUNT(*) AS n, {x.FIRST_SECOND} + block * 60 AS time,
+BODY_ROWS = f"""SELECT block, COUNT(*) AS n, {x.FIRST_SECOND} + block * 60 AS time,
   '{{"time":' || ({x.FIRST_SECOND} + block * 60) || ',"states":[' || string_agg(vector, ',' ORDER BY event_id) || ']}}' AS body
-  FROM vectors GROUP BY block)"""
+  FROM vectors GROUP BY block"""
+BODIES = f"{VECTORS}, bodies AS ({BODY_ROWS})"
 KEY = "'aviation/opensky/snap-' || block || '.json'"
 OBSERVED = "strftime(make_timestamp(seconds * 1000000), '%Y-%m-%dT%H:%M:%SZ')"
 
@@ -82,14 +83,19 @@ def _land(spark, sf_dir):
     return landed.select("object_key", F.sha2("content", 256).alias("sha256"), count.alias("state_count"), "dt", "hour")
 
 
-@query("verify_snapshots", f"""WITH {BODIES}
-SELECT {KEY} AS object_key, 'snap-' || block AS snapshot_id,
-  CASE WHEN block % 5 <> 4 THEN strftime(make_timestamp((time + 5) * 1000000), '%Y-%m-%dT%H:%M:%SZ') END AS collected_at,
-  CAST(time AS BIGINT) AS source_time, n AS state_count,
-  CASE block % 5 WHEN 1 THEN 'checksum_differs' WHEN 2 THEN 'count_differs' WHEN 3 THEN 'time_differs'
-       WHEN 4 THEN 'collected_at_without_offset' END AS refusal FROM bodies""")
+#: The fault that a snapshot is given, if any.
+WRONG = "CASE block % {} {} END".format(len(x.WRONG) + 1, " ".join(f"WHEN {n} THEN '{fault}'" for n, fault in enumerate(x.WRONG, 1)))
+
+
+@query("verify_snapshots", f"""WITH {BODIES}, judged AS (SELECT *, {WRONG} AS refusal FROM bodies)
+SELECT {KEY} AS object_key, CASE WHEN refusal IS DISTINCT FROM 'missing_snapshot_id' THEN 'snap-' || block END AS snapshot_id,
+  CASE WHEN COALESCE(refusal NOT LIKE '%collected_at%', TRUE) THEN strftime(make_timestamp((time + 5) * 1000000), '%Y-%m-%dT%H:%M:%SZ') END AS collected_at,
+  CASE WHEN refusal = 'invalid_states' THEN 5 WHEN COALESCE(refusal NOT IN ('invalid_json', 'not_an_object', 'invalid_time'), TRUE)
+       THEN CAST(time AS BIGINT) END AS source_time,
+  CASE WHEN COALESCE(refusal NOT IN ('invalid_json', 'not_an_object', 'invalid_time', 'invalid_states'), TRUE) THEN n END AS state_count,
+  refusal FROM judged""")
 def _verify(spark, sf_dir):
-    return v.verify_snapshots(x.snapshots(spark, sf_dir, wrong_metadata=True)).select(
+    return v.verify_snapshots(x.snapshots(spark, sf_dir, wrong=True)).select(
         "object_key", "snapshot_id", "collected_at", "source_time", "state_count", "refusal"
     )
 
@@ -115,19 +121,20 @@ def _invalid(spark, sf_dir):
     return faults.withColumn("position", F.col("position").cast("bigint"))
 
 
-@query("state_events", f"""WITH {VECTORS}
-SELECT {KEY} AS source_object_key, sha256(vector) AS event_id, 'snap-' || block AS snapshot_id,
-  {ICAO} AS icao24, event_type AS callsign, 'Brazil' AS origin_country, {OBSERVED} AS observed_at,
-  value AS velocity_m_s, user_id AS first_sensor, FALSE AS on_ground,
+@query("state_events", f"""WITH {VECTORS}, given AS (SELECT block, sha256(body) AS source_checksum FROM ({BODY_ROWS}))
+SELECT CAST(1 AS BIGINT) AS schema_version, sha256(vector) AS event_id, 'opensky' AS source, 'req-' || block AS request_id,
+  'snap-' || block AS snapshot_id, CAST({x.FIRST_SECOND} + block * 60 AS BIGINT) AS source_time,
+  strftime(make_timestamp(({x.FIRST_SECOND} + block * 60 + 5) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS ingested_at, 'bronze' AS source_bucket,
+  {KEY} AS source_object_key, source_checksum, {ICAO} AS icao24, event_type AS callsign, 'Brazil' AS origin_country,
+  {OBSERVED} AS observed_at, {OBSERVED} AS last_contact_at, CAST(-46.625 AS DOUBLE) AS longitude, CAST(-23.5 AS DOUBLE) AS latitude,
+  CAST(731.5 AS DOUBLE) AS baro_altitude_m, FALSE AS on_ground, value AS velocity_m_s, CAST(268.5 AS DOUBLE) AS true_track_deg,
+  CAST(-3.25 AS DOUBLE) AS vertical_rate_m_s, user_id || ',7' AS sensors, CAST(777.5 AS DOUBLE) AS geo_altitude_m,
+  CASE WHEN event_type = 'signup' THEN '2217' END AS squawk, FALSE AS spi, CAST(0 AS BIGINT) AS position_source,
   CAST(CASE WHEN event_type = 'click' THEN 4 END AS BIGINT) AS category
-FROM vectors WHERE block NOT IN (SELECT block FROM vectors WHERE fault IS NOT NULL)""")
+FROM vectors JOIN given USING (block) WHERE block NOT IN (SELECT block FROM vectors WHERE fault IS NOT NULL)""")
 def _state_events(spark, sf_dir):
     events = v.state_events(v.refuse_invalid(_verified(spark, sf_dir, faulted=True)))
-    return events.select(
-        "source_object_key", "event_id", "snapshot_id", "icao24", "callsign", "origin_country",
-        "observed_at", "velocity_m_s", F.get("sensors", F.lit(0)).alias("first_sensor"), "on_ground",
-        "category",
-    )
+    return events.withColumn("sensors", F.array_join(F.col("sensors").cast("array<string>"), ","))
 
 
 @query("state_event_id", f"""
@@ -176,7 +183,7 @@ def _stream_dedup(spark, sf_dir):
 
 
 @query("publish_observations", f"""WITH {VECTORS}
-SELECT {ICAO} AS key, sha256(vector) AS event_id, {OBSERVED} AS observed_at, TRUE AS has_null_squawk,
+SELECT {ICAO} AS key, sha256(vector) AS event_id, {OBSERVED} AS observed_at, event_type <> 'signup' AS has_null_squawk,
   CAST(28 AS BIGINT) AS fields FROM vectors""")
 def _publish(spark, sf_dir):
     path = new_run_folder(spark, "published")

@@ -310,11 +310,12 @@ def state_vectors(spark: SparkSession, sf_dir: str, faulted: bool = False) -> Da
             number % 983 == 0, F.concat(F.lit('"'), velocity, F.lit('"'))
         ).otherwise(velocity)
     seconds = F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")
+    squawk = F.when(F.col("event_type") == "signup", '"2217"').otherwise("null")
     category = F.when(F.col("event_type") == "click", ",4").otherwise("")
     vector = F.concat(
         F.lit('["'), icao24, F.lit('","'), F.col("event_type"), F.lit(' ","Brazil",'),
-        seconds, F.lit(","), seconds, F.lit(",null,null,null,"), on_ground, F.lit(","), velocity,
-        F.lit(",null,null,["), F.col("user_id").cast("string"), F.lit(",7],null,null,false,0"),
+        seconds, F.lit(","), seconds, F.lit(",-46.625,-23.5,731.5,"), on_ground, F.lit(","), velocity,
+        F.lit(",268.5,-3.25,["), F.col("user_id").cast("string"), F.lit(",7],777.5,"), squawk, F.lit(",false,0"),
         category, F.lit("]"),
     )
     return b.table(spark, sf_dir, "events").select(
@@ -322,8 +323,16 @@ def state_vectors(spark: SparkSession, sf_dir: str, faulted: bool = False) -> Da
     )
 
 
+#: What ``wrong`` snapshots are refused for: block ``i`` by entry ``i % 17 - 1``, or for nothing.
+WRONG = (
+    "missing_sha256", "checksum_differs", "size_differs", "missing_source_time", "time_differs", "missing_state_count",
+    "count_differs", "missing_collected_at", "invalid_collected_at", "collected_at_without_offset", "missing_snapshot_id",
+    "missing_request_id", "invalid_json", "not_an_object", "invalid_time", "invalid_states",
+)
+
+
 def snapshots(
-    spark: SparkSession, sf_dir: str, faulted: bool = False, wrong_metadata: bool = False
+    spark: SparkSession, sf_dir: str, faulted: bool = False, wrong: bool = False
 ) -> DataFrame:
     """object_key, content, stored_size, metadata and collected_at of each snapshot."""
     vectors = F.array_join(
@@ -342,29 +351,38 @@ def snapshots(
                      F.col("vectors"), F.lit("]}")).alias("body"),
         )
     )
+    def when(refusal: str, value: Column, usual: Column) -> Column:
+        return F.when(block % (len(WRONG) + 1) == WRONG.index(refusal) + 1, value).otherwise(usual) if wrong else usual
+
+    body, nothing = F.col("body"), F.lit("")
+    body = when("invalid_json", F.concat(F.col("body"), F.lit(" x")), body)
+    body = when("not_an_object", F.concat(F.lit("["), F.col("body"), F.lit("]")), body)
+    body = when("invalid_time", F.lit('{"time":"5","states":[]}'), body)
+    bodies = bodies.withColumn("body", when("invalid_states", F.lit('{"time":5,"states":{}}'), body))
     collected = F.timestamp_seconds(F.col("time") + 5)
     text = F.date_format(collected, "yyyy-MM-dd'T'HH:mm:ss")
-    count, recorded, checksum = F.col("n"), F.col("time"), F.sha2("body", 256)
-    offset = F.lit("+00:00")
-    if wrong_metadata:
-        count = F.when(block % 5 == 2, count + 1).otherwise(count)
-        recorded = F.when(block % 5 == 3, recorded + 1).otherwise(recorded)
-        checksum = F.when(block % 5 == 1, F.lit("wrong")).otherwise(checksum)
-        offset = F.when(block % 5 == 4, F.lit("")).otherwise(offset)
+    when_collected = when("collected_at_without_offset", text, F.concat(text, F.lit("+00:00")))
+    when_collected = when("invalid_collected_at", F.lit("yesterday"), when("missing_collected_at", nothing, when_collected))
+    recorded, count = F.col("time").cast("string"), F.col("n").cast("string")
+    recorded = when("missing_source_time", nothing, when("time_differs", (F.col("time") + 1).cast("string"), recorded))
+    count = when("missing_state_count", nothing, when("count_differs", (F.col("n") + 1).cast("string"), count))
+    checksum = when("missing_sha256", nothing, when("checksum_differs", F.lit("wrong"), F.sha2("body", 256)))
+    number = block.cast("string")
     metadata = F.create_map(
-        F.lit("X-Amz-Meta-snapshot-id"), F.concat(F.lit("snap-"), block.cast("string")),
-        F.lit("X-Amz-Meta-request-id"), F.concat(F.lit("req-"), block.cast("string")),
-        F.lit("Collected-At"), F.concat(text, offset),
-        F.lit("x-amz-meta-source-time"), recorded.cast("string"),
-        F.lit("X-Amz-Meta-State-Count"), count.cast("string"),
+        F.lit("X-Amz-Meta-snapshot-id"), when("missing_snapshot_id", nothing, F.concat(F.lit("snap-"), number)),
+        F.lit("X-Amz-Meta-request-id"), when("missing_request_id", nothing, F.concat(F.lit("req-"), number)),
+        F.lit("Collected-At"), when_collected,
+        F.lit("x-amz-meta-source-time"), recorded,
+        F.lit("X-Amz-Meta-State-Count"), count,
         F.lit("X-Amz-Meta-sha256"), checksum,
     )
+    size = F.octet_length("body").cast("bigint")
     return bodies.select(
         F.concat(F.lit("aviation/opensky/snap-"), block.cast("string"), F.lit(".json")).alias(
             "object_key"
         ),
         F.encode("body", "UTF-8").alias("content"),
-        F.octet_length("body").cast("bigint").alias("stored_size"),
+        when("size_differs", size + 1, size).alias("stored_size"),
         metadata.alias("metadata"),
         collected.alias("collected_at"),
         "block",

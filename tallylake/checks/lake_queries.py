@@ -54,8 +54,8 @@ def selected(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 @query("list_bronze_objects", f"""
 WITH bodies AS (SELECT event_id // {x.SNAPSHOT_SPAN} AS block, SUM(length(CAST(epoch_us(date_trunc('second', ts)) // 1000000 AS VARCHAR)) * 2
   + length(event_type) + length(CAST(value AS VARCHAR)) + length(CAST(user_id AS VARCHAR))
-  + CASE WHEN event_type = 'click' THEN 2 ELSE 0 END
-  + length('["123456"," ","Brazil",,,null,null,null,false,,null,null,[,7],null,null,false,0]') - 1 + 1) AS size,
+  + CASE event_type WHEN 'click' THEN 2 WHEN 'signup' THEN 2 ELSE 0 END
+  + length('["123456"," ","Brazil",,,-46.625,-23.5,731.5,false,,268.5,-3.25,[,7],777.5,null,false,0]') - 1 + 1) AS size,
   COUNT(*) AS n FROM events GROUP BY 1)
 SELECT 'snap-' || block AS snapshot, CAST(size + n - 1
   + length('{{"time":,"states":[]}}') + 10 + 1 AS BIGINT) AS length FROM bodies""")

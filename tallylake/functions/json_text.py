@@ -10,13 +10,12 @@ def with_json_value(df: DataFrame, text: Column, name: str) -> DataFrame:
     """Add ``name``: the JSON value of ``text``, NULL unless the text holds one value and nothing else.
 
     The parser stops behind the first value, so it alone would miss what follows. The text is
-    put into an object in front of a name made of the text's own hash. A text can't hold its own
-    hash, so the object has those two names only if the text was one whole value.
+    put into a list in front of a mark made of the text's own hash. A text can't hold its own
+    hash, so the mark is the list's second item only if the text was one whole value.
     """
     mark = F.concat(F.lit("k"), F.sha2(text.cast("binary"), 256))
-    around = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit(',"'), mark, F.lit('":0}')))
+    around = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
     parsed = df.withColumns({"_json": around, "_json_mark": mark})
-    names = F.map_keys(F.try_variant_get("_json", "$", "map<string,variant>"))
-    whole = (F.size(names) == 2) & F.array_contains(names, F.col("_json_mark"))
-    value = F.when(whole, F.try_variant_get("_json", "$.v", "variant"))
+    whole = F.try_variant_get("_json", "$[1]", "string") == F.col("_json_mark")
+    value = F.when(whole, F.try_variant_get("_json", "$[0]", "variant"))
     return parsed.withColumn(name, value).drop("_json", "_json_mark")

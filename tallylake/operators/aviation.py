@@ -7,6 +7,9 @@ together.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +47,8 @@ _ALLOWED = {
     TEXT: ["STR"], WHOLE: ["BIG"], SECOND: ["BIG"], NUMBER: ["BIG", "DEC", "DOU", "FLO"],
     FLAG: ["BOO"], WHOLE_LIST: ["ARR"],
 }
+#: Columns that hold the vectors of a snapshot as read.
+_VECTORS = ("states", "state_texts", "state_places")
 ICAO24 = r"^[0-9a-fA-F]{6}\z"
 SCHEMA_VERSION, SOURCE = 1, "opensky"
 
@@ -75,11 +80,12 @@ def _elements(value: Column) -> Column:
 # --- snapshots -----------------------------------------------------------------------
 
 def inspect_snapshots(objects: DataFrame) -> DataFrame:
-    """Add size, checksum, ``source_time``, ``states``, ``state_count`` and ``refusal``.
+    """Add size, checksum, ``source_time``, ``states``, their texts, ``state_count`` and ``refusal``.
 
     ``objects`` has ``content``. The body must be a JSON object with a whole
     number ``time`` and ``states`` a list or null; null counts as empty. Text
-    behind the object is refused.
+    behind the object is refused. ``state_texts`` are the vectors as compact JSON,
+    ``state_places`` the places of those that are lists, as texts.
     """
     text = F.try_validate_utf8(F.col("content").cast("string"))
     parsed = with_json_value(objects, text, "body")
@@ -88,8 +94,12 @@ def inspect_snapshots(objects: DataFrame) -> DataFrame:
     elements = F.when(_is_null(states), F.array().cast("array<variant>")).otherwise(
         _elements(states)
     )
+    texts = F.from_json(text, "states ARRAY<STRING>")["states"]
+    places = F.from_json(text, "states ARRAY<ARRAY<STRING>>")["states"]
     shaped = parsed.select(
         "*",
+        texts.alias("state_texts"),
+        places.alias("state_places"),
         F.octet_length("content").cast("bigint").alias("size_bytes"),
         F.sha2("content", 256).alias("sha256"),
         is_object.alias("is_object"),
@@ -108,6 +118,8 @@ def inspect_snapshots(objects: DataFrame) -> DataFrame:
         "sha256",
         "source_time",
         "states",
+        "state_texts",
+        "state_places",
         F.when(F.col("refusal").isNull(), F.size("states")).cast("bigint").alias("state_count"),
         "refusal",
     )
@@ -172,37 +184,61 @@ def verify_snapshots(objects: DataFrame) -> DataFrame:
         "sha256",
         "state_count",
         "states",
+        "state_texts",
+        "state_places",
         "refusal",
     )
 
 
 # --- state vectors -------------------------------------------------------------------
 
-def vector_fault(vector: Column) -> Column:
-    """Why a state vector is invalid, NULL when it is valid.
+def _cells(vector: Column) -> Column:
+    """The places of a vector: value, and the first three letters of its type; VOI for a JSON null."""
+    return F.transform(_elements(vector), lambda value: F.struct(
+        value.alias("v"), F.substring(F.coalesce(_kind(value), F.lit("VOID")), 1, 3).alias("k")
+    ))
 
-    Types are strict: a number written as text is refused, and so is a boolean
-    where a number belongs.
-    """
+
+def _read_vectors(vectors: Column, make: Callable[[Column, Column], Column]) -> Column:
+    """``make(vector, cells)`` of every vector of a list. A vector is taken apart once, whatever is made of it."""
+    apart = F.transform(vectors, lambda vector: F.struct(vector.alias("vector"), _cells(vector).alias("cells")))
+    return F.transform(apart, lambda read: make(read["vector"], read["cells"]))
+
+
+def _read_vector(vector: Column, make: Callable[[Column, Column], Column]) -> Column:
+    return F.get(_read_vectors(F.array(vector), make), F.lit(0))
+
+
+def _value(cells: Column, position: int) -> Column:
+    return F.get(cells, F.lit(position))["v"]
+
+
+def _type(cells: Column, position: int) -> Column:
+    return F.coalesce(F.get(cells, F.lit(position))["k"], F.lit("VOI"))
+
+
+_SQL_TYPE = {TEXT: "string", WHOLE: "bigint", SECOND: "bigint", NUMBER: "double", FLAG: "boolean", WHOLE_LIST: "array<bigint>"}
+
+
+def _typed(cells: Column, position: int, kind: str) -> Column:
+    return F.try_variant_get(_value(cells, position), "$", _SQL_TYPE[kind])
+
+
+def _fault(cells: Column) -> Column:
     def fault(position: int, name: str, kind: str, nullable: bool) -> Column:
-        value = _at(vector, f"$[{position}]")
-        # A missing value and a JSON null are both VOID. The first three letters name the type.
-        found = F.substring(F.coalesce(_kind(value), F.lit("VOID")), 1, 3)
-        bad = ~found.isin(*_ALLOWED[kind], *(["VOI"] if nullable else []))
+        bad = ~_type(cells, position).isin(*_ALLOWED[kind], *(["VOI"] if nullable else []))
+        typed = _typed(cells, position, kind)
         if kind == SECOND:
-            bad = bad | ~F.coalesce(
-                value.try_cast("bigint").between(MIN_SECOND, MAX_SECOND), F.lit(True)
-            )
+            bad = bad | ~F.coalesce(typed.between(MIN_SECOND, MAX_SECOND), F.lit(True))
         if kind == NUMBER:
-            bad = bad | F.coalesce(F.abs(value.try_cast("double")) == float("inf"), F.lit(False))
+            bad = bad | F.coalesce(F.abs(typed) == float("inf"), F.lit(False))
         if kind == WHOLE_LIST:
-            bad = bad | F.coalesce(
-                F.exists(_elements(value), lambda item: ~_is_whole(item)), F.lit(False)
-            )
+            items = _elements(_value(cells, position))
+            bad = bad | F.coalesce(F.exists(items, lambda item: ~_is_whole(item)), F.lit(False))
         return F.when(bad, F.lit(f"invalid_{name}"))
 
-    size = F.coalesce(F.size(_elements(vector)), F.lit(-1))
-    icao24 = strip(F.try_variant_get(vector, "$[0]", "string"))
+    size = F.coalesce(F.size(cells), F.lit(-1))
+    icao24 = strip(_typed(cells, 0, TEXT))
     faults = [fault(*position) for position in POSITIONS]
     return F.when(~size.isin(*LENGTHS), F.lit("invalid_length")).otherwise(
         F.coalesce(
@@ -215,63 +251,145 @@ def vector_fault(vector: Column) -> Column:
     )
 
 
+def vector_fault(vector: Column) -> Column:
+    """Why a state vector is invalid, NULL when it is valid.
+
+    Types are strict: a number written as text is refused, and so is a boolean
+    where a number belongs.
+    """
+    return _read_vector(vector, lambda _, cells: _fault(cells))
+
+
+def _event_id(vector: Column, cells: Column) -> Column:
+    def compact(position: int, kind: str) -> Column:
+        value = _value(cells, position)
+        text = F.to_json(value)
+        if kind == TEXT:
+            text = json_text(text)
+        if kind == NUMBER:
+            # Numbers print without a whole float's fraction, and in another exponent form.
+            plain = F.contains(text, F.lit(".")) & ~F.contains(text, F.lit("E"))
+            plain = plain & (F.abs(value.try_cast("double")) >= 1e-4)
+            same = (text == "null") | plain | (_type(cells, position) == "BIG")
+            text = F.when(same, text).otherwise(json_float(value.try_cast("double")))
+        return F.coalesce(text, F.lit("null"))
+
+    def prints_alike(position: int) -> Column:
+        number, kind = _typed(cells, position, NUMBER), _type(cells, position)
+        return kind.isin("BIG", "VOI") | ((kind == "DEC") & (number != F.floor(number)) & (F.abs(number) >= 1e-4))
+
+    numbers = [prints_alike(position) for position, _, kind, _ in POSITIONS if kind == NUMBER]
+    parts = [compact(position, kind) for position, _, kind, _ in POSITIONS]
+    last = F.when(F.size(cells) == LENGTHS[1], F.concat(F.lit(","), parts[-1])).otherwise(F.lit(""))
+    by_place = F.concat(F.lit("["), F.concat_ws(",", *parts[:-1]), last, F.lit("]"))
+    # Where all numbers print as Python prints them, the vector is printed as a whole.
+    whole = F.when(reduce(Column.__and__, numbers), json_text(F.to_json(vector)))
+    return F.sha2(F.coalesce(whole, by_place), 256)
+
+
+def state_event_id(vector: Column) -> Column:
+    """SHA-256 of the vector's compact JSON, so a vector keeps its id in every snapshot.
+
+    The raw values count: text is not trimmed and a whole float keeps its ``.0``.
+    """
+    return _read_vector(vector, _event_id)
+
+
 def explode_states(snapshots: DataFrame) -> DataFrame:
     """One row per state vector; an empty snapshot gives none.
 
     The outer form with a filter after it: for the plain form Spark adds a size
     condition and pushes it below the parsing, where it parses every body again.
     """
-    kept = [c for c in snapshots.columns if c != "states"]
+    kept = [c for c in snapshots.columns if c not in (*_VECTORS, "typed")]
     exploded = snapshots.select(*kept, F.posexplode_outer("states").alias("position", "vector"))
     return exploded.where(F.col("position").isNotNull())
 
 
+#: What a place of a plain vector looks like as compact JSON: no escapes, no exponents, whole numbers well inside 64 bits.
+_WHOLE, _STRING = r"-?\d{1,18}", r'"[^"\\\x00-\x1f]*"'
+_PLAIN = {
+    TEXT: _STRING, WHOLE: _WHOLE, SECOND: r"(?:\d{1,11}|-\d{1,10})", NUMBER: r"-?\d{1,15}(?:\.\d{1,17})?", FLAG: "(?:true|false)",
+    WHOLE_LIST: rf"\[(?:{_WHOLE}(?:,{_WHOLE})*)?\]",
+}
+
+
+def _plain_vector() -> str:
+    """A pattern of valid vectors whose text Python would write alike; what doesn't fit it may be valid yet."""
+    def place(name: str, kind: str, nullable: bool) -> str:
+        form = '"[0-9a-fA-F]{6}"' if name == "icao24" else _PLAIN[kind]
+        return f"(?:null|{form})" if nullable else form
+
+    places = [place(name, kind, nullable) for _, name, kind, nullable in POSITIONS]
+    return r"^\[" + ",".join(places[: LENGTHS[0]]) + f"(?:,{places[-1]})?" + r"\]\z"
+
+
+PLAIN_VECTOR = _plain_vector()
+
+
+def _read_text(strings: Column, position: int, kind: str) -> Column:
+    text = F.get(strings, F.lit(position))
+    if kind != WHOLE_LIST:
+        return text.try_cast(_SQL_TYPE[kind])
+    items = F.split(F.btrim(text, F.lit("[]")), ",").try_cast(_SQL_TYPE[kind])
+    return F.when(text == "[]", F.array().cast(_SQL_TYPE[kind])).otherwise(items)
+
+
+def typed_states(snapshots: DataFrame) -> DataFrame:
+    """Add ``typed``: for each vector its fault, its event id and a typed value for every place (of no use where there is a fault).
+
+    This is the one pass over the vectors; faults, ids and observations are read from it. One pattern
+    tells plain vectors, which have no fault and are their own compact JSON; only others are judged
+    place by place.
+    """
+    if "typed" in snapshots.columns:
+        return snapshots
+
+    def apart(vector: Column, at: Column) -> Column:
+        text, strings = F.get("state_texts", at), F.get("state_places", at)
+        # A vector may also be a text that only looks like one; then it has no places.
+        plain = F.coalesce(text.rlike(PLAIN_VECTOR) & strings.isNotNull(), F.lit(False))
+        return F.struct(vector.alias("vector"), F.when(plain, text).alias("text"), strings.alias("strings"))
+
+    def typed(given: Column) -> Column:
+        text = given["text"]
+        of_text = [_read_text(given["strings"], position, kind).alias(name) for position, name, kind, _ in POSITIONS]
+        plain = F.struct(F.lit(None).cast("string").alias("fault"), F.sha2(text, 256).alias("event_id"), *of_text)
+
+        def judged(vector: Column, cells: Column) -> Column:
+            of_cells = [_typed(cells, position, kind).alias(name) for position, name, kind, _ in POSITIONS]
+            return F.struct(_fault(cells).alias("fault"), _event_id(vector, cells).alias("event_id"), *of_cells)
+
+        return F.when(text.isNotNull(), plain).otherwise(_read_vector(given["vector"], judged))
+
+    return snapshots.withColumn("typed", F.transform(F.transform("states", apart), typed))
+
+
 def _accepted(snapshots: DataFrame) -> DataFrame:
     """Snapshots with the vectors of refused ones removed.
 
     Not a filter, for the reason given in ``explode_states``.
     """
-    return snapshots.withColumn("states", F.when(F.col("refusal").isNull(), F.col("states")))
+    return snapshots.withColumn("typed", F.when(F.col("refusal").isNull(), F.col("typed")))
+
+
+def _explode_typed(snapshots: DataFrame) -> DataFrame:
+    kept = [c for c in snapshots.columns if c not in (*_VECTORS, "typed")]
+    exploded = snapshots.select(*kept, F.posexplode_outer("typed").alias("position", "state"))
+    return exploded.where(F.col("position").isNotNull())
 
 
 def invalid_states(snapshots: DataFrame) -> DataFrame:
     """(object_key, position, fault) of every invalid vector."""
-    vectors = explode_states(_accepted(snapshots))
-    return vectors.select(
-        "object_key", "position", vector_fault(F.col("vector")).alias("fault")
-    ).where("fault IS NOT NULL")
+    vectors = _explode_typed(_accepted(typed_states(snapshots)))
+    return vectors.select("object_key", "position", F.col("state.fault").alias("fault")).where("fault IS NOT NULL")
 
 
 def refuse_invalid(snapshots: DataFrame) -> DataFrame:
-    """Give a verified snapshot the fault of its first invalid vector as ``refusal``."""
-    faults = F.filter(F.transform("states", vector_fault), lambda fault: fault.isNotNull())
+    """Give a verified snapshot the fault of its first invalid vector as ``refusal``; its vectors get ``typed``."""
+    faults = F.filter(F.col("typed.fault"), lambda fault: fault.isNotNull())
     first = F.try_element_at(faults, F.lit(1))
-    return snapshots.withColumn("refusal", F.coalesce(F.col("refusal"), first))
-
-
-def state_event_id(vector: Column) -> Column:
-    """SHA-256 of the vector's compact JSON, so a vector keeps its id in every snapshot.
-
-    The raw values count: text is not trimmed and a whole float keeps its ``.0``.
-    """
-    def compact(position: int, kind: str) -> Column:
-        value = _at(vector, f"$[{position}]")
-        text = F.to_json(value)
-        if kind == TEXT:
-            text = json_text(text)
-        if kind == NUMBER:
-            # Numbers print without a whole float's fraction, and in another exponent form.
-            plain = F.contains(text, F.lit(".")) & ~F.contains(text, F.lit("E"))
-            plain = plain & (F.abs(value.try_cast("double")) >= 1e-4)
-            same = (text == "null") | plain | _is_whole(value)
-            text = F.when(same, text).otherwise(json_float(value.try_cast("double")))
-        return F.coalesce(text, F.lit("null"))
-
-    parts = [compact(position, kind) for position, _, kind, _ in POSITIONS]
-    last = F.when(
-        F.size(_elements(vector)) == LENGTHS[1], F.concat(F.lit(","), parts[-1])
-    ).otherwise(F.lit(""))
-    return F.sha2(F.concat(F.lit("["), F.concat_ws(",", *parts[:-1]), last, F.lit("]")), 256)
+    return typed_states(snapshots).withColumn("refusal", F.coalesce(F.col("refusal"), first))
 
 
 def state_events(snapshots: DataFrame, bucket: str = "bronze") -> DataFrame:
@@ -280,17 +398,14 @@ def state_events(snapshots: DataFrame, bucket: str = "bronze") -> DataFrame:
     A snapshot with one invalid vector gives no observation at all, so apply
     ``refuse_invalid`` first.
     """
-    rows = explode_states(_accepted(snapshots))
-
-    def value(position: int, kind: str) -> Column:
-        return F.variant_get("vector", f"$[{position}]", kind)
+    rows = _explode_typed(_accepted(typed_states(snapshots)))
 
-    def text(position: int) -> Column:
-        return strip(value(position, "string"))
+    def place(name: str) -> Column:
+        return F.col(f"state.{name}")
 
     return rows.select(
         F.lit(SCHEMA_VERSION).cast("bigint").alias("schema_version"),
-        state_event_id(F.col("vector")).alias("event_id"),
+        place("event_id"),
         F.lit(SOURCE).alias("source"),
         "request_id",
         "snapshot_id",
@@ -299,24 +414,24 @@ def state_events(snapshots: DataFrame, bucket: str = "bronze") -> DataFrame:
         F.lit(bucket).alias("source_bucket"),
         F.col("object_key").alias("source_object_key"),
         F.col("sha256").alias("source_checksum"),
-        F.lower(text(0)).alias("icao24"),
-        text(1).alias("callsign"),
-        text(2).alias("origin_country"),
-        iso_utc_of_seconds(value(3, "bigint")).alias("observed_at"),
-        iso_utc_of_seconds(value(4, "bigint")).alias("last_contact_at"),
-        value(5, "double").alias("longitude"),
-        value(6, "double").alias("latitude"),
-        value(7, "double").alias("baro_altitude_m"),
-        value(8, "boolean").alias("on_ground"),
-        value(9, "double").alias("velocity_m_s"),
-        value(10, "double").alias("true_track_deg"),
-        value(11, "double").alias("vertical_rate_m_s"),
-        value(12, "array<bigint>").alias("sensors"),
-        value(13, "double").alias("geo_altitude_m"),
-        text(14).alias("squawk"),
-        value(15, "boolean").alias("spi"),
-        value(16, "bigint").alias("position_source"),
-        value(17, "bigint").alias("category"),
+        F.lower(strip(place("icao24"))).alias("icao24"),
+        strip(place("callsign")).alias("callsign"),
+        strip(place("origin_country")).alias("origin_country"),
+        iso_utc_of_seconds(place("time_position")).alias("observed_at"),
+        iso_utc_of_seconds(place("last_contact")).alias("last_contact_at"),
+        place("longitude"),
+        place("latitude"),
+        place("baro_altitude").alias("baro_altitude_m"),
+        place("on_ground"),
+        place("velocity").alias("velocity_m_s"),
+        place("true_track").alias("true_track_deg"),
+        place("vertical_rate").alias("vertical_rate_m_s"),
+        place("sensors"),
+        place("geo_altitude").alias("geo_altitude_m"),
+        strip(place("squawk")).alias("squawk"),
+        place("spi"),
+        place("position_source"),
+        place("category"),
     )
 
 
@@ -346,7 +461,7 @@ def publish_observations(
     folder ``work``, which publishing and the result read. ``strict`` publishes nothing if any snapshot is
     refused. The sink's own acknowledgement ends the job; a failed task fails the call.
     """
-    rows = _accepted(refuse_invalid(snapshots))
+    rows = _accepted(refuse_invalid(snapshots)).drop(*_VECTORS)
     rows.write.mode("overwrite").parquet(work)
     written = rows.sparkSession.read.schema(rows.schema).parquet(work)
     refused = written.where("refusal IS NOT NULL").select("object_key", "refusal")
