@@ -16,7 +16,7 @@ from tallylake.operators import finance
 from tallylake.operators import manifest as m
 from tallylake.operators import reconcile as r
 from tallylake.operators.migrate import migration_plan, preserve_legacy
-from tallylake.operators.quality import schema_diff
+from tallylake.operators.quality import stored_schema_diff
 from tallylake.plans.jobs import landed_versions, reconcile_lake
 from tallylake.session import new_run_folder
 from tallylake.sources import bronze
@@ -90,7 +90,7 @@ SELECT topic, "partition", start_offset,
   CAST(ROW_NUMBER() OVER (ORDER BY topic, "partition", start_offset) AS BIGINT) AS position FROM objects""")
 def _order(spark, sf_dir):
     found = objects(spark, sf_dir).select("key", "topic", "partition", "start_offset")
-    return m.manifest_order(found, span=4096).drop("key")
+    return m.manifest_order(found, new_run_folder(spark, "manifest-order")).drop("key")
 
 
 @query("next_checkpoints", f"""WITH {OBJECTS}, {HALF}, {SELECTED}
@@ -276,13 +276,11 @@ def _batch(spark, sf_dir):
 
 # --- contracts and migration -----------------------------------------------------------
 
-def _old_lake(spark, sf_dir, rows: bool = False) -> str:
-    """A lake whose transactions hold amounts as doubles and whose accounts lack a column; with rows or without."""
+def _old_lake(spark, sf_dir) -> str:
+    """A lake whose transactions hold amounts as doubles and whose accounts lack a column."""
     done, root = x.finished_lake(spark, sf_dir), new_run_folder(spark, "old-lake")
     for name in TABLE_NAMES:
         state = done.lake.silver(name).read()
-        if not rows:
-            state = state.where(F.lit(False))
         if name == "transactions":
             state = state.withColumn("amount", F.col("amount").cast("double"))
         if name == "accounts":
@@ -292,15 +290,6 @@ def _old_lake(spark, sf_dir, rows: bool = False) -> str:
     return root
 
 
-def _affected(spark, sf_dir) -> DataFrame:
-    """How many stored rows a difference of a table concerns."""
-    lake = x.finished_lake(spark, sf_dir).lake
-    return reduce(DataFrame.unionByName, [
-        lake.silver(name).read([CONTRACTS[name].primary_key]).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
-        for name in ("accounts", "transactions")
-    ])
-
-
 AFFECTED = """(SELECT 'accounts' AS "table", COUNT(*) AS rows FROM customer UNION ALL SELECT 'transactions', COUNT(*) FROM orders) AS r"""
 
 
@@ -318,10 +307,9 @@ SELECT "table", CAST(position AS BIGINT) AS position, actual, expected, rows FRO
 def _schema_diff(spark, sf_dir):
     root, parts = _old_lake(spark, sf_dir), []
     for name in ("accounts", "transactions"):
-        actual = VersionedTable(spark, f"{root}/silver/{name}").read().schema
-        diff = schema_diff(spark, actual, CONTRACTS[name].schema)
+        diff = stored_schema_diff(spark, VersionedTable(spark, f"{root}/silver/{name}").read(), CONTRACTS[name].schema)
         parts.append(diff.select(F.lit(name).alias("table"), "*"))
-    return reduce(DataFrame.unionByName, parts).join(_affected(spark, sf_dir), "table")
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("migration_plan", f"""
@@ -330,7 +318,7 @@ SELECT "table", source, target, CAST(differences AS BIGINT) AS differences, rows
  ('accounts', 'silver/accounts', 'silver_legacy/accounts_pre_contract_v2', 3))
  AS p("table", source, target, differences) USING ("table")""")
 def _plan(spark, sf_dir):
-    return migration_plan(spark, _old_lake(spark, sf_dir), CONTRACTS).join(_affected(spark, sf_dir), "table")
+    return migration_plan(spark, _old_lake(spark, sf_dir), CONTRACTS)
 
 
 @query("preserve_legacy", with_tables("b_transactions", """
@@ -338,7 +326,7 @@ SELECT 'transactions' AS "table", COUNT(*) AS preserved_rows,
   CAST(SUM(amount) FILTER (WHERE NOT _cdc_deleted) AS DECIMAL(28,4)) AS amount FROM b_transactions
 UNION ALL SELECT 'accounts', COUNT(*), NULL FROM b_accounts"""))
 def _preserve(spark, sf_dir):
-    root = _old_lake(spark, sf_dir, rows=True)
+    root = _old_lake(spark, sf_dir)
     moved = preserve_legacy(spark, root, migration_plan(spark, root, CONTRACTS)).collect()
     parts = []
     for row in moved:

@@ -55,30 +55,26 @@ def batch_manifest(selected: DataFrame, known_tables: list[str]) -> DataFrame:
     )
 
 
-def manifest_order(objects: DataFrame, span: int = 65_536) -> DataFrame:
-    """Objects with their ``position`` by topic, partition and numeric offset, sorted.
+def manifest_order(objects: DataFrame, work: str) -> DataFrame:
+    """Objects with their ``position`` by topic, partition, numeric offset and key, sorted.
 
-    Offsets are unique within a partition, so a block of ``span`` offsets holds
-    at most ``span`` rows and is numbered on its own. Block totals are summed
-    within each broker partition; only the totals of these, one row per broker
-    partition, are summed in one place.
+    Rows are dealt out by ranges of the order, so a broker partition of any size, with offsets as sparse
+    as may be, spreads over many tasks. Each task numbers its own range and the ranges are written to the
+    folder ``work`` once; the positions before a range are a prefix sum over one row per range.
     """
-    block = F.floor(F.col("start_offset") / span)
-    blocked = objects.withColumn("block", block)
-    own, place = ["topic", "partition"], ["topic", "partition", "block"]
-    totals = blocked.groupBy(place).agg(F.count(F.lit(1)).alias("in_block"))
-    inner = F.coalesce(F.sum("in_block").over(Window.partitionBy(own).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    outer = F.coalesce(F.sum("n").over(Window.orderBy(own).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = objects.groupBy(own).agg(F.count(F.lit(1)).alias("n")).select(*own, outer.alias("outer"))
-    offsets = totals.withColumn("inner", inner).join(parts, own).select(*place, (F.col("inner") + F.col("outer")).alias("before"))
-    inside = F.row_number().over(Window.partitionBy(place).orderBy("start_offset", "key"))
-    return (
-        blocked.withColumn("inside", inside)
-        .join(offsets, place)
-        .withColumn("position", F.col("before") + F.col("inside"))
-        .drop("block", "inside", "before")
-        .orderBy("position")
-    )
+    spark, order = objects.sparkSession, ["topic", "partition", "start_offset", "key"]
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The id holds the range in its upper bits and the row's place in the range in the lower 33.
+    dealt = objects.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    dealt.write.parquet(work)
+    numbered = spark.read.schema(dealt.schema).parquet(work).withColumns({
+        "_range": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)),
+    })
+    sizes = numbered.groupBy("_range").agg(F.count(F.lit(1)).alias("rows"))
+    before = F.coalesce(F.sum("rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_range", before.alias("_before"))
+    position = (F.col("_before") + F.col("_place") + 1).alias("position")
+    return numbered.join(F.broadcast(starts), "_range").select(*objects.columns, position).orderBy("position")
 
 
 def key_day(key: Column) -> Column:

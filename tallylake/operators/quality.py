@@ -145,6 +145,15 @@ def schema_diff(spark: SparkSession, actual: T.StructType, contract: T.StructTyp
     )
 
 
+def stored_schema_diff(spark: SparkSession, stored: DataFrame, contract: T.StructType) -> DataFrame:
+    """``schema_diff`` of a stored table, and in ``rows`` how many of its rows each difference concerns.
+
+    The schema and the count come from the table's file footers.
+    """
+    rows = stored.agg(F.count(F.lit(1)).alias("rows"))
+    return schema_diff(spark, stored.schema, contract).withColumn("rows", rows.scalar())
+
+
 def _signature(schema: T.StructType) -> list[str]:
     return [
         f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' required'}"

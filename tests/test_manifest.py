@@ -48,13 +48,26 @@ def test_unknown_tables_are_listed_and_advance(spark):
     }
 
 
-@pytest.mark.parametrize("span", [1, 4, 1000])
-def test_order_is_numeric_and_complete(spark, span):
+def test_order_is_numeric_and_complete(spark, tmp_path):
     keys = [key(partition=p, offset=str(o)) for p in (0, 1, 10) for o in (0, 9, 10, 100, 5000)]
     keys += [key(topic="cdc.public.zebra", offset="3")]
-    ordered = m.manifest_order(objects(spark, *reversed(keys)), span).collect()
+    ordered = m.manifest_order(objects(spark, *reversed(keys)), str(tmp_path / "some")).collect()
     assert [r.key for r in ordered] == keys
     assert [r.position for r in ordered] == list(range(1, len(keys) + 1))
+    assert m.manifest_order(objects(spark, "none"), str(tmp_path / "none")).count() == 0
+
+
+def test_one_partition_with_sparse_offsets_is_numbered_in_many_tasks(spark, tmp_path):
+    n = F.col("id")
+    offset = F.pmod(n * 7919, F.lit(100_000)) * 1_000_003
+    rows = spark.range(100_000).select(
+        F.lit(ACCOUNTS).alias("topic"), F.lit(0).cast("bigint").alias("partition"), offset.alias("start_offset"), n.cast("string").alias("key")
+    )
+    ordered = m.manifest_order(rows, str(tmp_path / "order"))
+    assert ordered.where(F.col("start_offset") != (F.col("position") - 1) * 1_000_003).isEmpty() and ordered.count() == 100_000
+    written = spark.read.parquet(str(tmp_path / "order")).groupBy(F.shiftright("_id", 33).alias("range")).count().collect()
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(written) == ranges and max(r["count"] for r in written) < 2 * 100_000 / ranges
 
 
 @pytest.mark.parametrize("previous, batch, committed", [

@@ -129,7 +129,10 @@ def test_migration_moves_only_what_differs_and_overwrites_nothing(spark, tmp_pat
     assert migration_plan(spark, lake, contracts).isEmpty()
     VersionedTable(spark, f"{lake}/silver/accounts").replace(spark.range(3))
     plan = migration_plan(spark, lake, contracts)
-    assert [row.table for row in plan.collect()] == ["accounts"]
+    assert [(row.table, row.rows) for row in plan.collect()] == [("accounts", 3)]
+    stored = VersionedTable(spark, f"{lake}/silver/accounts").read()
+    differing = q.stored_schema_diff(spark, stored, contracts["accounts"].schema).collect()
+    assert {r.rows for r in differing} == {3} and differing[0].actual == "id bigint"
     moved, = preserve_legacy(spark, lake, plan).collect()
     assert moved.preserved_rows == 3
     assert VersionedTable(spark, f"{lake}/{moved.target}").read().count() == 3
