@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallylake.llm.common import Encoder, in_steps, table, tokenizer_path, written
+from tallylake.llm.common import SMALL_STEP, Encoder, in_steps, table, tokenizer_path, written
 from tallylake.llm.registry import query
 from tallylake.session import new_run_folder
 
@@ -31,8 +31,8 @@ from tallylake.session import new_run_folder
 TABLE_PAIRS = 1 << 22
 #: Different pairs that a counting task holds before it hands them on.
 HELD_PAIRS = 1 << 20
-#: Characters that a task encodes, and bytes of ids that it aligns, at once: both take some hundred bytes a piece.
-STEP_CHARS, STEP_BYTES = 1_000_000, 800_000
+#: Bytes of ids that a task aligns at once; each takes some hundred bytes.
+STEP_BYTES = 800_000
 
 
 class Vocabulary:
@@ -203,7 +203,7 @@ def encode_both(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizers(a_path, b_path)
-        for batch, texts in in_steps(batches, chars=STEP_CHARS):
+        for batch, texts in in_steps(batches, chars=SMALL_STEP):
             a, b = pair.encode(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("row"), pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["doc_id", "row", "a", "b"]

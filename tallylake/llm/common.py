@@ -21,6 +21,8 @@ from tallylake.session import new_run_folder
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Texts of one step inside a task hold about this many characters, however many rows Arrow delivers at once.
 STEP_CHARS = 5_000_000
+#: The same for work that makes many objects of each word.
+SMALL_STEP = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tallylake.llm.common import HashMemo, in_steps, mixed, space_words, table, written
+from tallylake.llm.common import SMALL_STEP, HashMemo, in_steps, mixed, space_words, table, written
 from tallylake.llm.components import components
 from tallylake.llm.registry import query
 
@@ -78,7 +78,7 @@ def document_sets(docs: DataFrame, ngram: int, slots: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, counts, seen = Shingles(ngram), np.zeros(slots, np.int32), False
-        for batch, texts in in_steps(batches):
+        for batch, texts in in_steps(batches, chars=SMALL_STEP):
             seen = True
             sizes, keys, all_slots = [], [], []
             for text in texts:
@@ -148,7 +148,7 @@ def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(ngram)
-        for _, texts in in_steps(batches):
+        for _, texts in in_steps(batches, chars=SMALL_STEP):
             keys, sizes, groups, prefixes, signatures = [], [], [], [], []
             for text in texts:
                 shingles = own.of(text)
@@ -248,7 +248,7 @@ def _texts_of(docs: DataFrame, pairs: DataFrame, classes: DataFrame, ngram: int)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(ngram)
-        for _, texts in in_steps(batches):
+        for _, texts in in_steps(batches, chars=SMALL_STEP):
             keys = pa.array([key_of(own.of(t)) for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([keys, pa.array(texts, pa.string())], names=["key", "text"])
 

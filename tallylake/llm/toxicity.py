@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallylake.llm.common import fold_of, in_steps, table, written
+from tallylake.llm.common import SMALL_STEP, fold_of, in_steps, table, written
 from tallylake.llm.registry import query
 
 #: Labelled rows that models are fitted on, about: the bound of the sample, whatever the labels' number.
@@ -116,7 +116,7 @@ class ToxicityModel:
 
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: tuple[Counter, Counter] = (Counter(), Counter())
-    for batch, texts in in_steps(batches):
+    for batch, texts in in_steps(batches, chars=SMALL_STEP):
         for text, label in zip(texts, batch.column("label").to_pylist(), strict=True):
             words = set(plain_words(text))
             counts[int(label)].update(words)
@@ -157,7 +157,7 @@ def with_features(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     kept = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in in_steps(batches):
+        for batch, texts in in_steps(batches, chars=SMALL_STEP):
             columns = zip(*(features(t, lexicon) for t in texts), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept] + [pa.array(c, pa.float64()) for c in columns], names=kept + FEATURES
