@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,9 @@ from tallylake.checks.registry import query, with_tables
 from tallylake.contracts import CONTRACTS, CURRENCIES, ACCOUNT_STATUSES, ACCOUNT_TYPES, PARTNER_TYPES
 from tallylake.operators import quality as q
 from tallylake.plans import gold
-from tallylake.plans.gold_tests import gold_quality_report, relationship_tests
+from tallylake.plans.gold_tests import gold_quality_report, observed, passed_tests, relationship_tests
 from tallylake.plans.staging import staging_live_rows
+from tallylake.session import new_run_folder
 
 
 def faulted_models(spark, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
@@ -297,5 +300,10 @@ def _report_sql() -> str:
 @query("quality_report", with_tables(
     "f_ledger f_accounts f_partners f_transactions", _report_sql()))
 def _quality_report(spark, sf_dir):
+    # As in the pipeline: the models are written, and their column tests are observed meanwhile.
     models, staging = faulted_models(spark, sf_dir)
-    return gold_quality_report(models, staging)
+    run, models = new_run_folder(spark, "gold"), {name: observed(name, df) for name, df in models.items()}
+    with ThreadPoolExecutor(len(models)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(lambda name: models[name][0].write.parquet(f"{run}/{name}")), models))
+    tables = {name: spark.read.schema(df.schema).parquet(f"{run}/{name}") for name, (df, _) in models.items()}
+    return gold_quality_report(tables, staging, passed=passed_tests(seen for _, seen in models.values()))

@@ -103,13 +103,23 @@ def _sum_again(parts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def account_movements(stg_ledger: DataFrame) -> DataFrame:
+    """Movements per account and currency."""
+    return _movements(stg_ledger, ["account_id", "currency"])
+
+
+def movements_by_currency(per_account: DataFrame) -> DataFrame:
+    """Movements per account at the coarser grain of currency."""
+    return _sum_again(per_account.withColumnRenamed("currency", "currency_code"), ["currency_code"])
+
+
 def partner_net_position(stg_ledger: DataFrame, dim_accounts: DataFrame) -> DataFrame:
     """Movements per partner and currency: credits less debits, without an opening balance.
 
     Entries are summed per account before the join, so an account that holds
     much of the ledger meets its owner as one row per currency.
     """
-    per_account = _movements(stg_ledger, ["account_id", "currency"])
+    per_account = account_movements(stg_ledger)
     owners = dim_accounts.select("account_id", "partner_id")
     owned = per_account.join(owners, "account_id").withColumnRenamed("currency", "currency_code")
     return _sum_again(owned, ["partner_id", "currency_code"])

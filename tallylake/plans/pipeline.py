@@ -18,7 +18,7 @@ from tallylake.operators.envelope import stage_events
 from tallylake.operators.latest import at_or_below, latest_by_lsn
 from tallylake.operators.reconcile import reconcile_batch
 from tallylake.plans.gold import build_gold
-from tallylake.plans.gold_tests import gold_quality_report
+from tallylake.plans.gold_tests import gold_quality_report, observed, passed_tests
 from tallylake.plans.staging import staging_models
 from tallylake.sources.bronze import (
     drop_blank, inside_ranges, list_bronze_objects, open_day_folders, scan_landed_messages, scan_new_files,
@@ -286,12 +286,13 @@ def _state_columns(key: str) -> tuple[str, str, str]:
 def _build_gold(lake: Lake, zone: str, parallel: int) -> None:
     """Write every model, test what was written, then release all of them by one marker, or none."""
     staging = staging_models({t: lake.silver(t).read() for t in lake.contracts})
-    models = build_gold(staging, zone)
+    models = {name: observed(name, df) for name, df in build_gold(staging, zone).items()}
     written = dict(
-        _each(lake.spark, lambda name: lake.gold(name).write_state(models[name]), models, parallel)
+        _each(lake.spark, lambda name: lake.gold(name).write_state(models[name][0]), models, parallel)
     )
     tables = {name: lake.gold(name).read_write(write) for name, write in written.items()}
-    failed = gold_quality_report(tables, staging, zone).where("failures > 0").collect()
+    passed = passed_tests(seen for _, seen in models.values())
+    failed = gold_quality_report(tables, staging, zone, passed).where("failures > 0").collect()
     if failed:
         raise GateError("Data tests failed: " + "; ".join(f"{r.test}={r.failures}" for r in failed))
     rows = [(name, write.name, write.rows) for name, write in written.items()]

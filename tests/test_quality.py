@@ -139,3 +139,71 @@ def test_migration_moves_only_what_differs_and_overwrites_nothing(spark, tmp_pat
     VersionedTable(spark, f"{lake}/silver/accounts").replace(spark.range(1))
     with pytest.raises(FileExistsError):
         migration_plan(spark, lake, contracts)
+
+
+def _report_tables(spark):
+    """Gold tables with a few faults each, as few rows, and staging that fits them."""
+    def frame(schema, *rows):
+        return spark.createDataFrame(list(rows), schema)
+
+    money = "DECIMAL(28,4)"
+    tables = {
+        "dim_partners": frame("partner_id STRING, partner_type STRING, status STRING", ("p1", "bank", "active"), ("p1", "odd", "active"), (None, "odd", "active")),
+        "dim_accounts": frame(
+            "account_id STRING, partner_id STRING, account_currency STRING, account_type STRING, status STRING",
+            ("a1", "p1", "BRL", "fee", "active"), ("a1", "p9", "XXX", "fee", "odd"), ("a1", None, None, "fee", "other"), (None, "p9", "BRL", "fee", "odd")),
+        "dim_currencies": frame("currency_code STRING", ("BRL",)),
+        "fct_daily_volume": frame(
+            f"transaction_date DATE, currency_code STRING, transaction_count BIGINT, gross_volume {money}",
+            *[(None, "BRL", 1, Decimal(1)), (None, "BRL", 1, Decimal(1)), (None, "USD", None, Decimal(1))]),
+        "fct_partner_net_position": frame(
+            f"partner_id STRING, currency_code STRING, entry_count BIGINT, total_debits {money}, total_credits {money}, net_position {money}",
+            ("p1", "BRL", 1, Decimal(1), Decimal(0), None), ("p1", "BRL", 1, Decimal(1), Decimal(0), Decimal(0)), ("p9", "USD", 1, Decimal(1), Decimal(0), Decimal(0))),
+    }
+    staging = {
+        "stg_ledger_entries": frame("account_id STRING, transaction_id STRING, currency STRING, entry_type STRING, amount DECIMAL(18,4)",
+                                    ("a1", "t1", "BRL", "debit", Decimal(5)), ("a7", "t1", "BRL", "credit", Decimal(-4)), (None, "t2", "USD", "debit", Decimal(0))),
+        "stg_transactions": frame("transaction_id STRING, amount DECIMAL(18,4), currency STRING, status STRING, created_at TIMESTAMP_NTZ"),
+    }
+    return tables, staging
+
+
+def test_the_report_counts_each_fault_and_skips_what_was_observed(spark):
+    from tallylake.plans.gold_tests import gold_quality_report, observed, passed_tests, test_names
+
+    tables, staging = _report_tables(spark)
+    full = {r.test: r.failures for r in gold_quality_report(tables, staging).collect()}
+    assert sorted(full) == sorted(test_names()) and len(full) == 33
+    assert {t: n for t, n in full.items() if n} == {
+        "not_null:dim_partners.partner_id": 1, "not_null:dim_accounts.account_id": 1, "not_null:dim_accounts.partner_id": 1,
+        "not_null:dim_accounts.account_currency": 1, "not_null:fct_daily_volume.transaction_date": 3,
+        "not_null:fct_daily_volume.transaction_count": 1, "not_null:fct_partner_net_position.net_position": 1,
+        "unique:dim_partners.partner_id": 1, "unique:dim_accounts.account_id": 1,
+        "accepted_values:dim_partners.partner_type": 1, "accepted_values:dim_accounts.account_currency": 1,
+        "accepted_values:dim_accounts.status": 2,
+        "relationships:dim_accounts.partner_id": 2, "relationships:fct_daily_volume.currency_code": 1,
+        "relationships:fct_partner_net_position.partner_id": 1, "relationships:fct_partner_net_position.currency_code": 1,
+        "unique_grain:fct_daily_volume": 1, "unique_grain:fct_partner_net_position": 1,
+        "ledger_entries_have_account": 2, "ledger_entries_sum_to_zero": 1, "daily_volume_matches_state": 2, "net_position_matches_ledger": 2,
+    }
+    seen = []
+    for name, df in tables.items():
+        watched, one = observed(name, df)
+        watched.write.format("noop").mode("overwrite").save()
+        seen.append(one)
+    passed = passed_tests(seen)
+    assert passed == {t for t, n in full.items() if not n and t.startswith(("not_null", "accepted"))}
+    report = gold_quality_report(tables, staging, passed=passed)
+    assert {r.test: r.failures for r in report.collect()} == full
+
+
+def test_key_tests_scan_a_table_once(spark, tmp_path):
+    from tallylake.plans.gold_tests import key_failures
+
+    tables, _ = _report_tables(spark)
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.schema(df.schema).parquet(str(tmp_path / name)) for name, df in tables.items()}
+    plan = key_failures(stored)._jdf.queryExecution().executedPlan().toString()
+    # Each of five tables once for its keys, and four times as a parent.
+    assert plan.count("FileScan parquet") == 9 and plan.count("Expand") == 5
