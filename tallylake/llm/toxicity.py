@@ -114,18 +114,31 @@ class ToxicityModel:
     calibration: IsotonicRegressionModel | None
 
 
+#: Different words and stems that a counting task holds before it hands them on.
+HELD_WORDS = 50_000
+
+
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: tuple[Counter, Counter] = (Counter(), Counter())
+
+    def rows() -> pa.RecordBatch:
+        every = [*counts[0], *(w for w in counts[1] if w not in counts[0])]
+        made = pa.RecordBatch.from_arrays([
+            pa.array(every, pa.binary()), pa.array([counts[1][w] for w in every], pa.int64()), pa.array([counts[0][w] for w in every], pa.int64()),
+        ], names=["word", "with", "without"])
+        for one in counts:
+            one.clear()
+        return made
+
     for batch, texts in in_steps(batches, chars=SMALL_STEP):
         for text, label in zip(texts, batch.column("label").to_pylist(), strict=True):
             words = set(plain_words(text))
             counts[int(label)].update(words)
             # A stem ends in an asterisk, which no word has.
             counts[int(label)].update({w[:n] + b"*" for w in words for n in STEM_BYTES if len(w) >= n})
-    every = list(counts[0] | counts[1])
-    yield pa.RecordBatch.from_arrays([
-        pa.array(every, pa.binary()), pa.array([counts[1][w] for w in every], pa.int64()), pa.array([counts[0][w] for w in every], pa.int64()),
-    ], names=["word", "with", "without"])
+        if len(counts[0]) + len(counts[1]) > HELD_WORDS:
+            yield rows()
+    yield rows()
 
 
 def learn_lexicon(sample: DataFrame, bad: int, good: int) -> Lexicon:
