@@ -266,5 +266,7 @@ def test_landed_messages_are_read_by_day_and_offset(spark, tmp_path):
     found = scan_landed_messages(spark, str(tmp_path / "landing")).where("landed_day >= date'2029-02-09'")
     found = found.where(inside_ranges([("cdc.public.partners", 0, 10, 35)])).select("offset", "value")
     assert {r.offset for r in found.collect()} == {18, 19, 28, 29}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
     plan = found._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "make_date" in plan.split("PartitionFilters: [")[1].split("]")[0] and "GreaterThan(offset,10)" in plan
