@@ -78,6 +78,8 @@ def per_batch(work: Callable[[pa.RecordBatch, list[str]], dict[str, Any]], schem
 
 #: Entries a memo holds before it starts anew; it bounds a worker's memory and changes no result.
 MEMO_ENTRIES = 600_000
+#: The same for a memo of hashes, which are cheap to make again.
+HASHED_WORDS = 150_000
 
 
 class HashMemo(dict):
@@ -88,7 +90,7 @@ class HashMemo(dict):
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > MEMO_ENTRIES:
+        if len(self) > HASHED_WORDS:
             self.clear()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
