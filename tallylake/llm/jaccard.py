@@ -7,14 +7,17 @@ which are verified.
 
 Copies would give all pairs of a large group. So equal sets are one class from the start, and only
 links that can still join two components are looked for: first each group is compared with one hub of
-every prefix n-gram it has, then what is not yet connected is compared in full. No two sets that are
-similar end in different components. Before texts are fetched, members are compared by a signature, the
-parity of n-grams in each of some slots: two sets differ by at least as many n-grams as bits.
+every prefix n-gram it has; then, round by round, what is not yet connected meets new hubs, while that
+links a good part of it; what stays open is compared in full. No two sets that are similar end in
+different components. Before texts are fetched, members are compared by a signature, the parity of
+n-grams in each of some slots: two sets differ by at least as many n-grams as bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,28 +41,44 @@ CHUNK_SLOTS, FIRST_SUMS = 1 << 16, 32
 SIGNATURE_BITS = 512
 #: Texts of up to so many asked ids are found by a broadcast of the ids, which are counted first; more by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: n-grams choose their hubs by so many different orders of groups, so that a set meets several hubs in a round.
+HUB_ORDERS = 4
+#: Rounds of hubs go on while one makes a link for each so many open groups. This changes no result.
+OPEN_A_LINK = 20
+#: Rows that a Python worker gets at once; texts of more rows would only wait in its memory.
+ROWS_A_BATCH = 1_000
 
 
 # --- sets -----------------------------------------------------------------------------------
 
 
 class Shingles:
-    """Sorted distinct 64-bit hashes of the n-grams of a text."""
+    """Sorted distinct 64-bit hashes of the n-grams of texts."""
 
     def __init__(self, ngram: int):
         self.ngram, self.memo = ngram, HashMemo()
 
-    def of(self, text: str) -> np.ndarray:
-        words = space_words(text)
-        if not words:
-            return np.zeros(0, np.uint64)
-        hashes = self.memo.of(words)
-        size = min(self.ngram, len(words))
+    def of_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The sets of all texts, one after the other, and the bounds of each one's own."""
+        words = [space_words(t) for t in texts]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        hashes = self.memo.of(list(chain.from_iterable(words)))
+        size = np.minimum(self.ngram, sizes)
+        n = np.where(sizes > 0, sizes - size + 1, 0)
+        ends = np.cumsum(n)
+        text = np.repeat(np.arange(len(texts)), n)
+        at = np.arange(len(text)) + (np.cumsum(sizes) - sizes - (ends - n))[text]
         # Another start for each length keeps a short text apart from an n-gram.
-        out = np.full(len(hashes) - size + 1, np.uint64(size))
-        for i in range(size):
-            out = mixed(out + hashes[i : len(hashes) - size + 1 + i])
-        return np.unique(out)
+        own = size[text]
+        out = own.astype(np.uint64)
+        for i in range(self.ngram):
+            longer = own > i
+            out[longer] = mixed(out[longer] + hashes[at[longer] + i])
+        for begin, end in zip((ends - n).tolist(), ends.tolist(), strict=True):
+            out[begin:end].sort()
+        new = np.ones(len(out), bool)
+        new[1:] = (out[1:] != out[:-1]) | (text[1:] != text[:-1])
+        return out[new], np.append(0, np.cumsum(np.bincount(text[new], minlength=len(texts))))
 
 
 def key_of(shingles: np.ndarray) -> bytes:
@@ -70,6 +89,24 @@ def slot_of(shingles: np.ndarray, slots: int) -> np.ndarray:
     return ((shingles >> np.uint64(20)) % np.uint64(slots)).astype(np.int64)
 
 
+def keys_of(shingles: np.ndarray, bounds: np.ndarray) -> list[bytes | None]:
+    """A key for each set; null for empty ones."""
+    at = bounds.tolist()
+    return [key_of(shingles[a:b]) if b > a else None for a, b in zip(at, at[1:])]
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of ROWS_A_BATCH rows at most for what is written inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(ROWS_A_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 _SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("slots", pa.binary())])
 
 
@@ -80,17 +117,12 @@ def document_sets(docs: DataFrame, ngram: int, slots: int) -> DataFrame:
         own, counts, seen = Shingles(ngram), np.zeros(slots, np.int32), False
         for batch, texts in in_steps(batches, chars=SMALL_STEP):
             seen = True
-            sizes, keys, all_slots = [], [], []
-            for text in texts:
-                shingles = own.of(text)
-                sizes.append(len(shingles))
-                keys.append(key_of(shingles) if len(shingles) else None)
-                all_slots.append(slot_of(shingles, slots))
-            counts += np.bincount(np.concatenate(all_slots), minlength=slots).astype(np.int32)
+            shingles, bounds = own.of_all(texts)
+            np.add.at(counts, slot_of(shingles, slots), 1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                    pa.nulls(len(texts), _SETS.field("slots").type),
+                    batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(bounds), pa.int64()),
+                    pa.array(keys_of(shingles, bounds), pa.binary()), pa.nulls(len(texts), _SETS.field("slots").type),
                 ],
                 schema=_SETS,
             )
@@ -136,10 +168,12 @@ _PREFIXES = pa.schema([
 ])
 
 
-def signature_of(shingles: np.ndarray) -> np.ndarray:
-    """Which slots hold an odd number of n-grams."""
+def signatures_of(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each set, which slots hold an odd number of its n-grams."""
+    texts = len(bounds) - 1
     slots = ((shingles >> np.uint64(8)) % np.uint64(SIGNATURE_BITS)).astype(np.int64)
-    return np.packbits(np.bincount(slots, minlength=SIGNATURE_BITS) & 1).view(np.int64)
+    slots += np.repeat(np.arange(texts), np.diff(bounds)) * SIGNATURE_BITS
+    return np.packbits(np.bincount(slots, minlength=texts * SIGNATURE_BITS) & 1).view(np.int64).reshape(texts, -1)
 
 
 def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent: int) -> DataFrame:
@@ -149,21 +183,19 @@ def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(ngram)
         for _, texts in in_steps(batches, chars=SMALL_STEP):
-            keys, sizes, groups, prefixes, signatures = [], [], [], [], []
-            for text in texts:
-                shingles = own.of(text)
-                if not len(shingles):
-                    continue
-                order = np.lexsort((shingles, shared.value[slot_of(shingles, len(shared.value))]))
-                prefix = shingles[order[: prefix_length(len(shingles), percent)]]
-                keys.append(key_of(shingles))
-                sizes.append(len(shingles))
-                groups.append(xxh3_64_intdigest(prefix.tobytes(), len(shingles)) - (1 << 63))
+            shingles, bounds = own.of_all(texts)
+            common = shared.value[slot_of(shingles, len(shared.value))]
+            groups, prefixes, filled = [], [], np.flatnonzero(np.diff(bounds))
+            for a, b in zip(bounds[filled].tolist(), bounds[filled + 1].tolist(), strict=True):
+                # Rare ones first, and by hash among equally frequent ones.
+                order = np.argsort(common[a:b], kind="stable")
+                prefix = shingles[a + order[: prefix_length(b - a, percent)]]
+                groups.append(xxh3_64_intdigest(prefix.tobytes(), b - a) - (1 << 63))
                 prefixes.append(prefix.view(np.int64))
-                signatures.append(signature_of(shingles))
             yield pa.RecordBatch.from_arrays([
-                pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(groups, pa.int64()),
-                pa.array(prefixes, pa.list_(pa.int64())), pa.array(signatures, pa.list_(pa.int64())),
+                pa.array([k for k in keys_of(shingles, bounds) if k is not None], pa.binary()), pa.array(np.diff(bounds)[filled], pa.int64()),
+                pa.array(groups, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())),
+                pa.array(list(signatures_of(shingles, bounds)[filled]), pa.list_(pa.int64())),
             ], schema=_PREFIXES)
 
     return docs.mapInArrow(run, "key binary, n long, group long, prefix array<long>, signature array<long>")
@@ -178,64 +210,105 @@ def _signatures_agree(percent: int) -> Column:
     return differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
 
 
-def _may_link(percent: int) -> Column:
-    """Sizes, the places of the shared n-gram (from 0), and the signatures of groups of one leave room for the overlap
-    that a link needs."""
+def _places_allow(percent: int) -> Column:
+    """Sizes, and the places of the shared n-gram (from 0), leave room for the overlap that a link needs."""
     n, m, i, j = (F.col(c) for c in ("n", "m", "pos", "pos_b"))
     sizes = (n * 100 >= m * percent) & (m * 100 >= n * percent)
     most = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
+    return sizes & (most * (100 + percent) >= (n + m) * percent)
+
+
+def _may_link(percent: int) -> Column:
+    """The places, and the signatures of groups of one, allow a link."""
     alike = F.col("signature").isNull() | F.col("signature_b").isNull() | _signatures_agree(percent)
-    return sizes & (most * (100 + percent) >= (n + m) * percent) & alike
+    return _places_allow(percent) & alike
 
 
-def _other(units: DataFrame) -> DataFrame:
-    return units.select("token", *(F.col(c).alias(d) for c, d in (("group", "group_b"), ("n", "m"), ("pos", "pos_b"), ("comp", "comp_b"), ("signature", "signature_b"))))
+def _renamed(df: DataFrame, **names: str) -> DataFrame:
+    return df.select(*(F.col(c).alias(names.get(c, c)) for c in df.columns))
 
 
-def _with_components(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with ``comp``: their component so far, or their own key."""
-    if labels is None:
-        return members.withColumn("comp", F.col("key"))
     known = labels.select(F.col("node").alias("key"), "component")
     return members.join(known, "key", "left").select(*members.columns, F.coalesce("component", "key").alias("comp"))
 
 
+def _shared_tokens(groups: DataFrame) -> DataFrame:
+    """token, group, n, pos of n-grams in the prefixes of several groups, and hub: group, n, pos of the least of them."""
+    tokens = groups.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
+    hub = F.min(F.struct("group", "n", "pos")).alias("hub")
+    heads = tokens.groupBy("token").agg(F.count("*").alias("groups"), hub).where("groups > 1").drop("groups")
+    return tokens.join(heads, "token").select("token", "group", "n", "pos", "hub")
+
+
 def _hub_pairs(members: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """Key pairs: each member with one member of the least group of every prefix n-gram, and of its own group."""
     leader = F.min(F.struct("key", "n", "signature")).alias("hub_member")
     leaders = members.groupBy("group").agg(leader).select(
         F.col("group").alias("hub"), F.col("hub_member.key").alias("a"), F.col("hub_member.n").alias("m"), F.col("hub_member.signature").alias("signature_b")
     )
-    hubs = tokens.groupBy("token").agg(F.min(F.struct("group", "n", "pos", "signature")).alias("hub"))
-    near = tokens.join(hubs, "token").select(
-        "group", F.col("hub.group").alias("hub"), "n", F.col("hub.n").alias("m"), "pos", F.col("hub.pos").alias("pos_b"),
-        "signature", F.col("hub.signature").alias("signature_b"),
-    )
-    near = near.where((F.col("group") != F.col("hub")) & _may_link(percent)).select("group", "hub")
+    near = tokens.select("group", F.col("hub.group").alias("hub"), "n", F.col("hub.n").alias("m"), "pos", F.col("hub.pos").alias("pos_b"))
+    near = near.where((F.col("group") != F.col("hub")) & _places_allow(percent)).select("group", "hub")
     own = members.select("group", F.col("group").alias("hub"))
     pairs = near.unionByName(own).distinct().join(leaders, "hub").join(members, "group").where(_signatures_agree(percent))
     return pairs.select("a", F.col("key").alias("b")).where("a != b")
 
 
-def _open_pairs(members: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+def _live(placed: DataFrame) -> DataFrame:
+    """Of token, group, n, pos, comp, size: the rows of n-grams with several components, and ``top``, the largest one."""
+    sizes = placed.groupBy("token", "comp").agg(F.sum("size").alias("size"))
+    largest = sizes.groupBy("token").agg(F.max(F.struct("size", "comp")).alias("top"), F.count("*").alias("comps"))
+    largest = largest.where("comps > 1").select("token", F.col("top.comp").alias("top"))
+    return written(placed.join(largest, "token").select("token", "group", "n", "pos", "comp", "size", "top"), "open-units")
+
+
+def _first_live(members: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``members`` have ``comp``. Groups of several components are n-grams of their own here."""
+    units = members.groupBy("group", "comp").agg(F.count("*").alias("size"))
+    own = members.select("group", "n").distinct().select(F.col("group").alias("token"), "group", "n", F.lit(0).alias("pos"))
+    return _live(tokens.select("token", "group", "n", "pos").unionByName(own).join(units, "group"))
+
+
+def _next_live(live: DataFrame, labels: DataFrame) -> DataFrame:
+    """The same after more links: a component's name is one of its keys, so it tells the new one."""
+    known = labels.select(F.col("node").alias("comp"), "component")
+    moved = live.join(known, "comp", "left").withColumn("comp", F.coalesce("component", "comp"))
+    return _live(moved.groupBy("token", "group", "n", "pos", "comp").agg(F.sum("size").alias("size")))
+
+
+def _round_pairs(live: DataFrame, members: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Key pairs of different components: each open member with new hubs of its n-grams, one in the largest component
+    and one outside. So there are at most two rows for each row of ``live``."""
+    place = F.xxhash64("group", F.pmod("token", F.lit(HUB_ORDERS)), F.lit(turn)).alias("place")
+    hub = F.min(F.struct(place, "group", "comp", "n", "pos")).alias("hub")
+    hubs = live.groupBy("token", (F.col("comp") == F.col("top")).alias("in_top")).agg(hub).select(
+        "token", F.col("hub.group").alias("group_b"), F.col("hub.comp").alias("comp_b"), F.col("hub.n").alias("m"), F.col("hub.pos").alias("pos_b")
+    )
+    near = live.join(hubs, "token").where((F.col("comp") != F.col("comp_b")) & _places_allow(percent))
+    near = near.select("group", "comp", "group_b", "comp_b").distinct()
+    leader = F.min(F.struct("key", "n", "signature")).alias("one")
+    leaders = members.groupBy("group", "comp").agg(leader).select(
+        F.col("group").alias("group_b"), F.col("comp").alias("comp_b"), F.col("one.key").alias("b"), F.col("one.n").alias("m"), F.col("one.signature").alias("signature_b")
+    )
+    pairs = near.join(leaders, ["group_b", "comp_b"]).join(_renamed(members, key="a"), ["group", "comp"]).where(_signatures_agree(percent))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _open_pairs(live: DataFrame, members: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Key pairs of different components that share a prefix n-gram or a group, and pass the filters.
 
     For each n-gram the largest component isn't paired with itself: its rows meet only those of others.
     """
-    units = members.groupBy("group", "comp").agg(F.count("*").alias("size"))
-    own = members.select("group", "n").distinct().select(F.col("group").alias("token"), "group", "n", F.lit(0).alias("pos"), F.lit(None).cast("array<long>").alias("signature"))
-    placed = tokens.unionByName(own).join(units, "group")
-    sizes = placed.groupBy("token", "comp").agg(F.sum("size").alias("size"))
-    largest = sizes.groupBy("token").agg(F.max(F.struct("size", "comp")).alias("top"), F.count("*").alias("comps"))
-    largest = largest.where("comps > 1").select("token", F.col("top.comp").alias("top"))
-    live = written(placed.join(largest, "token").select("token", "group", "n", "pos", "signature", "comp", "top"), "open-units")
-    small = live.where("comp != top").drop("top")
-    pairs = small.join(_other(live), "token").where((F.col("comp") != F.col("comp_b")) & _may_link(percent))
+    # A row that stands for a whole group meets rows of the same group, whose members differ: no signature.
+    alone = groups.select(F.col("group"), F.col("signature").alias("of_group"))
+    signed = live.join(alone, "group").withColumn("signature", F.when(F.col("token") != F.col("group"), F.col("of_group"))).drop("of_group", "size")
+    small = signed.where("comp != top").drop("top")
+    other = _renamed(signed.drop("top"), group="group_b", n="m", pos="pos_b", comp="comp_b", signature="signature_b")
+    pairs = small.join(other, "token").where((F.col("comp") != F.col("comp_b")) & _may_link(percent))
     pairs = pairs.select("group", "comp", "group_b", "comp_b").distinct()
     one = members.select("group", "comp", F.col("key").alias("a"), "n", "signature")
-    two = members.select(
-        F.col("group").alias("group_b"), F.col("comp").alias("comp_b"), F.col("key").alias("b"), F.col("n").alias("m"), F.col("signature").alias("signature_b")
-    )
+    two = _renamed(members, group="group_b", comp="comp_b", key="b", n="m", signature="signature_b")
     expanded = pairs.join(one, ["group", "comp"]).join(two, ["group_b", "comp_b"]).where(_signatures_agree(percent))
     return expanded.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
@@ -249,7 +322,7 @@ def _texts_of(docs: DataFrame, pairs: DataFrame, classes: DataFrame, ngram: int)
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(ngram)
         for _, texts in in_steps(batches, chars=SMALL_STEP):
-            keys = pa.array([key_of(own.of(t)) for t in texts], pa.binary())
+            keys = pa.array(keys_of(*own.of_all(texts)), pa.binary())
             yield pa.RecordBatch.from_arrays([keys, pa.array(texts, pa.string())], names=["key", "text"])
 
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
@@ -270,13 +343,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ngram: int,
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingles(ngram)
         last, one = None, None
-        for batch in batches:
+        for batch, texts in in_steps(batches, "text_b", SMALL_STEP):
             kept = []
-            columns = (batch.column(c).to_pylist() for c in ("a", "text_a", "text_b"))
-            for a, text_a, text_b in zip(*columns, strict=True):
+            shingles, bounds = own.of_all(texts)
+            for i, a in enumerate(batch.column("a").to_pylist()):
                 if a != last:
-                    last, one = a, own.of(text_a)
-                two = own.of(text_b)
+                    last, one = a, own.of_all([batch.column("text_a")[i].as_py()])[0]
+                two = shingles[bounds[i] : bounds[i + 1]]
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 kept.append(100 * both >= percent * (len(one) + len(two) - both))
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
@@ -287,6 +360,34 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, ngram: int,
     return found.mapInArrow(run, "a binary, b binary").distinct()
 
 
+def _links_of_all(
+    docs: DataFrame, classes: DataFrame, members: DataFrame, groups: DataFrame, tokens: DataFrame, ngram: int, percent: int
+) -> DataFrame:
+    """node, component of every set that has a link. Links are found in rounds, each of them linear, until few are left."""
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return written(_verified(pairs, docs, classes, ngram, percent), "links")
+
+    links = verified(_hub_pairs(members, tokens, percent))
+    labels = components(links)
+    live, turn = _first_live(_with_components(members, labels), tokens), 0
+    while n_open := live.where("comp != top").select("group", "comp").distinct().count():
+        turn += 1
+        found = verified(_round_pairs(live, _with_components(members, labels), percent, turn))
+        n_found = found.count()
+        if n_found:
+            links = links.unionByName(found)
+            labels = components(links)
+            live = _next_live(live, labels)
+        if n_found * OPEN_A_LINK < n_open:
+            break
+    if n_open:
+        more = verified(_open_pairs(live, _with_components(members, labels), groups, percent))
+        if more.limit(1).count():
+            labels = components(links.unionByName(more))
+    return labels
+
+
 def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCENT, slots: int = SLOTS) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, component of every row of ``docs``.
 
@@ -297,26 +398,20 @@ def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
     text, tells them apart, and component (null without words) tells apart components. An empty table gives no rows.
     """
     given = docs.select(F.col("doc_id").cast("long"), "text")
-    made = written(document_sets(given, ngram, slots), "sets")
-    sets = made.where("n >= 0").select("doc_id", "text_key", "n", "key")
-    classes = written(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "classes")
-    prefixes = written(document_prefixes(given, slot_counts(made, slots), ngram, percent), "prefixes")
-    members = prefixes.select("key", "n", "group", "signature").distinct()
-    groups = prefixes.groupBy("group").agg(F.min("n").alias("n"), F.min("prefix").alias("prefix"), F.countDistinct("key").alias("members"), F.min("signature").alias("signature"))
-    groups = written(groups.withColumn("signature", F.when(F.col("members") == 1, F.col("signature"))), "groups")
-    tokens = groups.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
-    # An n-gram of one group alone makes no pair.
-    tokens = tokens.join(shared, "token").join(groups.select("group", "signature"), "group")
-    tokens = written(tokens, "tokens")
-    active = tokens.select("group").unionByName(groups.where("members > 1").select("group")).distinct()
-    members = written(members.join(active, "group"), "members")
-    links = written(_verified(_hub_pairs(members, tokens, percent), given, classes, ngram, percent), "hub-links")
-    labels = components(links)
-    candidates = _open_pairs(_with_components(members, labels), tokens, percent)
-    more = written(_verified(candidates, given, classes, ngram, percent), "open-links")
-    if more.limit(1).count():
-        labels = components(links.unionByName(more))
+    with _small_batches(docs.sparkSession):
+        made = written(document_sets(given, ngram, slots), "sets")
+        sets = made.where("n >= 0").select("doc_id", "text_key", "n", "key")
+        classes = written(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "classes")
+        prefixes = written(document_prefixes(given, slot_counts(made, slots), ngram, percent), "prefixes")
+        members = prefixes.select("key", "n", "group", "signature").distinct()
+        groups = prefixes.groupBy("group").agg(
+            *(F.min(c).alias(c) for c in ("n", "prefix", "signature")), (F.min("key") != F.max("key")).alias("several")
+        )
+        groups = written(groups.withColumn("signature", F.when(~F.col("several"), F.col("signature"))), "groups")
+        tokens = written(_shared_tokens(groups), "tokens")
+        active = tokens.select("group").unionByName(groups.where("several").select("group")).distinct()
+        members = written(members.join(active, "group"), "members")
+        labels = _links_of_all(given, classes, members, groups, tokens, ngram, percent)
     least = labels.join(classes.select(F.col("key").alias("node"), "first"), "node").groupBy("component").agg(F.min("first").alias("least"))
     of_class = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").join(least, "component", "left")
     of_class = of_class.select(F.col("key").alias("class"), F.coalesce("least", "first").alias("least"), F.coalesce("component", "key").alias("component"))
