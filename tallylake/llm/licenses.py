@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.llm.common import HashMemo, in_steps, mixed, table
+from tallylake.llm.license_texts import TEMPLATES, license_of
 from tallylake.llm.registry import query
 
 #: Words of a hash and hashes of a window: any GRAM + WINDOW - 1 words in a row that a text shares with a template are seen.
@@ -23,51 +24,10 @@ BAND = 8
 MIN_COVERAGE, MIN_DENSITY = 0.8, 0.6
 #: Share of a template's fingerprints that a place has to show before it's aligned.
 MIN_VOTES = 0.2
-
-# The wording of license notices.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "Apache-2.0-header": (
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
-        "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law "
-        "or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
-        "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
-        "limitations under the License."
-    ),
-    "MIT": "Released under the MIT License",
-    "MIT-text": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
-        "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
-        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
-        "is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be "
-        "included in all copies or substantial portions of the Software."
-    ),
-    "ISC-text": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
-        "provided that the above copyright notice and this permission notice appear in all copies."
-    ),
-    "BSD-text": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
-        "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
-        "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
-        "the following disclaimer in the documentation and/or other materials provided with the distribution."
-    ),
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
-    "GPL-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
-        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
-    ),
-    "MPL-2.0": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
-        "with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
-    ),
-    "CC-BY-4.0": "Licensed under CC BY 4.0",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
-    "Unlicense": "This is free and unencumbered software released into the public domain",
-    "all-rights-reserved": "All rights reserved",
-}
+#: Templates of up to so many words have to be there word for word.
+SHORT_WORDS = 8
+#: Templates of other licenses that have this share of a template's different words are near it.
+NEAR = 0.5
 
 #: Words that make a license another one: a match has those of its template and no others. So have versions in a template's name.
 QUALIFIERS = frozenset([b"nd", b"nc", b"sa", b"noncommercial", b"noderivatives", b"sharealike", b"lesser", b"library", b"affero"])
@@ -135,6 +95,12 @@ def align(template: np.ndarray, text: np.ndarray, start: int) -> tuple[int, int,
     return total, first, last + 1
 
 
+def _ends_with(name: str, tail: bytes) -> bool:
+    """Whether an identifier ends where its match does: one that goes on is another one, a full stop may end a sentence."""
+    joined = tail[:1] == b"+" or (tail[:1] in (b"-", b".") and tail[1:].isalnum())
+    return not (name.endswith("-SPDX") and joined)
+
+
 class Index:
     """Templates by fingerprint. Its size follows the written list of templates alone."""
 
@@ -154,11 +120,31 @@ class Index:
             name: set(self.memo.of([w for w in words_of(name.encode().lower()) if w.isdigit()]).tolist()) & set(own.tolist())
             for name, own in self.words.items()
         }
+        self.different = {name: set(own.tolist()) for name, own in self.words.items()}
+        self.identifying = {name: self._identifying(name) for name in self.words}
+
+    def _identifying(self, name: str) -> set[int]:
+        """Words of a template that no near template of another license has."""
+        own = self.different[name]
+        near = [w for n, w in self.different.items() if license_of(n) != license_of(name) and len(w & own) >= NEAR * len(own)]
+        return own.difference(*near)
 
     def _is_own(self, name: str, span: np.ndarray) -> bool:
         """Whether words between a match's ends name this license and no relative of it."""
-        words = set(span.tolist())
-        return words & self.qualifiers == set(self.words[name].tolist()) & self.qualifiers and self.versions[name] <= words
+        words, identifying = set(span.tolist()), self.identifying[name]
+        if words & self.qualifiers != self.different[name] & self.qualifiers or not self.versions[name] <= words:
+            return False
+        return len(words & identifying) >= MIN_COVERAGE * len(identifying)
+
+    def _confirmed(self, name: str, hashes: np.ndarray, start: int) -> tuple | None:
+        """Order of choice, name and place of a template's match near ``start``, if there is one."""
+        own = self.words[name]
+        matched, first, last = align(own, hashes, start)
+        if len(own) <= SHORT_WORDS:
+            fits = matched == len(own) == last - first
+        else:
+            fits = matched >= MIN_COVERAGE * len(own) and matched >= MIN_DENSITY * (last - first)
+        return (-matched, -matched / len(own), name, first, last) if fits and self._is_own(name, hashes[first:last]) else None
 
     def _starts(self, hashes: np.ndarray) -> dict[str, list[int]]:
         """For each template the places in the text where it may start; near ones are joined."""
@@ -187,20 +173,16 @@ class Index:
         """The matches of a text; where several templates overlap, the one with most words, then the best covered one."""
         low = text.encode("utf-8", "surrogatepass").lower()
         hashes = self.memo.of(words_of(low))
-        found = []
-        for name, starts in self._starts(hashes).items():
-            own = self.words[name]
-            for start in starts:
-                matched, first, last = align(own, hashes, start)
-                if matched >= MIN_COVERAGE * len(own) and matched >= MIN_DENSITY * (last - first) and self._is_own(name, hashes[first:last]):
-                    found.append((-matched, -matched / len(own), name, first, last))
+        found = [self._confirmed(name, hashes, start) for name, starts in self._starts(hashes).items() for start in starts]
+        found = [row for row in found if row]
+        if not found:
+            return []
+        spans = [m.span() for m in _WORD.finditer(low)]
+        found = [row for row in found if _ends_with(row[2], low[spans[row[4] - 1][1] :][:2])]
         chosen: list[tuple] = []
         for row in sorted(found):
             if all(row[3] >= other[4] or row[4] <= other[3] for other in chosen):
                 chosen.append(row)
-        if not chosen:
-            return []
-        spans = [m.span() for m in _WORD.finditer(low)]
         chars = lambda n: len(low[:n].decode("utf-8", "surrogatepass"))
         return [
             Match(name, chars(spans[first][0]), chars(spans[last - 1][1]), -matched, -coverage)
