@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tallylake.llm.common import SMALL_STEP, HashMemo, in_steps, mixed, space_words, table, written
+from tallylake.llm.common import SMALL_STEP, in_steps, mixed, space_words, table, written
 from tallylake.llm.components import components
 from tallylake.llm.registry import query
 
@@ -37,8 +37,8 @@ PERCENT = 90
 SLOTS = 1 << 22
 #: Slots that are summed together, and sums that tasks are first dealt to.
 CHUNK_SLOTS, FIRST_SUMS = 1 << 16, 32
-#: Bits of a set's parity signature, 64 to a number.
-SIGNATURE_BITS = 512
+#: Bits of a set's parity signature, 64 to a number: half as many as n-grams, within these bounds, a power of two.
+LEAST_BITS, MOST_BITS = 512, 4096
 #: Texts of up to so many asked ids are found by a broadcast of the ids, which are counted first; more by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: n-grams choose their hubs by so many different orders of groups, so that a set meets several hubs in a round.
@@ -56,13 +56,14 @@ class Shingles:
     """Sorted distinct 64-bit hashes of the n-grams of texts."""
 
     def __init__(self, ngram: int):
-        self.ngram, self.memo = ngram, HashMemo()
+        self.ngram = ngram
 
     def of_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The sets of all texts, one after the other, and the bounds of each one's own."""
         words = [space_words(t) for t in texts]
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        hashes = self.memo.of(list(chain.from_iterable(words)))
+        # Hashing a word again takes no longer than a memo's look-up.
+        hashes = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
         size = np.minimum(self.ngram, sizes)
         n = np.where(sizes > 0, sizes - size + 1, 0)
         ends = np.cumsum(n)
@@ -118,7 +119,7 @@ def document_sets(docs: DataFrame, ngram: int, slots: int) -> DataFrame:
         for batch, texts in in_steps(batches, chars=SMALL_STEP):
             seen = True
             shingles, bounds = own.of_all(texts)
-            np.add.at(counts, slot_of(shingles, slots), 1)
+            np.add.at(counts, slot_of(shingles, slots), np.int32(1))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(bounds), pa.int64()),
@@ -168,12 +169,23 @@ _PREFIXES = pa.schema([
 ])
 
 
-def signatures_of(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """For each set, which slots hold an odd number of its n-grams."""
-    texts = len(bounds) - 1
-    slots = ((shingles >> np.uint64(8)) % np.uint64(SIGNATURE_BITS)).astype(np.int64)
-    slots += np.repeat(np.arange(texts), np.diff(bounds)) * SIGNATURE_BITS
-    return np.packbits(np.bincount(slots, minlength=texts * SIGNATURE_BITS) & 1).view(np.int64).reshape(texts, -1)
+def signatures_of(shingles: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """For each set, which slots hold an odd number of its n-grams. Halves of a signature, laid over each other, give the
+    one with half as many slots."""
+    sizes = np.diff(bounds)
+    bits = np.clip(1 << np.ceil(np.log2(np.maximum(sizes / 2, 1))).astype(np.int64), LEAST_BITS, MOST_BITS)
+    slots = ((shingles >> np.uint64(8)) % np.uint64(MOST_BITS)).astype(np.int64)
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(sizes)
+    for level in np.unique(bits).tolist():
+        texts = np.flatnonzero(bits == level)
+        place = np.full(len(sizes), -1)
+        place[texts] = np.arange(len(texts))
+        row = np.repeat(place, sizes)
+        own = row[row >= 0] * level + slots[row >= 0] % level
+        odd = np.packbits(np.bincount(own, minlength=len(texts) * level) & 1).view(np.int64).reshape(len(texts), -1)
+        for i, signature in zip(texts.tolist(), odd, strict=True):
+            out[i] = signature
+    return out
 
 
 def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent: int) -> DataFrame:
@@ -184,6 +196,7 @@ def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent:
         own = Shingles(ngram)
         for _, texts in in_steps(batches, chars=SMALL_STEP):
             shingles, bounds = own.of_all(texts)
+            signatures = signatures_of(shingles, bounds)
             common = shared.value[slot_of(shingles, len(shared.value))]
             groups, prefixes, filled = [], [], np.flatnonzero(np.diff(bounds))
             for a, b in zip(bounds[filled].tolist(), bounds[filled + 1].tolist(), strict=True):
@@ -195,7 +208,7 @@ def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent:
             yield pa.RecordBatch.from_arrays([
                 pa.array([k for k in keys_of(shingles, bounds) if k is not None], pa.binary()), pa.array(np.diff(bounds)[filled], pa.int64()),
                 pa.array(groups, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())),
-                pa.array(list(signatures_of(shingles, bounds)[filled]), pa.list_(pa.int64())),
+                pa.array([signatures[i] for i in filled.tolist()], pa.list_(pa.int64())),
             ], schema=_PREFIXES)
 
     return docs.mapInArrow(run, "key binary, n long, group long, prefix array<long>, signature array<long>")
@@ -206,7 +219,18 @@ def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent:
 
 def _signatures_agree(percent: int) -> Column:
     """Sets that link differ by at most (n + m)(100 - percent) / (100 + percent) n-grams."""
-    differ = sum((F.bit_count(F.get("signature", F.lit(i)).bitwiseXOR(F.get("signature_b", F.lit(i)))) for i in range(SIGNATURE_BITS // 64)), F.lit(0))
+    a, b = F.col("signature"), F.col("signature_b")
+    short, long = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
+
+    def folded(one: Column) -> Column:
+        halves = F.zip_with(F.slice(one, 1, short), F.slice(one, short + 1, short), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(one) > short, halves).otherwise(one)
+
+    least = LEAST_BITS // 64
+    few = sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(least)), F.lit(0))
+    many = F.aggregate(F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    # Signatures two steps apart aren't compared.
+    differ = F.when(long == least, few).when(long <= 2 * short, many).otherwise(0)
     return differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
 
 

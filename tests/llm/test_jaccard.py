@@ -85,3 +85,54 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 500: 500}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_long_sets_have_long_signatures(spark):
+    """Texts of up to 9,000 words in pairs on both sides of the bound, with signatures of one length and of two."""
+    random.seed(3)
+    docs = []
+    for n in (1000, 1100, 2040, 2100, 4000, 4200, 9000):
+        words = [f"w{random.randrange(10**9)}" for _ in range(n)]
+        for edits in (n // 80, n // 45, n // 20):
+            edited = list(words)
+            for at in random.sample(range(n), edits):
+                edited[at] = "x"
+            docs.append((len(docs), " ".join(edited + words[: n // 50])))
+        docs.append((len(docs), " ".join(words)))
+    expected = brute(docs)
+    assert found(spark, docs) == expected and 7 < len({c for _, _, c in expected}) < len(docs)
+
+
+def test_work_on_families_grows_in_proportion(spark):
+    """Five times the families give about five times the pairs that are verified."""
+    from tallylake.llm import jaccard
+
+    random.seed(4)
+    made = []
+
+    def families(count):
+        docs = []
+        for f in range(count):
+            words = [f"f{f}w{i}" for i in range(120)]
+            for _ in range(15):
+                edited = list(words)
+                for at in random.sample(range(120), random.choice([0, 1, 1, 2])):
+                    edited[at] = f"e{random.randrange(10**6)}"
+                docs.append((len(docs), " ".join(edited)))
+        return docs
+
+    original = jaccard._verified
+
+    def counted(pairs, *rest):
+        made[-1] += pairs.distinct().count()
+        return original(pairs, *rest)
+
+    jaccard._verified = counted
+    try:
+        for count in (4, 20):
+            docs = families(count)
+            made.append(0)
+            assert found(spark, docs) == brute(docs)
+    finally:
+        jaccard._verified = original
+    assert made[1] <= 6 * made[0]
