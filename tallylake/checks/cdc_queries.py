@@ -13,7 +13,7 @@ from tallylake.functions.keys import canonical_uuid, canonical_uuid_bytes
 from tallylake.operators import envelope as e
 from tallylake.operators.latest import accepted_versions, at_or_below, latest_by_lsn
 from tallylake.operators.reconcile import batch_state_failures, failure_sample
-from tallylake.session import new_run_folder
+from tallylake.session import COMPACT, new_run_folder, released_shuffles
 from tallylake.sources import bronze
 from tallylake.sources.tables import SilverTable
 from tallylake.streaming.cdc import apply_cdc_stream
@@ -210,28 +210,44 @@ def _accepted(spark, sf_dir):
     return accepted_versions(batch, stored, "user_id").select("user_id", LSN, "accepted")
 
 
-def _thirds(spark, sf_dir: str) -> list[DataFrame]:
-    rows = typed(spark, sf_dir)
+def _kept(spark, df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written: an upsert reads its batch several times."""
+    path = new_run_folder(spark, name)
+    df.write.options(**COMPACT).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _typed_once(spark, sf_dir: str) -> DataFrame:
+    return _kept(spark, typed(spark, sf_dir), "typed")
+
+
+def _thirds(spark, rows: DataFrame) -> list[DataFrame]:
     third = F.pmod(F.xxhash64(LSN), F.lit(3))
-    return [latest_by_lsn(rows.where(third == n), EVENTS.primary_key) for n in range(3)]
+    parts = [latest_by_lsn(rows.where(third == n), EVENTS.primary_key) for n in range(3)]
+    return [_kept(spark, part, "third") for part in parts]
 
 
 @query("upsert_latest_state", LATEST)
 def _upsert(spark, sf_dir):
     # Any split of the events in any order gives the state of all of them.
-    table, (first, second, third) = silver(spark), _thirds(spark, sf_dir)
-    for part in (second, third, first):
-        table.apply(part)
+    table = silver(spark)
+    with released_shuffles(spark):
+        first, second, third = _thirds(spark, _typed_once(spark, sf_dir))
+        for part in (second, third, first):
+            table.apply(part)
     return shown(table.read())
 
 
 @query("replay_idempotent", f"""
 SELECT {SHOWN}, CAST(0 AS BIGINT) AS applied_again FROM ({LATEST})""")
 def _replay(spark, sf_dir):
-    table, everything = silver(spark), latest_by_lsn(typed(spark, sf_dir), EVENTS.primary_key)
-    table.apply(everything)
-    again = sum(table.apply(part)[0] for part in (everything, *_thirds(spark, sf_dir)))
-    table.compact(force=True)
+    table = silver(spark)
+    with released_shuffles(spark):
+        rows = _typed_once(spark, sf_dir)
+        everything = _kept(spark, latest_by_lsn(rows, EVENTS.primary_key), "latest")
+        table.apply(everything)
+        again = sum(table.apply(part)[0] for part in (everything, *_thirds(spark, rows)))
+        table.compact(force=True)
     return shown(table.read()).withColumn("applied_again", F.lit(again).cast("bigint"))
 
 
