@@ -8,7 +8,7 @@ from tallylake.checks import fixtures as x
 from tallylake.checks.registry import query
 from tallylake.operators import aviation as v
 from tallylake.session import new_run_folder
-from tallylake.sources.bronze import relative_key
+from tallylake.sources.bronze import list_bronze_objects
 from tallylake.sources.snapshots import land_snapshots, scan_snapshots
 from tallylake.streaming.observations import dedup_observation_stream
 
@@ -58,8 +58,8 @@ SELECT 'snap-' || block AS snapshot, CAST(strlen(body) + 1 AS BIGINT) AS stored_
 def _scan(spark, sf_dir):
     folder = x.snapshot_folder(spark, sf_dir)
     # File names are chosen by the writer, so the keys are taken from a listing; some objects have no metadata.
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(folder)
-    keys = listed.select(relative_key(F.col("path"), folder).alias("object_key"))
+    listed = list_bronze_objects(spark, folder).where(F.col("key").endswith(".txt"))
+    keys = listed.select(F.col("key").alias("object_key"))
     number = F.regexp_extract("object_key", r"snapshot_id=snap-(\d+)/", 1).cast("bigint")
     recorded = x.snapshots(spark, sf_dir).where("block % 4 <> 3").select("block", "metadata")
     metadata = keys.withColumn("block", number).join(recorded, "block").select("object_key", "metadata")

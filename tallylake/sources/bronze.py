@@ -44,6 +44,35 @@ def scan_bronze_paths(
     return drop_blank(events.select("value"))
 
 
+#: Up to so many folders, Spark lists one after the other, with a job for each larger one below.
+LISTED_IN_TURN = 32
+
+
+def listing_roots(spark: SparkSession, root: str) -> list[str]:
+    """What below ``root`` holds all its objects and is many enough that Spark lists it in one job, else ``root``.
+
+    Levels of few folders are opened here. A level of many plain files stays with its folder, and so does one with
+    names that Spark skips or would take for patterns.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    top = path(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return [root]
+    folders, files, kept = [top], [], [root]
+    while folders and len(folders) <= LISTED_IN_TURN:
+        inside = [s for folder in folders for s in fs.listStatus(folder)]
+        names = [s.getPath().getName() for s in inside]
+        if any(name[0] in "._" or name.endswith("._COPYING_") or set(name) & set("{}[]*?\\") for name in names):
+            break
+        folders = [s.getPath() for s in inside if s.isDirectory()]
+        files += [s.getPath() for s in inside if not s.isDirectory()]
+        if len(files) > LISTED_IN_TURN:
+            break
+        kept = [p.toString() for p in (*folders, *files)] or kept
+    return kept
+
+
 def list_bronze_objects(spark: SparkSession, root: str, folders: list[str] | None = None) -> DataFrame:
     """Key, size and time of every object below ``root``, or below some folders of it; contents are not read."""
     if folders == []:
@@ -52,7 +81,7 @@ def list_bronze_objects(spark: SparkSession, root: str, folders: list[str] | Non
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(root if folders is None else folders)
+        .load(listing_roots(spark, root) if folders is None else folders)
         .select("path", "length", "modificationTime")
     )
     return listing.withColumn("key", relative_key(F.col("path"), root))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.functions.clock import utc_clock
-from tallylake.sources.bronze import relative_key
+from tallylake.sources.bronze import listing_roots, relative_key
 
 
 def scan_snapshots(
@@ -21,7 +21,7 @@ def scan_snapshots(
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
-        .load(root)
+        .load(listing_roots(spark, root))
         .select(
             relative_key(F.col("path"), root).alias("object_key"),
             F.col("length").alias("stored_size"),
