@@ -84,3 +84,16 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert packed.count() == 0 and report["sequences"] == report["bound"] == 0
     with pytest.raises(PythonException, match="outside 1"):
         pack(spark.createDataFrame([(3000,)], "length long"))
+
+
+def test_the_library_gets_short_texts(monkeypatch):
+    """A word takes it less time in a short text."""
+    from tallylake.llm.common import Encoder
+
+    own, given = Encoder(tokenizer_path()), []
+    whole = own._whole
+    monkeypatch.setattr(own, "_whole", lambda texts: given.extend(texts) or whole(texts))
+    text = " ".join(f"w{i}x" for i in range(5000))
+    ids, sizes = own.encode([text])
+    assert ids.tolist() == own.library.encode(text, add_special_tokens=False).ids and sizes.tolist() == [len(ids)]
+    assert max(len(t.split()) for t in given) <= 200
