@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallylake.llm.common import crc_u32, encoder, in_steps, table, tokenizer_path, written
+from tallylake.llm.common import crc_u32, encoding, in_steps, table, tokenizer_path, written
 from tallylake.llm.registry import query
 
 CAPACITY = 2048
@@ -166,23 +166,23 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = C
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer)
-        for batch, texts in in_steps(batches):
-            ids, sizes = own.encode(texts)
-            ids = np.insert(ids, np.cumsum(sizes), np.array(end_id, own.kind)).astype("<u4")
-            sizes = sizes + 1
-            pieces = -(-sizes // capacity)
-            doc = np.repeat(np.arange(len(sizes)), pieces)
-            piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            first = sizes - (pieces - 1) * capacity
-            start = np.where(piece == 0, 0, first[doc] + (piece - 1) * capacity)
-            length = np.where(piece == 0, first[doc], capacity)
-            begin = (np.cumsum(sizes) - sizes)[doc] + start
-            crc = [crc_u32(ids[a : a + n]) for a, n in zip(begin.tolist(), length.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length),
-                pa.array(crc, pa.int64()),
-            ], schema=_PIECE)
+        with encoding(tokenizer) as own:
+            for batch, texts in in_steps(batches):
+                ids, sizes = own.encode(texts)
+                ids = np.insert(ids, np.cumsum(sizes), np.array(end_id, own.kind)).astype("<u4")
+                sizes = sizes + 1
+                pieces = -(-sizes // capacity)
+                doc = np.repeat(np.arange(len(sizes)), pieces)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                first = sizes - (pieces - 1) * capacity
+                start = np.where(piece == 0, 0, first[doc] + (piece - 1) * capacity)
+                length = np.where(piece == 0, first[doc], capacity)
+                begin = (np.cumsum(sizes) - sizes)[doc] + start
+                crc = [crc_u32(ids[a : a + n]) for a, n in zip(begin.tolist(), length.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length),
+                    pa.array(crc, pa.int64()),
+                ], schema=_PIECE)
 
     given = docs.select(F.col("doc_id").cast("long"), "text")
     return given.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")

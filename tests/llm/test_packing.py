@@ -3,13 +3,14 @@ from collections import defaultdict
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PythonException
 from tokenizers import Tokenizer
 
 from tallylake.llm import packing
 from tallylake.llm.common import tokenizer_path
-from tallylake.llm.packing import best_fit_decreasing, lower_bound, op4_best_fit_packing, pack, packed_documents
+from tallylake.llm.packing import best_fit_decreasing, lower_bound, op4_best_fit_packing, pack, packed_documents, token_pieces
 
 SF = "/root/testdata/sf0.001"
 
@@ -86,6 +87,16 @@ def test_odd_rows(spark, odd_docs, no_docs):
         pack(spark.createDataFrame([(3000,)], "length long"))
 
 
+def test_workers_forget_words_with_their_task(spark):
+    from tallylake.llm.common import encoder
+
+    docs = spark.createDataFrame([(i, f"word{i} and other words{i}") for i in range(50)], "doc_id long, text string").coalesce(1)
+    path = tokenizer_path()
+    assert token_pieces(docs, path, 0).count() == 50
+    kept = docs.select("doc_id").mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [len(encoder(path).memo)]}) for _ in batches), "n long")
+    assert [r.n for r in kept.collect()] == [0]
+
+
 def test_the_library_gets_short_texts(monkeypatch):
     """A word takes it less time in a short text."""
     from tallylake.llm.common import Encoder
