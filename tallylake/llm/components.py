@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallylake.llm.common import written
+from tallylake.llm.common import scratch, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,6 +15,11 @@ def components(links: DataFrame) -> DataFrame:
     a chain is shortened to its logarithm and a star needs two rounds. A hub's links are summed in each
     task before they are shuffled. Links of a node to itself only name the node; null nodes are ignored.
     """
+    with scratch(links.sparkSession) as kept:
+        return kept(_labels(links), "components")
+
+
+def _labels(links: DataFrame) -> DataFrame:
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
     both = both.unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
     both = written(both.where(F.col("node").isNotNull() & F.col("other").isNotNull()).distinct(), "links")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tallylake.llm.common import SMALL_STEP, in_steps, mixed, space_words, table, written
+from tallylake.llm.common import SMALL_STEP, dropped, in_steps, mixed, scratch, space_words, table, written
 from tallylake.llm.components import components
 from tallylake.llm.registry import query
 
@@ -390,7 +390,8 @@ def _links_of_all(
     """node, component of every set that has a link. Links are found in rounds, each of them linear, until few are left."""
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return written(_verified(pairs, docs, classes, ngram, percent), "links")
+        with scratch(docs.sparkSession) as kept:
+            return kept(_verified(pairs, docs, classes, ngram, percent), "links")
 
     links = verified(_hub_pairs(members, tokens, percent))
     labels = components(links)
@@ -401,8 +402,9 @@ def _links_of_all(
         n_found = found.count()
         if n_found:
             links = links.unionByName(found)
-            labels = components(links)
-            live = _next_live(live, labels)
+            labels, last = components(links), live
+            live = _next_live(last, labels)
+            dropped(last)
         if n_found * OPEN_A_LINK < n_open:
             break
     if n_open:
@@ -421,21 +423,23 @@ def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
     row. Rows of one id with different texts are linked like any two rows; text_key, a 64-bit hash of the
     text, tells them apart, and component (null without words) tells apart components. An empty table gives no rows.
     """
-    given = docs.select(F.col("doc_id").cast("long"), "text")
-    with _small_batches(docs.sparkSession):
-        made = written(document_sets(given, ngram, slots), "sets")
-        sets = made.where("n >= 0").select("doc_id", "text_key", "n", "key")
-        classes = written(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "classes")
-        prefixes = written(document_prefixes(given, slot_counts(made, slots), ngram, percent), "prefixes")
-        members = prefixes.select("key", "n", "group", "signature").distinct()
-        groups = prefixes.groupBy("group").agg(
-            *(F.min(c).alias(c) for c in ("n", "prefix", "signature")), (F.min("key") != F.max("key")).alias("several")
-        )
-        groups = written(groups.withColumn("signature", F.when(~F.col("several"), F.col("signature"))), "groups")
-        tokens = written(_shared_tokens(groups), "tokens")
-        active = tokens.select("group").unionByName(groups.where("several").select("group")).distinct()
-        members = written(members.join(active, "group"), "members")
-        labels = _links_of_all(given, classes, members, groups, tokens, ngram, percent)
+    spark, given = docs.sparkSession, docs.select(F.col("doc_id").cast("long"), "text")
+    with _small_batches(spark), scratch(spark) as kept:
+        with scratch(spark) as used:
+            made = written(document_sets(given, ngram, slots), "sets-and-counts")
+            sets = kept(made.where("n >= 0").select("doc_id", "text_key", "n", "key"), "sets")
+            classes = kept(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "classes")
+            prefixes = written(document_prefixes(given, slot_counts(made, slots), ngram, percent), "prefixes")
+            members = prefixes.select("key", "n", "group", "signature").distinct()
+            groups = prefixes.groupBy("group").agg(
+                *(F.min(c).alias(c) for c in ("n", "prefix", "signature")), (F.min("key") != F.max("key")).alias("several")
+            )
+            groups = written(groups.withColumn("signature", F.when(~F.col("several"), F.col("signature"))), "groups")
+            tokens = used(_shared_tokens(groups), "tokens")
+            active = tokens.select("group").unionByName(groups.where("several").select("group")).distinct()
+            members = used(members.join(active, "group"), "members")
+            groups = used(groups.select("group", "signature").join(active, "group", "left_semi"), "signatures")
+        labels = kept(_links_of_all(given, classes, members, groups, tokens, ngram, percent), "components")
     least = labels.join(classes.select(F.col("key").alias("node"), "first"), "node").groupBy("component").agg(F.min("first").alias("least"))
     of_class = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").join(least, "component", "left")
     of_class = of_class.select(F.col("key").alias("class"), F.coalesce("least", "first").alias("least"), F.coalesce("component", "key").alias("component"))

@@ -136,3 +136,18 @@ def test_work_on_families_grows_in_proportion(spark):
     finally:
         jaccard._verified = original
     assert made[1] <= 6 * made[0]
+
+
+def test_only_what_is_read_later_stays_on_disk(spark):
+    """Tables of the rounds go with them; the result still reads, and reads again."""
+    from pathlib import Path
+
+    from tallylake.session import workspace
+
+    folder = Path(workspace(spark))
+    before = set(folder.glob("*/*"))
+    docs = [(i, f"a b c d e f g h i j k l m n o p q r s t u v w x y{i // 4 % 3}") for i in range(24)]
+    result = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), percent=60)
+    assert sorted(p.parent.name for p in set(folder.glob("*/*")) - before) == ["classes", "components", "sets"]
+    for _ in range(2):
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in result.collect()) == brute(docs, 60)
