@@ -5,36 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallylake.llm.common import scratch, written
+from tallylake.llm.common import few, scratch, written
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, component: the least node reachable, for every node of ``links`` (columns a, b, of one ordered type).
 
-    Each round takes the least label among a node and its neighbours, then the label of that label, so
-    a chain is shortened to its logarithm and a star needs two rounds. A hub's links are summed in each
-    task before they are shuffled. Links of a node to itself only name the node; null nodes are ignored.
+    In each round every node takes the first node among itself and its neighbours, in an order by hashes, then what that
+    one took. Nodes that took the same one are one node from there on, with the links that still lead to others, so
+    each round joins fewer rows than the one before: a star is one node after two rounds, a chain loses a good part in
+    each. Links of a node to itself only name the node; null nodes are ignored.
     """
     with scratch(links.sparkSession) as kept:
-        return kept(_labels(links), "components")
+        labels = _labels(links)
+        least = written(labels.groupBy("label").agg(F.min("node").alias("component")), "least")
+        return kept(labels.join(few(least, "label", "component"), "label").select("node", "component"), "components")
 
 
-def _labels(links: DataFrame) -> DataFrame:
-    both = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
-    both = both.unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    both = written(both.where(F.col("node").isNotNull() & F.col("other").isNotNull()).distinct(), "links")
-    labels = written(
-        both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("component")), "labels"
+def _both_ways(links: DataFrame) -> DataFrame:
+    return links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
+        links.select(F.col("b").alias("node"), F.col("a").alias("other"))
     )
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """node, label: some node of the same component, one for all of them."""
+    known = links.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    links = written(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    labels = None
     while True:
-        heard = both.join(labels.select(F.col("node").alias("other"), "component"), "other").select("node", "component")
-        lower = heard.unionByName(labels).groupBy("node").agg(F.min("component").alias("component"))
-        lower = written(lower, "labels")
-        of_label = lower.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        jumped = lower.join(of_label, "component").join(labels.select("node", F.col("component").alias("old")), "node")
-        # A label is a node of its own component, so each one has a label.
-        labels = written(jumped.select("node", F.col("next").alias("component"), (F.col("next") != F.col("old")).alias("changed")), "labels")
-        moved = labels.where("changed").limit(1).count()
-        labels = labels.select("node", "component")
-        if not moved:
+        # A hub's links are summed in each task before they are shuffled.
+        first = F.min(F.struct(F.xxhash64("other").alias("place"), "other"))
+        heard = _both_ways(links).groupBy("node").agg(first.alias("first"))
+        own = F.struct(F.xxhash64("node").alias("place"), F.col("node").alias("other"))
+        took = written(heard.select("node", F.least(own, "first").getField("other").alias("took")), "labels")
+        of_took = few(took, "node", "took").select(F.col("node").alias("took"), F.col("took").alias("label"))
+        # What a node took has links itself, so it took something as well.
+        step = written(took.join(of_took, "took").select("node", "label"), "labels")
+        moved = few(step, "node", "label")
+        if labels is None:
+            labels = step
+        else:
+            later = moved.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            labels = written(labels.join(later, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
+        for end in ("a", "b"):
+            links = links.join(moved.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end)
+        links = links.select(F.least("a_label", "b_label").alias("a"), F.greatest("a_label", "b_label").alias("b"))
+        links = written(links.where("a != b").distinct(), "links")
+        if not links.limit(1).count():
             return labels

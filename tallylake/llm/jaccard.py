@@ -17,24 +17,27 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tallylake.llm.common import SMALL_STEP, dropped, in_steps, mixed, scratch, space_words, table, written
+from tallylake.llm.common import SMALL_STEP, dropped, few, in_steps, mixed, scratch, space_words, table, written
 from tallylake.llm.components import components
 from tallylake.llm.registry import query
 
 NGRAM = 3
 #: Two documents link when 100 * intersection >= PERCENT * union.
 PERCENT = 90
-#: n-grams are counted in so many slots to find an order with rare ones first. The order changes no result.
-SLOTS = 1 << 22
+#: n-grams are counted in so many slots, and words in so many, to find an order with rare n-grams first. The order changes no result.
+SLOTS, WORD_SLOTS = 1 << 22, 1 << 22
+#: Ranks go up by so many when a count doubles.
+RANK_STEPS = 8
 #: Slots that are summed together, and sums that tasks are first dealt to.
 CHUNK_SLOTS, FIRST_SUMS = 1 << 16, 32
 #: Bits of a set's parity signature, 64 to a number: half as many as n-grams, within these bounds, a power of two.
@@ -45,6 +48,8 @@ BROADCAST_IDS = 1_000_000
 HUB_ORDERS = 4
 #: Rounds of hubs go on while one makes a link for each so many open groups. This changes no result.
 OPEN_A_LINK = 20
+#: All pairs are compared at once where they are at most so many for each open member.
+PAIRS_A_MEMBER = 8
 #: Rows that a Python worker gets at once; texts of more rows would only wait in its memory.
 ROWS_A_BATCH = 1_000
 
@@ -52,6 +57,14 @@ ROWS_A_BATCH = 1_000
 # --- sets -----------------------------------------------------------------------------------
 
 
+def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and how many each text has."""
+    words = [space_words(t) for t in texts]
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    # Hashing a word again takes no longer than a memo's look-up.
+    return np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, int(sizes.sum())), sizes
+
+
 class Shingles:
     """Sorted distinct 64-bit hashes of the n-grams of texts."""
 
@@ -60,26 +73,36 @@ class Shingles:
 
     def of_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The sets of all texts, one after the other, and the bounds of each one's own."""
-        words = [space_words(t) for t in texts]
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        # Hashing a word again takes no longer than a memo's look-up.
-        hashes = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
+        return self.of_words(*words_of(texts))[:2]
+
+    def of_words(self, hashes: np.ndarray, sizes: np.ndarray, ranks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """The same from ``words_of``, and of the ``ranks`` of each n-gram's words the least and, in the lower 16 bits, the sum."""
         size = np.minimum(self.ngram, sizes)
         n = np.where(sizes > 0, sizes - size + 1, 0)
         ends = np.cumsum(n)
-        text = np.repeat(np.arange(len(texts)), n)
+        text = np.repeat(np.arange(len(sizes)), n)
         at = np.arange(len(text)) + (np.cumsum(sizes) - sizes - (ends - n))[text]
+        least, total = np.full(len(text), 255, np.int32), np.zeros(len(text), np.int32)
         # Another start for each length keeps a short text apart from an n-gram.
         own = size[text]
         out = own.astype(np.uint64)
         for i in range(self.ngram):
             longer = own > i
             out[longer] = mixed(out[longer] + hashes[at[longer] + i])
+            if ranks is not None:
+                rank = ranks[at[longer] + i]
+                least[longer] = np.minimum(least[longer], rank)
+                total[longer] += rank
+        total += least << 16
         for begin, end in zip((ends - n).tolist(), ends.tolist(), strict=True):
-            out[begin:end].sort()
+            if ranks is None:
+                out[begin:end].sort()
+            else:
+                order = out[begin:end].argsort()
+                out[begin:end], total[begin:end] = out[begin:end][order], total[begin:end][order]
         new = np.ones(len(out), bool)
         new[1:] = (out[1:] != out[:-1]) | (text[1:] != text[:-1])
-        return out[new], np.append(0, np.cumsum(np.bincount(text[new], minlength=len(texts))))
+        return out[new], np.append(0, np.cumsum(np.bincount(text[new], minlength=len(sizes)))), None if ranks is None else total[new]
 
 
 def key_of(shingles: np.ndarray) -> bytes:
@@ -112,14 +135,16 @@ _SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.in
 
 
 def document_sets(docs: DataFrame, ngram: int, slots: int) -> DataFrame:
-    """doc_id, text_key, n, key of every row (key null for empty sets), and rows per task with n-gram counts by slot: the chunk as -n - 1, and a number to deal the tasks by as text_key."""
+    """doc_id, text_key, n, key of every row (key null for empty sets), and rows per task with counts by slot, of n-grams and then of words: the chunk as -n - 1, and a number to deal the tasks by as text_key."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counts, seen = Shingles(ngram), np.zeros(slots, np.int32), False
+        own, counts, seen = Shingles(ngram), np.zeros(slots + WORD_SLOTS, np.int32), False
         for batch, texts in in_steps(batches, chars=SMALL_STEP):
             seen = True
-            shingles, bounds = own.of_all(texts)
+            hashes, sizes = words_of(texts)
+            shingles, bounds, _ = own.of_words(hashes, sizes)
             np.add.at(counts, slot_of(shingles, slots), np.int32(1))
+            np.add.at(counts, slots + slot_of(hashes, WORD_SLOTS), np.int32(1))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(bounds), pa.int64()),
@@ -129,7 +154,7 @@ def document_sets(docs: DataFrame, ngram: int, slots: int) -> DataFrame:
             )
         if seen:
             deal = TaskContext.get().partitionId() % FIRST_SUMS
-            for i, at in enumerate(range(0, slots, CHUNK_SLOTS)):
+            for i, at in enumerate(range(0, len(counts), CHUNK_SLOTS)):
                 some = counts[at : at + CHUNK_SLOTS].astype("<i8").tobytes()
                 yield pa.RecordBatch.from_pylist([{"n": -1 - i, "text_key": deal, "slots": pa.compress(some, "zstd", asbytes=True)}], _SETS)
 
@@ -138,7 +163,8 @@ def document_sets(docs: DataFrame, ngram: int, slots: int) -> DataFrame:
 
 
 def slot_counts(sets: DataFrame, slots: int) -> np.ndarray:
-    """n-grams of all documents by slot: so many numbers, however large the table is. Summed in two steps."""
+    """n-grams, and then words, of all documents by slot: so many numbers, however large the table is. Summed in two steps."""
+    slots += WORD_SLOTS
     schema = pa.schema([("n", pa.int64()), ("slots", pa.binary())])
 
     def numbers(n: int, raw: bytes) -> np.ndarray:
@@ -152,13 +178,35 @@ def slot_counts(sets: DataFrame, slots: int) -> np.ndarray:
 
     each = sets.where("n < 0").select("n", "text_key", "slots").groupBy("n", "text_key").applyInArrow(add, "n long, slots binary")
     found = each.groupBy("n").applyInArrow(add, "n long, slots binary").toArrow()
-    counts = np.zeros(slots, np.int32)
+    counts = np.zeros(slots, np.int64)
     for n, raw in zip(found["n"].to_pylist(), found["slots"].to_pylist(), strict=True):
         some = numbers(n, raw)
-        counts[(-n - 1) * CHUNK_SLOTS :][: len(some)] = np.minimum(some, np.iinfo(np.int32).max)
+        counts[(-n - 1) * CHUNK_SLOTS :][: len(some)] = some
     return counts
 
 
+@dataclass(frozen=True)
+class Rarity:
+    """Ranks by slot, of n-grams and of words: logarithms of their counts.
+
+    An n-gram is as frequent as its slot or its rarest word at most, so the least of these ranks orders the n-grams. In
+    a large table every slot holds many n-grams; there are far fewer words.
+    """
+
+    ngrams: np.ndarray
+    words: np.ndarray
+
+    @classmethod
+    def learn(cls, counts: np.ndarray, slots: int) -> Rarity:
+        ranks = np.minimum(np.rint(RANK_STEPS * np.log2(counts + 1.0)), 255).astype(np.uint8)
+        return cls(ranks[:slots], ranks[slots:])
+
+    def order(self, shingles: np.ndarray, of_words: np.ndarray) -> np.ndarray:
+        """What to sort by: the least rank, then the sum of all."""
+        own = self.ngrams[slot_of(shingles, len(self.ngrams))].astype(np.int32)
+        return (np.minimum(of_words >> 16, own) << 16) + (of_words & 0xFFFF) + own
+
+
 def prefix_length(n: int, percent: int) -> int:
     """Similar sets share one of this many first n-grams."""
     return n - -(-percent * n // 100) + 1
@@ -188,16 +236,17 @@ def signatures_of(shingles: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def document_prefixes(docs: DataFrame, counts: np.ndarray, ngram: int, percent: int) -> DataFrame:
+def document_prefixes(docs: DataFrame, rarity: Rarity, ngram: int, percent: int) -> DataFrame:
     """key, n, group, prefix, signature of every document with words; a group is a size and a prefix."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)  # a fixed number of slots
+    shared = docs.sparkSession.sparkContext.broadcast(rarity)  # a fixed number of slots
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Shingles(ngram)
+        own, known = Shingles(ngram), shared.value
         for _, texts in in_steps(batches, chars=SMALL_STEP):
-            shingles, bounds = own.of_all(texts)
+            hashes, sizes = words_of(texts)
+            shingles, bounds, total = own.of_words(hashes, sizes, known.words[slot_of(hashes, len(known.words))])
             signatures = signatures_of(shingles, bounds)
-            common = shared.value[slot_of(shingles, len(shared.value))]
+            common = known.order(shingles, total)
             groups, prefixes, filled = [], [], np.flatnonzero(np.diff(bounds))
             for a, b in zip(bounds[filled].tolist(), bounds[filled + 1].tolist(), strict=True):
                 # Rare ones first, and by hash among equally frequent ones.
@@ -254,16 +303,27 @@ def _renamed(df: DataFrame, **names: str) -> DataFrame:
 
 def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with ``comp``: their component so far, or their own key."""
-    known = labels.select(F.col("node").alias("key"), "component")
+    known = few(labels, "node", "component").withColumnRenamed("node", "key")
     return members.join(known, "key", "left").select(*members.columns, F.coalesce("component", "key").alias("comp"))
 
 
-def _shared_tokens(groups: DataFrame) -> DataFrame:
-    """token, group, n, pos of n-grams in the prefixes of several groups, and hub: group, n, pos of the least of them."""
+def _shared_tokens(groups: DataFrame, percent: int) -> DataFrame:
+    """token, group, n, pos of n-grams in the prefixes of several groups, and hub: group, n, pos of the least of them.
+
+    Sizes of sets that link are so near that an n-gram's groups, in the order of size, are cut wherever the next one is too
+    large for a link: each run is a token of its own, and a group alone in its run has nothing to meet.
+    """
+    by_size = Window.partitionBy("token").orderBy("n")
     tokens = groups.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
-    hub = F.min(F.struct("group", "n", "pos")).alias("hub")
-    heads = tokens.groupBy("token").agg(F.count("*").alias("groups"), hub).where("groups > 1").drop("groups")
-    return tokens.join(heads, "token").select("token", "group", "n", "pos", "hub")
+    goes_on = tokens.select(
+        "*", F.coalesce(F.col("n") * percent <= F.lag("n").over(by_size) * 100, F.lit(False)).alias("met"),
+        F.coalesce(F.lead("n").over(by_size) * percent <= F.col("n") * 100, F.lit(False)).alias("meets"),
+    )
+    start = F.last(F.when(~F.col("met"), F.col("n")), ignorenulls=True).over(by_size.rowsBetween(Window.unboundedPreceding, 0))
+    runs = goes_on.withColumn("start", start).where("met OR meets")
+    runs = written(runs.select(F.xxhash64("token", "start").alias("token"), "group", "n", "pos"), "runs")
+    heads = runs.groupBy("token").agg(F.min(F.struct("group", "n", "pos")).alias("hub"))
+    return runs.join(heads, "token").select("token", "group", "n", "pos", "hub")
 
 
 def _hub_pairs(members: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -296,11 +356,21 @@ def _first_live(members: DataFrame, tokens: DataFrame) -> DataFrame:
 
 def _next_live(live: DataFrame, labels: DataFrame) -> DataFrame:
     """The same after more links: a component's name is one of its keys, so it tells the new one."""
-    known = labels.select(F.col("node").alias("comp"), "component")
+    known = few(labels, "node", "component").withColumnRenamed("node", "comp")
     moved = live.join(known, "comp", "left").withColumn("comp", F.coalesce("component", "comp"))
     return _live(moved.groupBy("token", "group", "n", "pos", "comp").agg(F.sum("size").alias("size")))
 
 
+def _left_open(live: DataFrame) -> dict[str, int]:
+    """members: those outside the largest component, once for each n-gram; few_pairs: whether comparing all of them takes
+    at most PAIRS_A_MEMBER pairs for each member that is met."""
+    size, outside = F.sum("size"), F.sum(F.when(F.col("comp") != F.col("top"), F.col("size")).otherwise(0))
+    of_token = live.groupBy("token").agg(size.alias("size"), outside.alias("outside"))
+    pairs = F.sum(F.col("size").cast("double") * F.col("outside"))
+    row = of_token.agg(F.sum("size").alias("met"), F.sum("outside").alias("members"), pairs.alias("pairs")).first()
+    return {"members": row["members"] or 0, "few_pairs": (row["pairs"] or 0) <= PAIRS_A_MEMBER * (row["met"] or 0)}
+
+
 def _round_pairs(live: DataFrame, members: DataFrame, percent: int, turn: int) -> DataFrame:
     """Key pairs of different components: each open member with new hubs of its n-grams, one in the largest component
     and one outside. So there are at most two rows for each row of ``live``."""
@@ -396,21 +466,23 @@ def _links_of_all(
     links = verified(_hub_pairs(members, tokens, percent))
     labels = components(links)
     live, turn = _first_live(_with_components(members, labels), tokens), 0
-    while n_open := live.where("comp != top").select("group", "comp").distinct().count():
+    while not (n_open := _left_open(live))["few_pairs"]:
         turn += 1
         found = verified(_round_pairs(live, _with_components(members, labels), percent, turn))
         n_found = found.count()
         if n_found:
-            links = links.unionByName(found)
-            labels, last = components(links), live
+            # A component's links are those of its nodes to its name from here on.
+            stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            labels, last = components(stars.unionByName(found)), live
             live = _next_live(last, labels)
             dropped(last)
-        if n_found * OPEN_A_LINK < n_open:
+        if n_found * OPEN_A_LINK < n_open["members"]:
             break
-    if n_open:
+    if n_open["members"]:
         more = verified(_open_pairs(live, _with_components(members, labels), groups, percent))
         if more.limit(1).count():
-            labels = components(links.unionByName(more))
+            stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            labels = components(stars.unionByName(more))
     return labels
 
 
@@ -429,13 +501,13 @@ def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
             made = written(document_sets(given, ngram, slots), "sets-and-counts")
             sets = kept(made.where("n >= 0").select("doc_id", "text_key", "n", "key"), "sets")
             classes = kept(sets.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "classes")
-            prefixes = written(document_prefixes(given, slot_counts(made, slots), ngram, percent), "prefixes")
+            prefixes = written(document_prefixes(given, Rarity.learn(slot_counts(made, slots), slots), ngram, percent), "prefixes")
             members = prefixes.select("key", "n", "group", "signature").distinct()
             groups = prefixes.groupBy("group").agg(
                 *(F.min(c).alias(c) for c in ("n", "prefix", "signature")), (F.min("key") != F.max("key")).alias("several")
             )
             groups = written(groups.withColumn("signature", F.when(~F.col("several"), F.col("signature"))), "groups")
-            tokens = used(_shared_tokens(groups), "tokens")
+            tokens = used(_shared_tokens(groups, percent), "tokens")
             active = tokens.select("group").unionByName(groups.where("several").select("group")).distinct()
             members = used(members.join(active, "group"), "members")
             groups = used(groups.select("group", "signature").join(active, "group", "left_semi"), "signatures")

@@ -151,3 +151,41 @@ def test_only_what_is_read_later_stays_on_disk(spark):
     assert sorted(p.parent.name for p in set(folder.glob("*/*")) - before) == ["classes", "components", "sets"]
     for _ in range(2):
         assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in result.collect()) == brute(docs, 60)
+
+
+def test_shared_ngrams_of_far_sizes_meet_nothing(spark):
+    """An n-gram is a token of its own for each run of sizes that may link; a group alone in its run has none."""
+    from tallylake.llm.jaccard import _shared_tokens
+
+    rows = [(g, n, [7, 100 + g]) for g, n in enumerate([50, 95, 100, 105, 180, 300, 310])]
+    groups = spark.createDataFrame(rows, "group long, n long, prefix array<long>")
+    got = _shared_tokens(groups, 90).collect()
+    by_token = {}
+    for r in got:
+        by_token.setdefault(r.token, set()).add((r.n, r.pos, r.hub.n))
+    assert sorted(map(sorted, by_token.values())) == [[(95, 0, 95), (100, 0, 95), (105, 0, 95)], [(300, 0, 300), (310, 0, 300)]]
+
+
+def test_ngrams_of_rare_words_come_first(spark):
+    """With so few slots that all n-grams look alike, a prefix still holds those of the rarest words."""
+    from tallylake.llm import jaccard
+
+    docs = spark.createDataFrame([(i, " ".join(["the of and to"] * 9 + [f"odd{i}"] + ["a in is it"] * 9)) for i in range(40)], "doc_id long, text string")
+    made = jaccard.document_sets(docs, 3, 1)
+    rarity = jaccard.Rarity.learn(jaccard.slot_counts(made, 1), 1)
+    prefixes = [set(r.prefix) for r in jaccard.document_prefixes(docs, rarity, 3, 90).collect()]
+    assert len(prefixes) == 40 and all(p for p in prefixes) and len(set().union(*prefixes)) == sum(map(len, prefixes))
+
+
+def test_links_inside_a_component_are_not_read_again(spark, monkeypatch):
+    """Each round joins only links between nodes that still differ: half of them are gone after the first."""
+    from tallylake.llm import components as module
+
+    random.seed(6)
+    links = [(g * 100 + random.randrange(40), g * 100 + random.randrange(40)) for g in range(5) for _ in range(200)]
+    sizes, original = [], module._both_ways
+    monkeypatch.setattr(module, "_both_ways", lambda df: sizes.append(df.count()) or original(df))
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    nodes = {n for link in links for n in link}
+    assert set(got) == nodes and all(got[a] == got[b] for a, b in links) and all(c <= n and c in nodes for n, c in got.items())
+    assert sum(sizes) <= 2 * sizes[0]
