@@ -46,7 +46,7 @@ LEAST_BITS, MOST_BITS = 512, 4096
 BROADCAST_IDS = 1_000_000
 #: n-grams choose their hubs by so many different orders of groups, so that a set meets several hubs in a round.
 HUB_ORDERS = 4
-#: Rounds of hubs go on while one makes a link for each so many open groups. This changes no result.
+#: Rounds of hubs go on while one makes a link for each so many open members. This changes no result.
 OPEN_A_LINK = 20
 #: All pairs are compared at once where they are at most so many for each open member.
 PAIRS_A_MEMBER = 8
@@ -292,9 +292,14 @@ def _places_allow(percent: int) -> Column:
 
 
 def _may_link(percent: int) -> Column:
-    """The places, and the signatures of groups of one, allow a link."""
+    """The places, if the shared n-gram is the first one that both have, and the signatures of groups of one allow a link.
+
+    Sets that link pass this for their first n-gram; what they share comes from there on.
+    """
+    n, m, i, j = (F.col(c) for c in ("n", "m", "pos", "pos_b"))
+    first = F.least(n - i, m - j) * (100 + percent) >= (n + m) * percent
     alike = F.col("signature").isNull() | F.col("signature_b").isNull() | _signatures_agree(percent)
-    return _places_allow(percent) & alike
+    return _places_allow(percent) & first & alike
 
 
 def _renamed(df: DataFrame, **names: str) -> DataFrame:
@@ -311,7 +316,9 @@ def _shared_tokens(groups: DataFrame, percent: int) -> DataFrame:
     """token, group, n, pos of n-grams in the prefixes of several groups, and hub: group, n, pos of the least of them.
 
     Sizes of sets that link are so near that an n-gram's groups, in the order of size, are cut wherever the next one is too
-    large for a link: each run is a token of its own, and a group alone in its run has nothing to meet.
+    large for a link: each run is a token of its own, and a group alone in its run has nothing to meet. Near copies share
+    n-grams by the dozen, so of the tokens with the same groups only the first in the order of n-grams is kept: the first
+    n-gram that two groups share is always among those.
     """
     by_size = Window.partitionBy("token").orderBy("n")
     tokens = groups.select("group", "n", F.posexplode("prefix").alias("pos", "token"))
@@ -322,8 +329,12 @@ def _shared_tokens(groups: DataFrame, percent: int) -> DataFrame:
     start = F.last(F.when(~F.col("met"), F.col("n")), ignorenulls=True).over(by_size.rowsBetween(Window.unboundedPreceding, 0))
     runs = goes_on.withColumn("start", start).where("met OR meets")
     runs = written(runs.select(F.xxhash64("token", "start").alias("token"), "group", "n", "pos"), "runs")
-    heads = runs.groupBy("token").agg(F.min(F.struct("group", "n", "pos")).alias("hub"))
-    return runs.join(heads, "token").select("token", "group", "n", "pos", "hub")
+    # A token's groups are told apart from others by 128 bits; their order of n-grams is one, so that of the hub tells it.
+    met_in = [F.bit_xor(F.xxhash64(F.lit(i), "group")).alias(f"met_{i}") for i in range(2)]
+    heads = runs.groupBy("token").agg(F.min(F.struct("group", "n", "pos")).alias("hub"), *met_in)
+    first = F.min(F.struct(F.col("hub.pos").alias("pos"), "token", "hub")).alias("first")
+    heads = written(heads.groupBy("met_0", "met_1").agg(first).select("first.token", "first.hub"), "first-tokens")
+    return runs.join(few(heads, "token", "hub"), "token").select("token", "group", "n", "pos", "hub")
 
 
 def _hub_pairs(members: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -362,13 +373,15 @@ def _next_live(live: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _left_open(live: DataFrame) -> dict[str, int]:
-    """members: those outside the largest component, once for each n-gram; few_pairs: whether comparing all of them takes
-    at most PAIRS_A_MEMBER pairs for each member that is met."""
+    """members: those outside the largest component of an n-gram; few_pairs: whether comparing all of them takes at most
+    PAIRS_A_MEMBER pairs for each member that is met."""
     size, outside = F.sum("size"), F.sum(F.when(F.col("comp") != F.col("top"), F.col("size")).otherwise(0))
     of_token = live.groupBy("token").agg(size.alias("size"), outside.alias("outside"))
     pairs = F.sum(F.col("size").cast("double") * F.col("outside"))
-    row = of_token.agg(F.sum("size").alias("met"), F.sum("outside").alias("members"), pairs.alias("pairs")).first()
-    return {"members": row["members"] or 0, "few_pairs": (row["pairs"] or 0) <= PAIRS_A_MEMBER * (row["met"] or 0)}
+    row = of_token.agg(F.sum("size").alias("met"), pairs.alias("pairs")).first()
+    # A member is open once, however many n-grams it has.
+    units = live.where("comp != top").groupBy("group", "comp").agg(F.max("size").alias("size"))
+    return {"members": units.agg(size.alias("members")).first()["members"] or 0, "few_pairs": (row["pairs"] or 0) <= PAIRS_A_MEMBER * (row["met"] or 0)}
 
 
 def _round_pairs(live: DataFrame, members: DataFrame, percent: int, turn: int) -> DataFrame:

@@ -189,3 +189,25 @@ def test_links_inside_a_component_are_not_read_again(spark, monkeypatch):
     nodes = {n for link in links for n in link}
     assert set(got) == nodes and all(got[a] == got[b] for a, b in links) and all(c <= n and c in nodes for n, c in got.items())
     assert sum(sizes) <= 2 * sizes[0]
+
+
+def test_ngrams_that_the_same_groups_share_are_met_once(spark):
+    """Two copies share a hundred n-grams, one of them a few with a third text: two tokens, at the first place of each."""
+    from tallylake.llm.jaccard import _shared_tokens
+
+    shared = list(range(100, 200))
+    rows = [(1, 500, [7, *shared]), (2, 500, [8, 9, *shared]), (3, 500, [10, *shared[40:60]])]
+    got = _shared_tokens(spark.createDataFrame(rows, "group long, n long, prefix array<long>"), 80).collect()
+    assert Counter((r.group, r.pos, tuple(r.hub)) for r in got) == Counter(
+        [(1, 1, (1, 500, 1)), (2, 2, (1, 500, 1)), (1, 41, (1, 500, 41)), (2, 42, (1, 500, 41)), (3, 1, (1, 500, 41))]
+    )
+
+
+def test_a_member_is_open_once(spark):
+    """However many n-grams it shares."""
+    from tallylake.llm.jaccard import _left_open
+
+    rows = [(t, g, 9, t, c, 1, "x") for t in range(50) for g, c in ((1, "x"), (2, "y"))]
+    live = spark.createDataFrame(rows, "token long, group long, n long, pos int, comp string, size long, top string")
+    assert _left_open(live) == {"members": 1, "few_pairs": True}
+    assert _left_open(live.limit(0)) == {"members": 0, "few_pairs": True}
