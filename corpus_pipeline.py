@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallylake.llm.common import table, tokenizer_path, written
+from tallylake.llm.common import small_batches, table, tokenizer_path, written
 from tallylake.llm.decontaminate import contamination
 from tallylake.llm.jaccard import jaccard_components, representatives
 from tallylake.llm.packing import packed_documents
@@ -20,11 +20,12 @@ NEAR_NGRAM, NEAR_PERCENT = 5, 80
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; null and empty texts are scored like others."""
     let_workers_import(spark)
-    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
     # Only keys go through Python beside the text; the rows themselves stay in the JVM.
     keyed = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
-    toxic = score_toxicity(keyed, model).where(f"score >= {THRESHOLD}")
-    return without(docs, toxic.select("row.doc_id", "row.text_key"))
+    with small_batches(spark):
+        model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+        toxic = score_toxicity(keyed, model).where(f"score >= {THRESHOLD}")
+        return without(docs, toxic.select("row.doc_id", "row.text_key"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, packed into sequences."""
     let_workers_import(spark)
-    return packed_documents(docs, tokenizer_path())[0]
+    with small_batches(spark):
+        return packed_documents(docs, tokenizer_path())[0]
 
 
 STAGES = [

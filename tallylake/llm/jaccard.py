@@ -16,7 +16,6 @@ n-grams in each of some slots: two sets differ by at least as many n-grams as bi
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import chain
 
@@ -27,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tallylake.llm.common import SMALL_STEP, dropped, few, in_steps, mixed, scratch, space_words, table, written
+from tallylake.llm.common import SMALL_STEP, dropped, few, in_steps, mixed, scratch, small_batches, space_words, table, written
 from tallylake.llm.components import components
 from tallylake.llm.registry import query
 
@@ -50,8 +49,6 @@ HUB_ORDERS = 4
 OPEN_A_LINK = 20
 #: All pairs are compared at once where they are at most so many for each open member.
 PAIRS_A_MEMBER = 8
-#: Rows that a Python worker gets at once; texts of more rows would only wait in its memory.
-ROWS_A_BATCH = 1_000
 
 
 # --- sets -----------------------------------------------------------------------------------
@@ -119,18 +116,6 @@ def keys_of(shingles: np.ndarray, bounds: np.ndarray) -> list[bytes | None]:
     return [key_of(shingles[a:b]) if b > a else None for a, b in zip(at, at[1:])]
 
 
-@contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of ROWS_A_BATCH rows at most for what is written inside."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(ROWS_A_BATCH))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 _SETS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("slots", pa.binary())])
 
 
@@ -509,7 +494,7 @@ def jaccard_components(docs: DataFrame, ngram: int = NGRAM, percent: int = PERCE
     text, tells them apart, and component (null without words) tells apart components. An empty table gives no rows.
     """
     spark, given = docs.sparkSession, docs.select(F.col("doc_id").cast("long"), "text")
-    with _small_batches(spark), scratch(spark) as kept:
+    with small_batches(spark), scratch(spark) as kept:
         with scratch(spark) as used:
             made = written(document_sets(given, ngram, slots), "sets-and-counts")
             sets = kept(made.where("n >= 0").select("doc_id", "text_key", "n", "key"), "sets")

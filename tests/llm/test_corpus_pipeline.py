@@ -96,3 +96,16 @@ def test_near_duplicates_by_five_words_and_four_fifths(spark, tmp_path):
     assert kept(5, 80) < kept(3, 90)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()} == kept(5, 80)
+
+
+def test_texts_reach_python_in_small_batches(spark, given, monkeypatch):
+    """While a stage's tables are written; the session's own setting is put back."""
+    docs, _, folder = given
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+    for work in ("score_toxicity", "packed_documents"):
+        real = getattr(corpus_pipeline, work)
+        monkeypatch.setattr(corpus_pipeline, work, lambda *given, real=real: seen.append(spark.conf.get(name)) or real(*given))
+    corpus_pipeline.toxicity(spark, docs, folder)
+    corpus_pipeline.packing(spark, docs, folder)
+    assert seen == ["1000", "1000"] and spark.conf.get(name) == before
